@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -69,6 +70,20 @@ class FeatureTable:
         return replace(self, df=df)
 
 
+@contextmanager
+def kept(table: FeatureTable) -> Iterator[FeatureTable]:
+    """The table with its rows stored while the block runs.
+
+    Worth it where many passes follow and rows are costly to derive (joins, text). A table
+    that is a plain scan is better read again: column pruning makes that cheap.
+    """
+    stored = table.df.persist()
+    try:
+        yield table.with_df(stored)
+    finally:
+        stored.unpersist()
+
+
 def matrix(batch_column: pa.Array, width: int) -> np.ndarray:
     """Rows x ``width`` matrix of an Arrow list column; NULL entries become NaN."""
     if isinstance(batch_column, pa.ChunkedArray):

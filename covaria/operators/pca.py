@@ -32,8 +32,14 @@ def canonical_sign(vector: np.ndarray) -> np.ndarray:
 
 
 def ranked(weights: np.ndarray, top: int) -> list[int]:
-    """Positions by size, largest first; equal sizes keep feature order."""
-    return [int(i) for i in np.argsort(-np.round(np.abs(weights), 12), kind="stable")[:top]]
+    """Positions by size, largest first; sizes equal up to rounding keep feature order."""
+    size = np.abs(weights)
+    order = np.argsort(-size, kind="stable")
+    if not len(order):
+        return []
+    drop = size[order[:-1]] - size[order[1:]] > 1e-9 * max(size.max(), 1e-300)
+    level = np.concatenate([[0], np.cumsum(drop)])
+    return [int(i) for i in order[np.lexsort((order, level))][:top]]
 
 
 @dataclass(frozen=True)
