@@ -40,7 +40,9 @@ SEED_FEATURES = ("n_digits", "n_marks")
 REPLAY_SIZE = 3
 
 # Rounding: distributed sums depend on the order of addition in their last digits.
-SMALL, ROWS = 6, 5
+# Profiles take a seventh digit: a mean of cents over a round number of rows can lie
+# exactly halfway between two values of the sixth.
+SMALL, ROWS, PROFILE = 6, 5, 7
 
 
 def rounded(value: Column, digits: int) -> Column:
@@ -100,7 +102,7 @@ def select_feature_group(spark, sf_dir):
 
 
 def column_profile(spark, sf_dir):
-    return _round(P.profile(B.dirty_lines(spark, sf_dir)).drop("ord"))
+    return _round(P.profile(B.dirty_lines(spark, sf_dir)).drop("ord"), PROFILE)
 
 
 def drop_nan_columns(spark, sf_dir):

@@ -48,9 +48,9 @@ def finite(c: str) -> str:
 def column_profile() -> str:
     one = lambda c: f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS n_null,
   count(CASE WHEN isnan({c}) THEN 1 END) AS n_nan, count(CASE WHEN isinf({c}) THEN 1 END) AS n_inf,
-  {r(f"avg({finite(c)})")} AS mean, {r(f"stddev_samp({finite(c)})")} AS std_samp,
-  {r(f"stddev_pop({finite(c)})")} AS std_pop, {r(f"min({finite(c)})")} AS min_value,
-  {r(f"max({finite(c)})")} AS max_value FROM dirty"""
+  {r(f"avg({finite(c)})", 7)} AS mean, {r(f"stddev_samp({finite(c)})", 7)} AS std_samp,
+  {r(f"stddev_pop({finite(c)})", 7)} AS std_pop, {r(f"min({finite(c)})", 7)} AS min_value,
+  {r(f"max({finite(c)})", 7)} AS max_value FROM dirty"""
     return f"WITH {DIRTY}\n" + union_all(one(c) for c in DIRTY_FEATURES)
 
 
@@ -254,11 +254,11 @@ UNION ALL SELECT 2, 'l_extendedprice', {r("w22")} FROM model"""
 
 def plsda_top_weights() -> str:
     def ranked(a: int) -> str:
-        return f"""SELECT row_number() OVER (ORDER BY round(abs(v), 12) DESC, o) AS rk, name, v FROM (
+        return f"""SELECT row_number() OVER (ORDER BY round(abs(v), 10) DESC, o) AS rk, name, v FROM (
   SELECT 0 AS o, 'l_quantity' AS name, w{a}1 AS v FROM model UNION ALL SELECT 1, 'l_extendedprice', w{a}2 FROM model)"""
 
     return f"""WITH {banded()}, one AS ({ranked(1)}), two AS ({ranked(2)})
-SELECT one.rk AS "rank", one.name AS lv1_feature, {r("one.v")} AS lv1_weight, two.name AS lv2_feature, {r("two.v")} AS lv2_weight
+SELECT one.rk::INTEGER AS "rank", one.name AS lv1_feature, {r("one.v")} AS lv1_weight, two.name AS lv2_feature, {r("two.v")} AS lv2_weight
 FROM one JOIN two ON one.rk = two.rk"""
 
 
@@ -268,7 +268,7 @@ def plsda_vip() -> str:
 
     return f"""WITH {banded()}, v AS (SELECT 0 AS o, 'l_quantity' AS feature, {vip(1)} AS vip FROM model
   UNION ALL SELECT 1, 'l_extendedprice', {vip(2)} FROM model)
-SELECT row_number() OVER (ORDER BY round(vip, 12) DESC, o) AS "rank", feature, {r("vip")} AS vip FROM v"""
+SELECT (row_number() OVER (ORDER BY round(vip, 10) DESC, o))::INTEGER AS "rank", feature, {r("vip")} AS vip FROM v"""
 
 
 def plsda_variance() -> str:
@@ -433,7 +433,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_samples": f"SELECT {KEYS}, l_returnflag, {narrow} FROM lineitem",
         "scan_entities": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM part",
         "scan_pairs": "SELECT c_name AS formula, c_mktsegment AS structure FROM customer",
-        "catalog_group_sizes": """SELECT 'size' AS group_id, 0 AS group_ord, 2 AS n_features, 2 AS n_available,
+        "catalog_group_sizes": """SELECT 'size' AS group_id, 0 AS group_ord, 2::BIGINT AS n_features, 2::BIGINT AS n_available,
   count(l_quantity) + count(l_extendedprice) AS n_values FROM lineitem
 UNION ALL SELECT 'rates', 1, 3, 2, count(l_discount) + count(l_tax) FROM lineitem
 UNION ALL SELECT 'mixed', 2, 2, 2, count(l_extendedprice) + count(l_tax) FROM lineitem""",
@@ -449,14 +449,14 @@ UNION ALL SELECT 'mixed', 2, 2, 2, count(l_extendedprice) + count(l_tax) FROM li
 listed AS (SELECT DISTINCT p_brand, p_type FROM part)
 SELECT p_brand AS symbol, arg_max(p_type, ord) AS category FROM listed JOIN cat USING (p_type) GROUP BY p_brand""",
         "split_formula": f"""WITH {PAIRS}, t AS (SELECT formula, structure, regexp_extract_all(formula, '[A-Z][a-z]?') AS tokens FROM pairs)
-SELECT formula, structure, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS symbols FROM t""",
+SELECT formula, structure, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, ' ') AS symbols FROM t""",
         "text_symbols": """SELECT symbol, count(*) AS n FROM
 (SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]?')) AS symbol FROM documents) GROUP BY symbol""",
         "pair_rejects": """SELECT doc_id, n_tokens FROM
-(SELECT doc_id, len(regexp_extract_all(text, '[A-Z][a-z]?')) AS n_tokens FROM documents) WHERE n_tokens <> 2""",
+(SELECT doc_id, len(regexp_extract_all(text, '[A-Z][a-z]?'))::INTEGER AS n_tokens FROM documents) WHERE n_tokens <> 2""",
         "pair_links": pair_links(),
         "pair_link_counts": pair_link_counts(),
-        "class_dictionary": """SELECT row_number() OVER (ORDER BY label) - 1 AS class_index, label
+        "class_dictionary": """SELECT (row_number() OVER (ORDER BY label) - 1)::INTEGER AS class_index, label
 FROM (SELECT DISTINCT event_type AS label FROM events WHERE event_type IS NOT NULL)""",
         "one_hot": "SELECT o_orderkey, "
         + ", ".join(f"(o_orderstatus = '{s}')::DOUBLE AS \"is_{s}\"" for s in ("F", "O", "P"))
@@ -489,7 +489,7 @@ UNION ALL SELECT 2, {r("1 - abs(c)")}, {r("(1 - abs(c)) / 2 * 100")} FROM model"
         "macro_f1": confusion(f"SELECT {r(f1_of('cm'))} AS macro_f1"),
         "silhouette_exact": f"""WITH pts AS (SELECT vec_id, CAST(label AS VARCHAR) AS label, embedding[1]::DOUBLE AS x,
     embedding[2]::DOUBLE AS y FROM embeddings), {silhouette_of("pts", "vec_id", "x", "y", "label")}
-SELECT n_rows, n_classes, {r("silhouette")} AS silhouette FROM sil""",
+SELECT n_rows, n_classes::INTEGER AS n_classes, {r("silhouette")} AS silhouette FROM sil""",
         "fisher_ratio": f"""WITH {banded()}, {fisher_of("scored", "t1", "t2", "band")}
 SELECT {r("between_", 5)} AS "between", {r("within", 5)} AS within, {r("CASE WHEN within > 1e-6 THEN between_ / within END", 5)} AS fisher_ratio FROM fisher""",
         "metrics_table": metrics_table(),
@@ -497,13 +497,13 @@ SELECT {r("between_", 5)} AS "between", {r("within", 5)} AS within, {r("CASE WHE
         "sweep_add_one": sweep_add_one(),
         "sweep_drop_one": sweep_drop_one(),
         "forward_selection": f"""{SELECTION}
-SELECT step, {ACCURACY} AS accuracy, added AS feature_added, bit_count(mask) AS total_features FROM fwd""",
+SELECT step, {ACCURACY} AS accuracy, added AS feature_added, bit_count(mask)::INTEGER AS total_features FROM fwd""",
         "backward_elimination": f"""{SELECTION}
-SELECT step, {ACCURACY} AS accuracy, removed AS feature_removed, bit_count(mask) AS total_features FROM bwd""",
+SELECT step, {ACCURACY} AS accuracy, removed AS feature_removed, bit_count(mask)::INTEGER AS total_features FROM bwd""",
         "replay_forward": f"""{SELECTION}, upto AS (SELECT step, string_split(added, ',') AS f FROM fwd
   WHERE step <= (SELECT min(step) FROM fwd WHERE bit_count(mask) = 3))
-SELECT step, unnest(range(len(f))) AS pos, unnest(f) AS feature FROM upto""",
-        "replay_backward": f"{SELECTION} SELECT i AS ord, name AS feature FROM names WHERE ({BACKWARD_MASK} >> i) & 1 = 1",
+SELECT step, unnest(range(len(f)))::INTEGER AS pos, unnest(f) AS feature FROM upto""",
+        "replay_backward": f"{SELECTION} SELECT i::INTEGER AS ord, name AS feature FROM names WHERE ({BACKWARD_MASK} >> i) & 1 = 1",
         "final_features": f"""{SELECTION}, kept AS (SELECT i, name FROM names
   WHERE ((SELECT arg_max(mask, step) FROM bwd) >> i) & 1 = 1)
 SELECT count(*) AS n_features, string_agg(name, ', ' ORDER BY i) AS features,
@@ -511,7 +511,7 @@ SELECT count(*) AS n_features, string_agg(name, ', ' ORDER BY i) AS features,
         "scores_at_step": scores_at(FORWARD_MASK),
         "scores_at_backward_step": scores_at(BACKWARD_MASK),
         "selection_curve": f"""{SELECTION}
-SELECT step, bit_count(mask) AS total_features, {ACCURACY} AS accuracy,
-  (SELECT min(bit_count(mask)) FROM fwd) - 1 AS axis_low, (SELECT max(bit_count(mask)) FROM fwd) + 1 AS axis_high FROM fwd""",
+SELECT step, bit_count(mask)::INTEGER AS total_features, {ACCURACY} AS accuracy,
+  ((SELECT min(bit_count(mask)) FROM fwd) - 1)::INTEGER AS axis_low, ((SELECT max(bit_count(mask)) FROM fwd) + 1)::INTEGER AS axis_high FROM fwd""",
         "safe_division": f"""SELECT {KEYS}, {r("CASE WHEN l_discount = 0 THEN -1.0 ELSE l_tax / l_discount END")} AS ratio FROM lineitem""",
     }

@@ -8,6 +8,10 @@ import pytest
 
 import __spark_entry__ as spark_entry
 
+TYPES = {
+    "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT",
+}
+
 QUERIES = spark_entry.queries()
 ORACLES = spark_entry.oracle_sql()
 
@@ -49,6 +53,8 @@ def test_query(spark, sf_dir, database, name):
     result = database.execute(ORACLES[name])
     theirs = _comparable([d[0] for d in result.description], result.fetchall())
     assert ours[0] == theirs[0]
+    types = {d[0]: str(d[1]) for d in result.description}
+    assert {f.name: TYPES[f.dataType.simpleString()] for f in df.schema.fields} == types
     assert len(ours[1]) == len(theirs[1])
     for a, b in zip(ours[1], theirs[1]):
         assert a == b
