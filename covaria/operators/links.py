@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covaria.functions import column, formula_tokens
+from covaria.operators.durable import settle
 from covaria.operators.lookups import first_per_key, lookup
 
 
@@ -39,15 +40,17 @@ def rejected_pairs(pairs: DataFrame, formula: str = "formula") -> DataFrame:
 def _ends(
     pairs: DataFrame, scores: DataFrame, key: str, x: str, y: str, order_by: Sequence[str], keep_unmatched: bool
 ) -> DataFrame:
-    entities = first_per_key(scores, key, [x, y], order_by)
+    # Looked up twice and counted: computed once and stored.
+    entities = settle(first_per_key(scores, key, [x, y], order_by))
+    n = entities.count()
 
     def coordinates(i: int) -> DataFrame:
         return entities.select(
             column(key).alias(f"__key{i}"), column(x).alias(f"x{i}"), column(y).alias(f"y{i}")
         )
 
-    start = lookup(valid_pairs(pairs), coordinates(0), "symbol_a", "__key0", keep_unmatched)
-    return lookup(start, coordinates(1), "symbol_b", "__key1", keep_unmatched)
+    start = lookup(valid_pairs(pairs), coordinates(0), "symbol_a", "__key0", keep_unmatched, table_rows=n)
+    return lookup(start, coordinates(1), "symbol_b", "__key1", keep_unmatched, table_rows=n)
 
 
 def pair_links(

@@ -24,10 +24,11 @@ def lookup(
     table_key: str,
     keep_unmatched: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    table_rows: int | None = None,
 ) -> DataFrame:
     """Add the columns of ``table`` (one row per ``table_key``) to the matching rows.
 
-    A table counted to be small is broadcast, so hot keys do no harm. A larger one is
+    A table counted (or known, ``table_rows``) to be small is broadcast, so hot keys do no harm. A larger one is
     joined by shuffle, except for heavy keys: fewer than ``1 / HEAVY_SHARE`` keys can each
     hold that share of the rows, so their part of the table is small, and is broadcast.
     """
@@ -39,7 +40,7 @@ def lookup(
         return left.join(right, column(row_key) == column(match_key), how).drop(match_key)
 
     width = sum(40 if f.dataType.simpleString() == "string" else 16 for f in table.schema.fields)
-    if table.count() * width <= broadcast_bytes:
+    if (table.count() if table_rows is None else table_rows) * width <= broadcast_bytes:
         return joined(rows, F.broadcast(table))
     counts = rows.groupBy(column(row_key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     n_rows = rows.count()
@@ -76,10 +77,14 @@ def invert_categories(
 
 
 def with_category(
-    rows: DataFrame, symbols: DataFrame, key: str, unknown: str = UNKNOWN_CATEGORY
+    rows: DataFrame,
+    symbols: DataFrame,
+    key: str,
+    unknown: str = UNKNOWN_CATEGORY,
+    symbol_rows: int | None = None,
 ) -> DataFrame:
     """Add ``category`` from a ``symbol, category`` table; unlisted keys get ``unknown``."""
-    found = lookup(rows, symbols.select("symbol", "category"), key, "symbol", keep_unmatched=True)
+    found = lookup(rows, symbols.select("symbol", "category"), key, "symbol", True, table_rows=symbol_rows)
     return found.withColumn("category", F.coalesce("category", F.lit(unknown)))
 
 

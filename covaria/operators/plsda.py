@@ -20,7 +20,8 @@ from covaria.operators.pca import TOP, canonical_sign, ranked, side_by_side
 from covaria.operators.profile import Scaling, fit_scaling, sample_deviation, usable_features
 from covaria.operators.project import classify, project
 
-# A component is given up when what is left to explain falls below this share.
+# A component is given up when what is left to explain is this small a share of what
+# perfectly correlated features and classes would give.
 RESIDUAL_TOLERANCE = 1e-12
 
 
@@ -106,12 +107,12 @@ class PLSModel:
         return between / within if within > 1e-6 else None
 
 
-def _components(gram: np.ndarray, cross: np.ndarray, count: int):
+def _components(gram: np.ndarray, cross: np.ndarray, count: int, n: int):
     p, k = cross.shape
     weights, rotations, loadings, y_loadings = [], [], [], []
-    start = np.linalg.norm(cross)
+    nothing = RESIDUAL_TOLERANCE * np.sqrt(np.trace(gram) * n)
     for _ in range(count):
-        if np.linalg.norm(cross) <= RESIDUAL_TOLERANCE * start or start == 0:
+        if np.linalg.norm(cross) <= nothing:
             break
         left, _, _ = np.linalg.svd(cross, full_matrices=False)
         w = canonical_sign(left[:, 0])
@@ -151,7 +152,7 @@ def plsda_from_moments(moments: Moments, n_components: int = 2, scale: bool = Tr
         y_scale = sample_deviation(moments.class_counts * (1.0 - share), n)
     gram = gram / np.outer(x_scale, x_scale)
     cross = cross / np.outer(x_scale, y_scale)
-    weights, rotations, y_loadings = _components(gram, cross, n_components)
+    weights, rotations, y_loadings = _components(gram, cross, n_components, n)
     on_z = rotations / x_scale[:, None]
     counts = np.maximum(moments.class_counts, 1)[:, None]
     return PLSModel(

@@ -385,8 +385,13 @@ def _leaf_sums(placed: DataFrame, far: DataFrame | None, frame: _Frame, depth: i
         block = max(1, 4_000_000 // max(len(sx), 1))
         for start in range(0, len(x), block):
             part = slice(start, start + block)
-            weighted = np.hypot(x[part, None] - sx, y[part, None] - sy) * sw
-            sums[part, present] = np.add.reduceat(weighted, starts, axis=1)
+            away, across = x[part, None] - sx, y[part, None] - sy
+            away *= away
+            across *= across
+            away += across
+            np.sqrt(away, out=away)
+            away *= sw
+            sums[part, present] = np.add.reduceat(away, starts, axis=1)
         if len(grids):
             grid = _on_grid((x - x0) * scale - ix, (y - y0) * scale - iy)
             vec = matrix(grids.column("vec"), GRID * GRID)

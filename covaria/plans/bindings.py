@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,21 +66,33 @@ def banded_lines(spark: SparkSession, sf_dir: str) -> FeatureTable:
     return FeatureTable.of(df, BAND_FEATURES, "band")
 
 
-def _count_of(text: Column, characters: str) -> Column:
-    return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("double")
+def _character_counts(batches):
+    """Counts over the UTF-8 bytes of each text; ASCII bytes stand for themselves there."""
+    kind = np.full(256, 0)
+    for k, characters in enumerate((" ", DIGITS, CAPITALS, MARKS), start=1):
+        kind[list(characters.encode())] = k
+    continuation = (np.arange(256) & 0xC0) == 0x80
+    for batch in batches:
+        text = batch.column(1).cast(pa.large_string())
+        offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+        data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        bounds = offsets - offsets[0]
+
+        def per_text(flags):
+            """Flagged bytes in each text, from running totals."""
+            running = np.concatenate([[0], np.cumsum(flags)])
+            return pa.array((running[bounds[1:]] - running[bounds[:-1]]).astype(np.float64))
+
+        kinds = kind[data]
+        counts = [per_text(~continuation[data])] + [per_text(kinds == k) for k in range(1, 5)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *counts], names=["doc_id", *TEXT_FEATURES])
 
 
 def text_samples(spark: SparkSession, sf_dir: str) -> FeatureTable:
-    """Labelled documents described by character counts; the text itself never travels."""
-    text = F.col("text")
-    counted = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.length(text).cast("double").alias("n_chars"),
-        _count_of(text, " ").alias("n_spaces"),
-        _count_of(text, DIGITS).alias("n_digits"),
-        _count_of(text, CAPITALS).alias("n_capitals"),
-        _count_of(text, MARKS).alias("n_marks"),
-    )
+    """Labelled documents described by character counts; the text itself is never shuffled."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    schema = "doc_id long, " + ", ".join(f"{f} double" for f in TEXT_FEATURES)
+    counted = documents.mapInArrow(_character_counts, schema)
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"))
     return FeatureTable.of(counted.join(labels, "doc_id"), TEXT_FEATURES, "quality")
 
