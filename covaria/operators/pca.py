@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from covaria.functions import display_number, display_percent
 from covaria.operators.features import FeatureTable
 from covaria.operators.moments import Moments, fit_moments
-from covaria.operators.profile import Scaling, fit_scaling, usable_features
+from covaria.operators.profile import Scaling, usable_features
 from covaria.operators.project import project
 from covaria.sources.catalog import FeatureCatalog
 
@@ -139,26 +139,16 @@ def fit_pca(
     table: FeatureTable,
     n_components: int = 2,
     nan_policy: str = "drop_column",
-    scaling: Scaling | None = None,
     moments: Moments | None = None,
 ) -> PCAModel:
-    """PCA of the table's usable features: a profile pass and a moments pass.
+    """PCA of the table's usable features.
 
     With ``moments`` given (fitted on at least these features) no row is read at all,
     which is how switching features on and off is meant to be used.
     """
-    if moments is not None:
-        scaling = moments.scaling.subset(table.features)
-    scaling = scaling or fit_scaling(table)
-    used = usable_features(scaling, nan_policy)
+    moments = fit_moments(table) if moments is None else moments
+    used = usable_features(moments.scaling.subset(table.features), nan_policy)
     dropped = tuple(f for f in table.features if f not in set(used))
-    if len(used) < max(n_components, 2):
-        return PCAModel(scaling.subset(used), dropped, np.zeros((len(used), 0)), np.zeros(0), 0.0)
-    if moments is None:
-        if table.array is None:
-            moments = fit_moments(FeatureTable.of(table.df, used), scaling.subset(used))
-        else:
-            moments = fit_moments(FeatureTable.of(table.df, table.features, array=table.array), scaling)
     return pca_from_moments(moments.subset(used), n_components, dropped)
 
 

@@ -17,7 +17,7 @@ from covaria.functions import display_number
 from covaria.operators.features import FeatureTable
 from covaria.operators.moments import Moments, fit_moments
 from covaria.operators.pca import TOP, canonical_sign, ranked, side_by_side
-from covaria.operators.profile import Scaling, fit_scaling, sample_deviation, usable_features
+from covaria.operators.profile import Scaling, sample_deviation, usable_features
 from covaria.operators.project import classify, project
 
 # A component is given up when what is left to explain is this small a share of what
@@ -183,14 +183,8 @@ def fit_plsda(
     """
     if table.label is None:
         raise ValueError("PLS-DA needs a label column")
-    if moments is None:
-        scaling = fit_scaling(table)
-        used = usable_features(scaling, nan_policy, drop_constant=False)
-        if len(used) < max(n_components, 2):
-            return None
-        moments = fit_moments(table, scaling)
-    else:
-        used = usable_features(moments.scaling.subset(table.features), nan_policy, drop_constant=False)
-        if len(used) < max(n_components, 2):
-            return None
+    moments = fit_moments(table) if moments is None else moments
+    used = usable_features(moments.scaling.subset(table.features), nan_policy, drop_constant=False)
+    if len(used) < max(n_components, 2):
+        return None
     return plsda_from_moments(moments.subset(used), n_components, scale)

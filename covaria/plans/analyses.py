@@ -12,10 +12,9 @@ from covaria.operators.features import FeatureTable
 from covaria.operators.links import link_counts, pair_links
 from covaria.operators.lookups import invert_categories, with_category
 from covaria.operators.metrics import accuracy, confusion_matrix, macro_f1, metrics_table
-from covaria.operators.moments import Moments, fit_moments
+from covaria.operators.moments import Moments
 from covaria.operators.pca import PCAModel, fit_pca
 from covaria.operators.plsda import PLSModel, fit_plsda
-from covaria.operators.profile import fit_scaling
 from covaria.operators.silhouette import silhouette
 from covaria.sources.categories import element_categories
 from covaria.sources.catalog import FeatureCatalog
@@ -122,7 +121,3 @@ def plsda_view(table: FeatureTable, keep: Sequence[str] = (), moments: Moments |
         model.vip_df(spark),
     )
 
-
-def moments_of(table: FeatureTable) -> Moments:
-    """Moments of every feature, to be sliced by later requests without another pass."""
-    return fit_moments(table, fit_scaling(table))

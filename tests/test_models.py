@@ -220,3 +220,53 @@ def test_view_tables(spark, data):
     assert [r["metric"] for r in view.metrics.orderBy("ord").collect()] == [
         "Accuracy", "F1 Score", "Silhouette", "Fisher Ratio",
     ]
+
+
+@pytest.mark.parametrize("form", [0, 1])
+def test_number_of_passes(spark, monkeypatch, form):
+    """One pass on complete data; a second with gaps or a misleading start."""
+    from covaria.operators import moments as module
+
+    passes = []
+    add_up = module._add_up
+    monkeypatch.setattr(module, "_add_up", lambda *a, **k: passes.append(1) or add_up(*a, **k))
+    x, y = plain.samples(n=120, p=3)
+    fit_moments(_tables(spark, x, y)[form])
+    assert len(passes) == 1
+    gaps = x.copy()
+    gaps[5, 1] = np.nan
+    fit_moments(_tables(spark, gaps, y)[form])
+    assert len(passes) == 3
+    monkeypatch.setattr(module, "_rough_mean", lambda table: np.full(3, 1e9))
+    z = plain.standardized(x)
+    np.testing.assert_allclose(fit_moments(_tables(spark, x, y)[form]).gram, z.T @ z, atol=1e-9)
+    assert len(passes) == 5
+
+
+@pytest.mark.parametrize("form", [0, 1])
+def test_constant_and_empty_columns(spark, form):
+    x, y = plain.samples(n=50, p=4)
+    x[:, 1], x[:, 2] = 3.3, np.nan
+    m = fit_moments(_tables(spark, x, y)[form])
+    assert m.scaling.constant.tolist() == [False, True, False, False]
+    assert m.gram[1].tolist() == [0.0] * 4 and m.gram[2].tolist() == [0.0] * 4
+    assert fit_pca(_tables(spark, x, y)[form]).features == ("f/0.x", "f/3.x")
+
+
+def test_nothing_selected(spark, data):
+    table = FeatureTable.of(data[2].df, [], "y")
+    assert fit_pca(table).scores(table, ["id"]).count() == 0
+    assert fit_plsda(table) is None
+
+
+def test_no_rows(spark, data):
+    for table in data[2:]:
+        nothing = table.with_df(table.df.where("id < 0"))
+        assert fit_moments(nothing).n_rows == 0
+        assert not fit_pca(nothing).fitted
+
+
+def test_ragged_arrays_are_refused(spark):
+    df = spark.createDataFrame([(i, [1.0 * i] * (3 if i else 2)) for i in range(5)], "id int, x array<double>")
+    with pytest.raises(Exception):
+        fit_moments(FeatureTable.of(df, ["a", "b", "c"], array="x"))
