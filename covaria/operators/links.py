@@ -19,12 +19,11 @@ def split_pairs(pairs: DataFrame, formula: str = "formula") -> DataFrame:
 
 def valid_pairs(pairs: DataFrame, formula: str = "formula") -> DataFrame:
     """Pairs of exactly two symbols, with ``symbol_a`` and ``symbol_b``."""
-    two = split_pairs(pairs, formula).where(F.size("tokens") == 2)
-    return (
-        two.withColumn("symbol_a", F.get("tokens", F.lit(0)))
-        .withColumn("symbol_b", F.get("tokens", F.lit(1)))
-        .drop("tokens")
-    )
+    # As a generator, not a filter: a filter would be pushed below whatever made the pairs
+    # distinct, and the pattern searched in every row there instead of once per pair.
+    ends = F.struct(F.get("tokens", F.lit(0)).alias("symbol_a"), F.get("tokens", F.lit(1)).alias("symbol_b"))
+    two = F.filter(F.array(ends), lambda _: F.size("tokens") == 2)
+    return split_pairs(pairs, formula).select(*pairs.columns, F.inline(two))
 
 
 def rejected_pairs(pairs: DataFrame, formula: str = "formula") -> DataFrame:

@@ -34,9 +34,14 @@ LEAF_POINTS = 256
 # Grid points per axis.
 GRID = 10
 
-# Cells are numbered by integers of this many bits per axis at most. Points still crowded
-# in one cell then are compared block by block.
-MAX_DEPTH = 26
+# Up to this many distinct points are compared directly, as one cell.
+DIRECT_POINTS = 4096
+
+# Halving the square more often would go below the resolution of double coordinates.
+MAX_DEPTH = 48
+
+# Bits per axis of the sort key that keeps close cells close.
+ORDER_BITS = 31
 
 # Grid weights of one class in one cell of one level of the tree.
 _VECTOR = "level int, ix long, iy long, c int, vec array<double>"
@@ -103,7 +108,12 @@ class _Frame:
 
 
 def silhouette(
-    points: DataFrame, x: str, y: str, label: str, leaf_points: int = LEAF_POINTS
+    points: DataFrame,
+    x: str,
+    y: str,
+    label: str,
+    leaf_points: int = LEAF_POINTS,
+    direct_points: int = DIRECT_POINTS,
 ) -> DataFrame:
     """One row ``n_rows, n_classes, silhouette``.
 
@@ -134,11 +144,11 @@ def silhouette(
     type_ = merged.schema["label"].dataType.simpleString()
     index = spark.createDataFrame([(r["label"], i) for i, r in enumerate(classes)], f"label {type_}, c int")
     indexed = merged.join(F.broadcast(index), "label").select("x", "y", "c", "w")
-    depth = _depth(indexed, frame, leaf_points)
+    depth = 0 if frame.n_points <= direct_points else _depth(indexed, frame, leaf_points)
     placed = indexed.select(
         frame.cell("x", frame.x0, depth).alias("ix"), frame.cell("y", frame.y0, depth).alias("iy"), "x", "y", "c", "w"
     )
-    far = _far_field(placed, frame, depth) if depth >= 2 else None
+    far = _far_field(placed.withColumn("level", F.lit(depth)), frame, depth) if depth >= 2 else None
     sums = _leaf_sums(placed, far, frame, depth)
     return sums.agg(
         F.lit(int(rows.sum())).cast("long").alias("n_rows"),
@@ -172,8 +182,8 @@ def _depth(points: DataFrame, frame: _Frame, leaf_points: int) -> int:
         depth = min(MAX_DEPTH, depth + deeper(crowd))
 
 
-def _z_order(ix: Column, iy: Column) -> Column:
-    """Bits of both cell numbers interleaved: sorting by it keeps close cells close."""
+def _z_order() -> Column:
+    """Leading bits of both cell numbers interleaved: sorting by it keeps close cells close."""
 
     def spread(v: Column) -> Column:
         for shift, mask in (
@@ -186,15 +196,16 @@ def _z_order(ix: Column, iy: Column) -> Column:
             v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
         return v
 
+    ix, iy = (F.expr(f"shiftright({n}, greatest(level - {ORDER_BITS}, 0))") for n in ("ix", "iy"))
     return F.shiftleft(spread(ix), 1).bitwiseOR(spread(iy))
 
 
-def _in_z_order(df: DataFrame, *first: str) -> DataFrame:
-    """Range-partitioned and sorted, so that a batch holds a patch of close cells.
+def _in_z_order(df: DataFrame) -> DataFrame:
+    """Range-partitioned and sorted by level and place, so that a batch holds close cells.
 
     What a batch computes for a cell is then mostly added up before the next shuffle.
     """
-    order = [*[F.col(c) for c in first], _z_order(F.col("ix"), F.col("iy"))]
+    order = [F.col("level"), _z_order()]
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
@@ -333,7 +344,7 @@ def _exchange(vectors: DataFrame, cells: DataFrame, frame: _Frame) -> DataFrame:
             yield _emit(level[source], ix[source] + dx, iy[source] + dy, c[source], moved)
 
     joined = vectors.join(existing, ["level", "ix", "iy"])
-    ordered = _in_z_order(joined.select("level", "ix", "iy", "c", "vec", "to"), "level")
+    ordered = _in_z_order(joined.select("level", "ix", "iy", "c", "vec", "to"))
     # A row turns into up to 27; smaller batches keep that within a task's memory.
     return ordered.mapInArrow(_small_batches(run), _VECTOR)
 
@@ -349,35 +360,35 @@ def _leaf_sums(placed: DataFrame, far: DataFrame | None, frame: _Frame, depth: i
     """``total, rows``: summed silhouettes and row counts, one row per leaf cell.
 
     Each leaf meets the points of the up to nine cells around it and the grid vectors that
-    stand for everything further away.
+    stand for everything further away. The points of a cell, few as they are, travel as
+    one row.
     """
     last = 2**depth - 1
+    packed = placed.groupBy("ix", "iy").agg(F.collect_list(F.struct("x", "y", "c", "w")).alias("points"))
     steps = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    spread = placed.select("ix", "iy", "x", "y", "c", "w", F.explode(steps).alias("to")).select(
-        (F.col("ix") + F.col("to.dx")).alias("ix"), (F.col("iy") + F.col("to.dy")).alias("iy"),
-        F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("c").alias("sc"), F.col("w").alias("sw"),
-        F.lit(None).cast("array<double>").alias("vec"),
+    around = (
+        packed.select("ix", "iy", F.col("points").alias("near"), F.explode(steps).alias("to"))
+        .select((F.col("ix") + F.col("to.dx")).alias("ix"), (F.col("iy") + F.col("to.dy")).alias("iy"), "near")
+        .where(F.col("ix").between(0, last) & F.col("iy").between(0, last))
+        .select("ix", "iy", "near", F.lit(None).cast("int").alias("fc"), F.lit(None).cast("array<double>").alias("vec"))
     )
-    around = spread.where(F.col("ix").between(0, last) & F.col("iy").between(0, last))
     if far is not None:
-        blank = F.lit(None).cast("double")
-        around = around.unionByName(
-            far.select(
-                "ix", "iy", blank.alias("sx"), blank.alias("sy"), F.col("c").alias("sc"),
-                F.lit(0).cast("long").alias("sw"), "vec",
-            )
-        )
+        nothing = F.lit(None).cast(around.schema["near"].dataType)
+        around = around.unionByName(far.select("ix", "iy", nothing.alias("near"), F.col("c").alias("fc"), "vec"))
     x0, y0, scale = frame.x0, frame.y0, 2**depth / frame.side
     class_rows = frame.class_rows
     k = len(class_rows)
 
+    def unpacked(column: pa.ChunkedArray):
+        points = column.combine_chunks().drop_null().flatten()
+        return [points.field(n).to_numpy(zero_copy_only=False) for n in ("x", "y", "c", "w")]
+
     def leaf(targets: pa.Table, sources: pa.Table) -> pa.Table:
-        ix, iy, x, y, c, w = [targets.column(n).to_numpy() for n in ("ix", "iy", "x", "y", "c", "w")]
-        if not len(x):
+        if not targets.num_rows:
             return pa.table({"total": pa.array([], pa.float64()), "rows": pa.array([], pa.int64())})
-        points = sources.filter(pc.is_null(sources.column("vec")))
+        x, y, c, w = unpacked(targets.column("points"))
+        sx, sy, sc, sw = unpacked(sources.column("near"))
         grids = sources.filter(pc.is_valid(sources.column("vec")))
-        sx, sy, sc, sw = [points.column(n).to_numpy() for n in ("sx", "sy", "sc", "sw")]
         order = np.argsort(sc, kind="stable")
         sx, sy, sc, sw = sx[order], sy[order], sc[order], sw[order].astype(np.float64)
         present, starts = np.unique(sc, return_index=True)
@@ -393,9 +404,10 @@ def _leaf_sums(placed: DataFrame, far: DataFrame | None, frame: _Frame, depth: i
             away *= sw
             sums[part, present] = np.add.reduceat(away, starts, axis=1)
         if len(grids):
+            ix, iy = targets.column("ix")[0].as_py(), targets.column("iy")[0].as_py()
             grid = _on_grid((x - x0) * scale - ix, (y - y0) * scale - iy)
             vec = matrix(grids.column("vec"), GRID * GRID)
-            sums[:, grids.column("sc").to_numpy()] += grid @ vec.T
+            sums[:, grids.column("fc").to_numpy()] += grid @ vec.T
         own = np.arange(len(x)), c
         inside = sums[own] / np.maximum(class_rows[c] - 1, 1)
         means = sums / class_rows
@@ -406,7 +418,7 @@ def _leaf_sums(placed: DataFrame, far: DataFrame | None, frame: _Frame, depth: i
         return pa.table({"total": [float(value @ w)], "rows": [int(w.sum())]})
 
     return (
-        placed.groupBy("ix", "iy")
+        packed.groupBy("ix", "iy")
         .cogroup(around.groupBy("ix", "iy"))
         .applyInArrow(leaf, "total double, rows long")
     )

@@ -62,7 +62,7 @@ def test_silhouette_of_a_crowded_spot(spark, leaf):
     x[: n // 3], y[: n // 3] = 1 + 1e-3 * rng.normal(size=n // 3), 0.5 + 1e-3 * rng.normal(size=n // 3)
     x[-100:], y[-100:] = 0.25, 0.25
     labels = np.array([f"c{v}" for v in c])
-    row = silhouette(_points(spark, x, y, labels), "x", "y", "l", leaf_points=leaf).first()
+    row = silhouette(_points(spark, x, y, labels), "x", "y", "l", leaf_points=leaf, direct_points=0).first()
     assert row["n_rows"] == n and row["n_classes"] == 3
     assert row["silhouette"] == pytest.approx(plain.silhouette(x, y, labels), abs=1e-8)
 
@@ -70,10 +70,27 @@ def test_silhouette_of_a_crowded_spot(spark, leaf):
 def test_silhouette_on_a_line(spark):
     x = np.arange(900.0)
     labels = np.array(["a", "b"])[(x > 300).astype(int)]
-    row = silhouette(_points(spark, x, 0 * x, labels), "x", "y", "l", leaf_points=16).first()
+    row = silhouette(_points(spark, x, 0 * x, labels), "x", "y", "l", leaf_points=16, direct_points=0).first()
     assert row["silhouette"] == pytest.approx(plain.silhouette(x, 0 * x, labels), abs=1e-8)
 
 
+def test_silhouette_with_a_far_outlier(spark):
+    """One point a billion spreads away: the tree has to go deep."""
+    rng = np.random.default_rng(6)
+    x, y, c = rng.normal(size=400), rng.normal(size=400), rng.integers(0, 2, 400)
+    x[0] = 1e9
+    labels = np.array(["a", "b"])[c]
+    row = silhouette(_points(spark, x, y, labels), "x", "y", "l", leaf_points=64, direct_points=0).first()
+    assert row["silhouette"] == pytest.approx(plain.silhouette(x, y, labels), abs=1e-6)
+
+
+def test_silhouette_of_few_points_is_direct(spark):
+    rng = np.random.default_rng(7)
+    x, y, labels = rng.normal(size=500), rng.normal(size=500), rng.choice(["a", "b", "c"], 500)
+    row = silhouette(_points(spark, x, y, labels), "x", "y", "l").first()
+    assert row["silhouette"] == pytest.approx(plain.silhouette(x, y, labels), abs=1e-12)
+
+
 def test_silhouette_edges(spark):
     def of(x, labels):
         x = np.array(x, dtype=float)
