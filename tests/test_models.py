@@ -270,3 +270,33 @@ def test_ragged_arrays_are_refused(spark):
     df = spark.createDataFrame([(i, [1.0 * i] * (3 if i else 2)) for i in range(5)], "id int, x array<double>")
     with pytest.raises(Exception):
         fit_moments(FeatureTable.of(df, ["a", "b", "c"], array="x"))
+
+
+def test_many_columns(spark):
+    """Beyond the narrow limit plain columns take the batch path as well."""
+    x, y = plain.samples(n=90, p=30)
+    table = _tables(spark, x, y)[0]
+    assert not table.narrow
+    z, (d, _) = plain.standardized(x), plain.dummies(y)
+    np.testing.assert_allclose(fit_moments(table).gram, z.T @ z, atol=1e-9)
+    model = fit_plsda(table)
+    w, t, _ = plain.nipals(z, d, 2, True)
+    np.testing.assert_allclose(model.weights, w, atol=1e-7)
+    rows = model.scores(table, ["id"]).orderBy("id").collect()
+    np.testing.assert_allclose([[r["LV1"], r["LV2"]] for r in rows], t, atol=1e-6)
+    assert model.top_weights(spark).count() == 10 and model.vip_df(spark).count() == 10
+    assert model.vip_df(spark, top=None).count() == 30
+
+
+def test_many_terms_take_the_batch_path(data, monkeypatch):
+    """Scores and predictions agree however they are computed."""
+    from covaria.operators import project as module
+
+    table = data[2]
+    model = fit_plsda(table)
+    before = model.predict(table, ["id", "y"]).orderBy("id").collect()
+    scores = model.scores(table, ["id"]).orderBy("id").collect()
+    monkeypatch.setattr(module, "EXPRESSION_LIMIT", 0)
+    assert model.predict(table, ["id", "y"]).orderBy("id").collect() == before
+    again = model.scores(table, ["id"]).orderBy("id").collect()
+    np.testing.assert_allclose([list(r) for r in again], [list(r) for r in scores], atol=1e-12)
