@@ -13,7 +13,7 @@ from covaria.sources.categories import UNKNOWN_CATEGORY
 # A lookup table is broadcast only if its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Beyond it, a key holding more than this share of the rows is looked up apart.
+# Beyond it, keys that may hold more than this share of the rows are looked up apart.
 HEAVY_SHARE = 1 / 512
 
 
@@ -28,9 +28,10 @@ def lookup(
 ) -> DataFrame:
     """Add the columns of ``table`` (one row per ``table_key``) to the matching rows.
 
-    A table counted (or known, ``table_rows``) to be small is broadcast, so hot keys do no harm. A larger one is
-    joined by shuffle, except for heavy keys: fewer than ``1 / HEAVY_SHARE`` keys can each
-    hold that share of the rows, so their part of the table is small, and is broadcast.
+    A table counted (or known, ``table_rows``) to be small is broadcast, so hot keys do no
+    harm. A larger one is joined by shuffle, except for heavy keys: one pass with bounded
+    memory lists every key that holds ``HEAVY_SHARE`` of the rows, and at most
+    ``1 / HEAVY_SHARE`` keys in all, so their part of the table is small, and is broadcast.
     """
     how = "left" if keep_unmatched else "inner"
     match_key = "__lookup_key"
@@ -42,10 +43,8 @@ def lookup(
     width = sum(40 if f.dataType.simpleString() == "string" else 16 for f in table.schema.fields)
     if (table.count() if table_rows is None else table_rows) * width <= broadcast_bytes:
         return joined(rows, F.broadcast(table))
-    counts = rows.groupBy(column(row_key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    n_rows = rows.count()
-    heavy = [r["key"] for r in counts.where(F.col("n") > n_rows * HEAVY_SHARE).collect()]
-    hot = [k for k in heavy if k is not None]
+    heavy = rows.select(column(row_key).alias("key")).freqItems(["key"], HEAVY_SHARE).first()
+    hot = [k for k in heavy["key_freqItems"] if k is not None]
     is_hot = F.coalesce(column(row_key).isin(hot), F.lit(False)) if hot else F.lit(False)
     present = column(row_key).isNotNull()
     parts = [joined(rows.where(present & ~is_hot), table)]

@@ -247,6 +247,13 @@ def _add_up_columns(table: FeatureTable, mean: np.ndarray, scale: np.ndarray, me
     return _Sums(n_rows, gram + np.triu(gram, 1).T, by_class, missing, infinite, low, high)
 
 
+# Gram matrices all tasks of a pass may emit together. Tasks are never merged to fewer
+# than MIN_TASKS for it; more than MANY_TASKS would be allowed for moderate widths, where
+# nothing needs merging.
+EMITTED_BYTES = 2**40
+MIN_TASKS = 8_192
+MANY_TASKS = 200_000
+
 # Rows a task emits besides one for each feature, told apart by a negative number.
 _CLASS, _MISSING, _INFINITE, _LOW, _HIGH = -1, -2, -3, -4, -5
 
@@ -254,12 +261,11 @@ _CLASS, _MISSING, _INFINITE, _LOW, _HIGH = -1, -2, -3, -4, -5
 def _add_up_batches(table: FeatureTable, mean: np.ndarray, scale: np.ndarray, measure: bool) -> _Sums:
     """Arrow batches: each task adds up its own Gram matrix and class sums.
 
-    A task emits one row per feature and per class it met; Spark adds the rows up. Tasks
-    are merged without a shuffle to a few per core first, so that the emitted volume is
-    bounded by the cluster and not by the number of input splits.
+    A task emits one row per feature and per class it met; Spark adds the rows up. Where
+    many features meet many input splits, splits are first merged without a shuffle into
+    as many tasks as keep the emitted volume within ``EMITTED_BYTES``.
     """
     p = len(table.features)
-    spark = table.df.sparkSession
     label_type = T.StringType() if table.label is None else table.df.schema[table.label].dataType
     label = F.lit(None).cast(label_type) if table.label is None else column(table.label)
     schema = T.StructType(
@@ -300,7 +306,9 @@ def _add_up_batches(table: FeatureTable, mean: np.ndarray, scale: np.ndarray, me
             yield _partial_rows(gram, classes, extra, arrow_label)
 
     source = table.df.select(label.alias("label"), table.vector().alias("x"))
-    source = source.coalesce(2 * spark.sparkContext.defaultParallelism)
+    tasks = max(MIN_TASKS, EMITTED_BYTES // (8 * p * p))
+    if tasks < MANY_TASKS:
+        source = source.coalesce(tasks)
     both = Summarizer.metrics("sum", "max").summary(array_to_vector(F.col("sums"))).alias("both")
     added = (
         source.mapInArrow(partial, schema)
@@ -333,10 +341,10 @@ def _add_class_sums(classes: dict, labels: pa.Array, z: np.ndarray) -> None:
     coded = labels.dictionary_encode(null_encoding="encode")
     codes = coded.indices.to_numpy(zero_copy_only=False)
     names = coded.dictionary.to_pylist()
-    onehot = np.zeros((len(names), len(codes)))
-    onehot[codes, np.arange(len(codes))] = 1.0
-    counts, sums = onehot.sum(axis=1), onehot @ z
-    for k, name in enumerate(names):
+    order = np.argsort(codes, kind="stable")
+    met, starts, counts = np.unique(codes[order], return_index=True, return_counts=True)
+    sums = np.add.reduceat(z[order], starts, axis=0)
+    for k, name in enumerate(names[i] for i in met):
         n, s = classes.get(name, (0, 0.0))
         classes[name] = (n + int(counts[k]), s + sums[k])
 

@@ -132,12 +132,10 @@ def _count(table: FeatureTable, moments: Moments, coefficients: np.ndarray, shar
                 part = slice(start, start + block_rows)
                 z = standardize_block(x[part], scaling)
                 best = np.argmax((z @ stacked).reshape(-1, m, k) + share, axis=2)
-                truth = actual[part]
-                known = truth >= 0
-                for c in range(k):
-                    chosen = best == c
-                    predicted[:, c] += chosen[known].sum(axis=0)
-                    hits[:, c] += chosen[truth == c].sum(axis=0)
+                truth = actual[part, None]
+                cell = best + k * np.arange(m)
+                predicted += np.bincount(cell[actual[part] >= 0].ravel(), minlength=m * k).reshape(m, k)
+                hits += np.bincount(cell[best == truth], minlength=m * k).reshape(m, k)
         cells = np.argwhere(predicted > 0)
         if len(cells):
             yield pa.RecordBatch.from_arrays(

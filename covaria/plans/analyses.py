@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covaria.operators.durable import settle
 from covaria.operators.features import FeatureTable
 from covaria.operators.links import link_counts, pair_links
 from covaria.operators.lookups import invert_categories, with_category
@@ -74,11 +75,8 @@ def quality(table: FeatureTable, model: PLSModel, with_silhouette: bool = True)
     ratio needs none, since class means and variances of scores follow from the moments.
     """
     predicted = model.predict(table, [table.label])
-    # At most classes x classes rows: counted once, then both metrics are read off.
-    counted = confusion_matrix(predicted, table.label, "prediction").collect()
-    spark = table.df.sparkSession
-    schema = f"label {table.df.schema[table.label].dataType.simpleString()}, prediction string, n long"
-    confusion = spark.createDataFrame([(r["label"], str(r["prediction"]), r["n"]) for r in counted], schema)
+    # Counted once, then both metrics are read off.
+    confusion = settle(confusion_matrix(predicted, table.label, "prediction"))
     score = None
     if with_silhouette and len(model.classes) > 1:
         points = model.scores(table, [table.label])
