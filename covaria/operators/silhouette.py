@@ -217,19 +217,16 @@ def _added(vectors: DataFrame) -> DataFrame:
 
 def _emit(level, ix, iy, c, vectors: np.ndarray) -> pa.RecordBatch:
     """Rows of one batch, those of the same cell and class added up first."""
-    keys = np.column_stack([level, ix, iy, c]).astype(np.int64)
-    unique, inverse = np.unique(keys, axis=0, return_inverse=True)
-    inverse = inverse.ravel()
-    order = np.argsort(inverse, kind="stable")
-    starts = np.searchsorted(inverse[order], np.arange(len(unique)))
+    order = np.lexsort((c, iy, ix, level))
+    keys = [np.asarray(k)[order] for k in (level, ix, iy, c)]
+    changes = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    starts = np.concatenate([[0], np.flatnonzero(changes) + 1])
     sums = np.add.reduceat(vectors[order], starts, axis=0)
     offsets = np.arange(0, sums.size + 1, sums.shape[1], dtype=np.int32)
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.int32())
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(unique[:, 0].astype(np.int32)),
-            pa.array(unique[:, 1]),
-            pa.array(unique[:, 2]),
-            pa.array(unique[:, 3].astype(np.int32)),
+            *[pa.array(k[starts], t) for k, t in zip(keys, types)],
             pa.ListArray.from_arrays(pa.array(offsets), pa.array(sums.ravel())),
         ],
         names=["level", "ix", "iy", "c", "vec"],

@@ -46,7 +46,9 @@ SMALL, ROWS, PROFILE = 6, 5, 7
 
 
 def rounded(value: Column, digits: int) -> Column:
-    return F.round(value, digits) + F.lit(0.0)  # adding zero turns -0.0 into 0.0
+    """Half up, in plain double arithmetic (``round`` goes through decimals)."""
+    unit = F.lit(10.0**digits)
+    return F.floor(value * unit + F.lit(0.5)) / unit
 
 
 def _round(df: DataFrame, digits: int = SMALL) -> DataFrame:

@@ -21,7 +21,7 @@ KEYS = ", ".join(LINE_KEYS)
 
 
 def r(expression: str, digits: int = 6) -> str:
-    return f"round({expression}, {digits}) + 0.0"
+    return f"floor(({expression}) * 1e{digits} + 0.5) / 1e{digits}"
 
 
 def union_all(parts) -> str:

@@ -300,3 +300,33 @@ def test_many_terms_take_the_batch_path(data, monkeypatch):
     assert model.predict(table, ["id", "y"]).orderBy("id").collect() == before
     again = model.scores(table, ["id"]).orderBy("id").collect()
     np.testing.assert_allclose([list(r) for r in again], [list(r) for r in scores], atol=1e-12)
+
+
+def test_whole_catalogues(spark):
+    """The full sample and entity catalogues, with all their odd column names."""
+    from covaria.operators.selection import forward_selection
+    from covaria.plans.analyses import pca_map, requested
+    from covaria.sources import ENTITY_CATALOG, SAMPLE_CATALOG
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 133))
+    y = ["CsCl", "NaCl", "ZnS"] * 20
+    x[:, 5] += np.arange(60) % 3
+    frame = pd.DataFrame(x, columns=SAMPLE_CATALOG.columns)
+    frame["Class"] = y
+    samples = spark.createDataFrame(frame)
+    table = requested(samples, SAMPLE_CATALOG, label="Class", all_=True)
+    view = plsda_view(table)
+    assert view.scores.count() == 60 and view.vip.count() == 10
+    assert view.model.vip @ view.model.vip == pytest.approx(133)
+    history = forward_selection(table, plateau_steps=1, seed=1).orderBy("step").collect()
+    assert len(history) >= 2 and history[-1]["accuracy"] >= history[0]["accuracy"]
+
+    frame = pd.DataFrame(rng.normal(size=(30, 72)), columns=ENTITY_CATALOG.columns)
+    frame["Symbol"] = [f"E{i}" for i in range(30)]
+    entities = spark.createDataFrame(frame)
+    chosen = requested(entities, ENTITY_CATALOG, groups=["thermal_and_physical_properties"])
+    assert len(chosen.features) == 10 and "Density,  g/mL" in chosen.features
+    assert requested(entities, ENTITY_CATALOG).features == ("Period", "Group")
+    found = pca_map(requested(entities, ENTITY_CATALOG, all_=True), "Symbol")
+    assert found.top_loadings.count() == 10 and found.scores.count() == 30
