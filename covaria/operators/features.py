@@ -77,6 +77,9 @@ def kept(table: FeatureTable) -> Iterator[FeatureTable]:
     Worth it where many passes follow and rows are costly to derive (joins, text). A table
     that is a plain scan is better read again: column pruning makes that cheap.
     """
+    if table.df.is_cached:  # the caller's to release
+        yield table
+        return
     stored = table.df.persist()
     try:
         yield table.with_df(stored)

@@ -10,11 +10,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from covaria.functions import column
 
 
+# Columns that tell where a row was read.
+POSITION = ("source_file", "source_row")
+
+
 def _load(spark: SparkSession, path, fmt: str, schema: T.StructType | None, options: dict) -> DataFrame:
     reader = spark.read.format(fmt)
     if fmt == "csv":
@@ -55,13 +60,22 @@ def read_entities(
     features: Sequence[str] | None = None,
     fmt: str = "parquet",
     schema: T.StructType | None = None,
+    with_position: bool = False,
     **options,
 ) -> DataFrame:
-    """Entities: key as string, then features as doubles."""
+    """Entities: key as string, then features as doubles.
+
+    ``with_position`` (Parquet only) adds ``POSITION``, the file and the row in it: the
+    order in which the first of several rows with one key is meant.
+    """
     df = _load(spark, path, fmt, schema, options)
     if features is None:
         features = [c for c in df.columns if c != key]
-    return df.select(column(key).cast("string").alias(key), *_doubles(df, features))
+    position = []
+    if with_position:
+        file, row = POSITION
+        position = [F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)]
+    return df.select(column(key).cast("string").alias(key), *_doubles(df, features), *position)
 
 
 def read_pairs(

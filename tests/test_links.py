@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +8,7 @@ from covaria.operators.features import FeatureTable
 from covaria.operators.links import link_counts, pair_links, rejected_pairs, split_pairs
 from covaria.operators.lookups import first_per_key, lookup
 from covaria.plans.analyses import pair_map, pca_map, with_element_category
+from covaria.sources import POSITION, read_entities
 
 FORMULAS = [("NaCl", "s1"), ("CsCl", "s2"), ("ZnS", "s3"), ("Na", "s1"), ("NaClO", "s1"), ("Na2Cl2", "s2"), ("XxCl", "s3"), (None, "s1")]
 
@@ -58,6 +62,30 @@ def test_large_lookup_equals_broadcast(spark, keep):
     assert large.exceptAll(small).count() == 0 and small.exceptAll(large).count() == 0
 
 
+def test_first_row_of_a_file_wins(spark, tmp_path):
+    rows = [("B", 5.0, 1.0), ("A", 9.0, 2.0), ("A", 1.0, 7.0), ("C", 2.0, 2.0), ("A", 0.0, 0.0), ("D", 3.0, 4.0)]
+    path = str(tmp_path / "entities")
+    spark.createDataFrame(rows, "Symbol string, a double, b double").coalesce(1).write.parquet(path)
+    df = read_entities(spark, path, features=["a", "b"], with_position=True)
+    first = first_per_key(df, "Symbol", ["a", "b"], POSITION)
+    assert {r["Symbol"]: (r["a"], r["b"]) for r in first.collect()}["A"] == (9.0, 2.0)
+    table = FeatureTable.of(df, ["a", "b"])
+    pairs = spark.createDataFrame([("AB", "s")], "formula string, structure string")
+    link = pair_map(table, pairs, "Symbol", order_by=POSITION).links.first()
+    scores = pca_map(table, "Symbol").model.scores(table, ["Symbol", "a"]).where("Symbol = 'A' and a = 9.0").first()
+    assert link["x0"] == pytest.approx(scores["PC1"])
+
+
+def test_random_formulas_against_re(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ABCabc0-é ") for _ in range(rng.randrange(12))) for _ in range(500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, formula string")
+    found = {r["i"]: r["tokens"] for r in split_pairs(df).collect()}
+    assert all(found[i] == re.findall("[A-Z][a-z]?", t) for i, t in enumerate(texts))
+    rejected = {r["i"] for r in rejected_pairs(df).collect()}
+    assert rejected == {i for i, t in enumerate(texts) if len(re.findall("[A-Z][a-z]?", t)) != 2}
+
+
 def test_maps(spark, pairs):
     rows = [("Na", 1.0, 2.0, 5.0), ("Cl", 3.0, 1.0, 4.0), ("Cs", 2.0, 5.0, 1.0), ("Zn", 0.0, 1.0, 1.0), ("S", 4.0, 2.0, 2.0)]
     table = FeatureTable.of(spark.createDataFrame(rows, "Symbol string, a double, b double, c double"), ["a", "b", "c"])
