@@ -209,15 +209,29 @@ def _visiting_order(seed: int | None) -> Callable[[Sequence[str]], list[str]]:
     return lambda names: generator.sample(list(names), len(names))
 
 
-def _best(
-    table: FeatureTable, moments: Moments, trials: list[tuple[str, list[str]]], n_components: int, scoring: str
-) -> tuple[str | None, Score]:
-    scores = evaluate_subsets(table, moments, [s for _, s in trials], n_components, scoring)
-    name, best = None, UNDEFINED
-    for (feature, _), score in zip(trials, scores):
-        if score.defined and (not best.defined or score.rank > best.rank):
-            name, best = feature, score
-    return name, best
+class _Search:
+    """Greedy search over subsets, one pass over the rows for each step.
+
+    The score of the set it starts from is counted in the pass of the first step.
+    """
+
+    def __init__(self, table: FeatureTable, moments: Moments, n_components: int, scoring: str):
+        self.table, self.moments = table, moments
+        self.n_components, self.scoring = n_components, scoring
+
+    def best(self, trials: dict[str, list[str]], start: Sequence[str] = ()) -> tuple[str | None, Score, Score]:
+        """Name and score of the first best trial, and the score of ``start``.
+
+        Trials with fewer features than components are not made.
+        """
+        made = {f: s for f, s in trials.items() if len(s) >= self.n_components}
+        subsets = [*made.values(), *([list(start)] if start else [])]
+        scores = evaluate_subsets(self.table, self.moments, subsets, self.n_components, self.scoring)
+        name, best = None, UNDEFINED
+        for feature, score in zip(made, scores):
+            if score.defined and (not best.defined or score.rank > best.rank):
+                name, best = feature, score
+        return name, best, scores[-1] if start else UNDEFINED
 
 
 def forward_selection(
@@ -247,15 +261,14 @@ def forward_selection(
     if not start and n_components > 1:
         start = random.Random(0 if seed is None else seed).sample(remaining, min(n_components, len(remaining)))
         remaining = [f for f in remaining if f not in set(start)]
-    moments = moments or fit_moments(table)
-    selected, best, history = list(start), UNDEFINED, []
-    if start:
-        best = evaluate_subsets(table, moments, [selected], n_components, scoring)[0]
-        history.append((1, best.value, start, len(selected)))
-    flat = 0
-    while remaining:
-        trials = [(f, [*selected, f]) for f in order(remaining) if len(selected) + 1 >= n_components]
-        name, score = _best(table, moments, trials, n_components, scoring)
+    search = _Search(table, moments or fit_moments(table), n_components, scoring)
+    selected, best, history, flat = list(start), UNDEFINED, [], 0
+    while remaining or not history:
+        trials = {f: [*selected, f] for f in order(remaining)}
+        name, score, started = search.best(trials, () if history else start)
+        if start and not history:
+            best = started
+            history.append((1, best.value, start, len(start)))
         if name is None or (best.defined and score.rank < best.rank):
             break
         flat = flat + 1 if best.defined and score.rank == best.rank else 0
@@ -281,16 +294,16 @@ def backward_elimination(
     Step 0 is the full set. Ends at ``min_features`` or when every removal lowers the
     score.
     """
-    moments = moments or fit_moments(table)
+    search = _Search(table, moments or fit_moments(table), n_components, scoring)
     order = _visiting_order(seed)
-    current = list(table.features)
-    best = evaluate_subsets(table, moments, [current], n_components, scoring)[0]
-    history = [(0, best.value, "", len(current))]
-    while len(current) > min_features:
-        trials = [
-            (f, [g for g in current if g != f]) for f in order(current) if len(current) - 1 >= n_components
-        ]
-        name, score = _best(table, moments, trials, n_components, scoring)
+    current, best, history = list(table.features), UNDEFINED, []
+    while not history or len(current) > min_features:
+        may_shrink = len(current) > min_features
+        trials = {f: [g for g in current if g != f] for f in order(current)} if may_shrink else {}
+        name, score, started = search.best(trials, () if history else current)
+        if not history:
+            best = started
+            history.append((0, best.value, "", len(current)))
         if name is None or (best.defined and score.rank < best.rank):
             break
         best = score
