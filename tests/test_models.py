@@ -24,7 +24,7 @@ def _tables(spark, x, y, partitions=4):
 
 @pytest.fixture(scope="module")
 def data(spark):
-    x, y = plain.samples(n=240, p=7)
+    x, y = plain.samples(n=240, p=6)
     return x, y, *_tables(spark, x, y)
 
 
@@ -95,7 +95,7 @@ def test_pca_of_a_subset_reads_no_rows(data):
 
 def test_pca_full_rank_explains_everything(data):
     table = data[2]
-    assert fit_pca(table, n_components=7).explained_percent.sum() == pytest.approx(100)
+    assert fit_pca(table, n_components=6).explained_percent.sum() == pytest.approx(100)
 
 
 def test_pca_drops_and_names_what_is_left(spark):
@@ -152,7 +152,7 @@ def test_plsda_agrees_with_iteration(data, scale):
 
 def test_vip_squares_sum_to_feature_count(data):
     model = fit_plsda(data[2])
-    assert (model.vip**2).sum() == pytest.approx(7)
+    assert (model.vip**2).sum() == pytest.approx(6)
     np.testing.assert_allclose(np.linalg.norm(model.weights, axis=0), 1)
 
 
@@ -216,7 +216,7 @@ def test_quality(data):
 def test_view_tables(spark, data):
     view = plsda_view(data[2], ["id"])
     assert view.scores.columns == ["id", "y", "LV1", "LV2"] and view.scores.count() == 240
-    assert view.vip.count() == 7 and view.top_weights.count() == 7
+    assert view.vip.count() == 6 and view.top_weights.count() == 6
     assert [r["metric"] for r in view.metrics.orderBy("ord").collect()] == [
         "Accuracy", "F1 Score", "Silhouette", "Fisher Ratio",
     ]
