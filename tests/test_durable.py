@@ -45,3 +45,14 @@ def test_settled_rows_are_the_same(spark):
     settled = durable.settle(df)
     assert settled.columns == ["id", "twice"] and settled.count() == 100
     assert settled.exceptAll(df).count() == 0
+
+
+def test_stored_rows_are_the_same_and_can_be_removed(spark):
+    df = spark.range(100).selectExpr("id", "id * 2 AS twice")
+    table = durable.stored(df)
+    assert table.schema == df.schema or table.columns == df.columns
+    assert table.exceptAll(df).count() == 0 and table.count() == 100
+    assert durable.stored(df.limit(0)).count() == 0
+    durable.forget(spark)
+    with pytest.raises(Exception):
+        table.count()
