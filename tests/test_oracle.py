@@ -6,14 +6,15 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as spark_entry
+from covaria.plans.registered import registered
+from oracles import oracle_sql
 
 TYPES = {
     "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT",
 }
 
-QUERIES = spark_entry.queries()
-ORACLES = spark_entry.oracle_sql()
+QUERIES = dict(registered())
+ORACLES = dict(oracle_sql())
 
 
 @pytest.fixture(scope="session")
