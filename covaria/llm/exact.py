@@ -13,25 +13,26 @@ together in any grouping (``combine``). Fingerprint and length name a candidate
 Documents with equal fingerprints are then compared byte by byte: their texts are streamed
 as chunk rows, and the smallest and largest chunk at each place of a group must be the same.
 The aggregate combines inside each task before the shuffle, so a group that holds a third of
-all rows sends one chunk per task and place. A group that fails is split by the texts
-themselves.
+all rows sends one chunk per task and place. A group that fails is split by the texts'
+SHA-256, which the result carries anyway.
 
 Defined results: a null text counts as empty; empty texts are equal to each other. The row
 with most code points stays, then the smallest id, a null id last. Rows with one id are
-separate documents; where the row that stays has identical twins (same id, same text), all
-of them show ``kept`` true in the digest and ``deduplicated`` returns one of them. Other
+separate documents; of rows with one id and equally many code points the one with the
+smallest text hash stays. Where that row has twins (same id, same original text), all of
+them show ``kept`` true in the digest and ``deduplicated`` returns one of them. Other
 columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covaria.llm.text import SPACE_BYTES, SPACES, raw_texts, slices, small_enough
+from covaria.llm.keep import one_of_each, text_hash, winners
+from covaria.llm.text import SPACE_BYTES, raw_texts, slices, small_enough
 from covaria.operators.durable import stored
 
 CHUNK = 4096
@@ -123,11 +124,12 @@ def _reader(primes, points, with_chunks: bool):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(begin, end - begin),
+                        batch.column("h").slice(begin, end - begin),
                         pa.array(fp, pa.string()),
                         pa.array(codes, pa.int64()),
                         pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
                     ],
-                    names=["doc_id", "fp", "n_codes", "text_sha256"],
+                    names=["doc_id", "h", "fp", "n_codes", "text_sha256"],
                 )
 
     return run
@@ -147,16 +149,17 @@ def _differing(docs: DataFrame, groups: DataFrame, primes, points) -> DataFrame:
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", primes=PRIMES, points=POINTS) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, n_codes, n_twins.
+    """One row per document: doc_id, h, keep_id, group_size, kept, text_sha256, n_twins.
 
-    ``n_twins`` counts the rows that share the kept row's id and size within the group.
+    ``h`` is the hash of the original text and ``n_twins`` the number of rows that share the
+    kept row's id and text.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), text_hash(F.col(text_col)).alias("h"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = stored(
         docs.mapInArrow(
             _reader(primes, points, False),
-            f"doc_id {kind}, fp string, n_codes bigint, text_sha256 string",
+            f"doc_id {kind}, h bigint, fp string, n_codes bigint, text_sha256 string",
         )
     )
     sizes = stored(rows.groupBy("fp").agg(F.count("*").alias("group_size")))
@@ -165,48 +168,23 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pri
     if not differing.isEmpty():
         key = F.when(F.col("unlike").isNotNull(), F.col("text_sha256")).otherwise("").alias("split")
         rows = rows.join(differing.withColumn("unlike", F.lit(True)), "fp", "left")
-    rows = rows.select("doc_id", "fp", "n_codes", "text_sha256", key)
-    best = F.struct((-F.col("n_codes")).alias("minus"), F.col("doc_id").isNull().alias("absent"), "doc_id", "n")
-    groups = stored(
-        rows.groupBy("fp", "split", "n_codes", "doc_id")
-        .agg(F.count("*").alias("n"))
-        .groupBy("fp", "split")
-        .agg(F.min(best).alias("best"), F.sum("n").alias("group_size"))
-        .select("fp", "split", "best", "group_size")
-    )
+    rows = rows.select("doc_id", "h", "fp", "n_codes", "text_sha256", key)
+    groups = stored(winners(rows, ["fp", "split"], [(-F.col("n_codes")).alias("minus_codes")]))
     return rows.join(groups, ["fp", "split"]).select(
         "doc_id",
+        "h",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",
-        ((F.col("n_codes") == -F.col("best.minus")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id"))).alias("kept"),
+        (
+            (F.col("n_codes") == -F.col("best.minus_codes"))
+            & F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
+            & (F.col("h") == F.col("best.h"))
+        ).alias("kept"),
         "text_sha256",
-        "n_codes",
-        F.when(F.col("group_size") > 1, F.col("best.n")).otherwise(1).alias("n_twins"),
+        "n_twins",
     )
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    key = ["__id", "__sha", "__n"]
-    marks = grouped(docs, id_col, text_col).toDF("__id", "keep_id", "group_size", "kept", "__sha", "__n", "n_twins")
-    twins = stored(marks.where(F.col("kept") & (F.col("n_twins") > 1)).select(*key).distinct())
-    drop = stored(marks.where(~F.col("kept")).select(*key).distinct().union(twins))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumns({
-        "__id": F.col(id_col),
-        "__sha": F.sha2(F.encode(F.regexp_replace(text, f"[{SPACES}]+", ""), "UTF-8"), 256),
-        "__n": F.length(text).cast("long"),
-    })
-    match = lambda other: reduce(lambda a, b: a & b, [keyed[k].eqNullSafe(other[k]) for k in key])
-    marked = small_enough(drop, 160)
-    kept = keyed.join(marked, match(marked), "left_anti").select(*docs.columns)
-    if not twins.isEmpty():
-        marked = small_enough(twins, 160)
-        row = F.struct(*[F.col(c) for c in docs.columns])
-        one = (
-            keyed.join(marked, match(marked), "left_semi")
-            .groupBy(*key)
-            .agg(F.max_by(row, F.xxhash64(text_col)).alias("row"))
-        )
-        kept = kept.union(one.select("row.*"))
-    return kept
+    return one_of_each(docs, grouped(docs, id_col, text_col), id_col, text_col)

@@ -3,18 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from covaria.llm import exact, quality
+from covaria.llm import exact, mixing, quality, simhash
 from covaria.llm.text import documents
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = simhash.grouped(documents(spark, sf_dir), words_each=3, max_bits=3)
+    return marks.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = exact.grouped(documents(spark, sf_dir))
     return marks.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(documents(spark, sf_dir), mixing.cycled(1, 2, 3), max_epochs=3)
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op4_exact_dedup, op5_source_mixing, op10_quality_rules)}
