@@ -33,6 +33,12 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def table_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, for tables between jobs."""
+    _ensure_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` computed once and written as a Parquet table in the shared checkpoint folder.
 
@@ -40,8 +46,7 @@ def stored(df: DataFrame) -> DataFrame:
     ``forget`` removes them.
     """
     spark = df.sparkSession
-    _ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = f"{table_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
