@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covaria.llm import exact, mixing, quality, simhash
-from covaria.llm.text import documents
+from covaria.llm import exact, language, mixing, packing, quality, simhash
+from covaria.llm.text import documents, id_remainder
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,17 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marks.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Where an installed public tokenizer lies; it is installed at the same place everywhere."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir), tokenizer_file(), most_tokens=4096)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = exact.grouped(documents(spark, sf_dir))
     return marks.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -24,8 +35,28 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def language_model(docs: DataFrame) -> language.Model | None:
+    """Fitted on documents whose id falls into four of five classes; the fifth is held out."""
+    return language.learned(docs, id_remainder(F.col("doc_id"), 5) != 0)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language.predicted(docs, language_model(docs))
+    return found.select(
+        "doc_id",
+        (id_remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "lang_pred",
+        "score",
+        "rejected",
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op4_exact_dedup, op5_source_mixing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op2_simhash_near_dedup, op3_best_fit_packing, op4_exact_dedup, op5_source_mixing, op6_language_id,
+    op10_quality_rules,
+)}
