@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covaria.llm import exact, language, mixing, packing, quality, simhash
+from covaria.llm import exact, language, mixing, packing, quality, secrets, simhash
 from covaria.llm.text import documents, id_remainder
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scanned(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        secrets.counted(F.col("base"), "assign").alias("n_assign"),
+        secrets.counted(F.col("base"), "access").alias("n_access"),
+        secrets.counted(F.col("base"), "hex").alias("n_hex"),
+        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = simhash.grouped(documents(spark, sf_dir), words_each=3, max_bits=3)
     return marks.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -57,6 +69,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash_near_dedup, op3_best_fit_packing, op4_exact_dedup, op5_source_mixing, op6_language_id,
+    op1_secret_scans, op2_simhash_near_dedup, op3_best_fit_packing, op4_exact_dedup, op5_source_mixing, op6_language_id,
     op10_quality_rules,
 )}
