@@ -17,10 +17,22 @@ SEGMENT = 2 << 20
 _SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
 
+def segments(raw: bytes, most: int = SEGMENT):
+    """A text in parts of about ``most`` bytes, cut at white space only."""
+    at = 0
+    while at < len(raw):
+        cut = _SPACE.search(raw, min(at + most, len(raw)))
+        end = cut.start() if cut else len(raw)
+        yield raw[at:end]
+        at = end
+
+
 class WordIds:
     """Ids of words, and of whole texts."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, remembered: int = REMEMBERED, on_learn=None, on_forget=None):
+        """``on_learn(words)`` is told of words as they get the next numbers, ``on_forget()``
+        before all numbers become void."""
         import numpy as np
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -28,9 +40,10 @@ class WordIds:
 
         self._np, self._most = np, remembered
         self._encode = Tokenizer.from_file(path).encode_batch_fast
-        self._forget()
+        self._on_learn, self._on_forget = on_learn, on_forget
+        self._clear()
 
-    def _forget(self) -> None:
+    def _clear(self) -> None:
         self._index: dict[bytes, int] = {}
         self._flat = self._np.zeros(1 << 16, self._np.uint32)
         self._starts = self._np.zeros(1 << 14, self._np.int64)
@@ -56,21 +69,37 @@ class WordIds:
             self._flat[self._used : self._used + len(own)] = own
             self._starts[k], self._sizes[k] = self._used, len(own)
             self._used += len(own)
+        if self._on_learn:
+            self._on_learn(words)
 
-    def words(self, words: list[bytes]):
-        """Ids of the words in a row, and how many each word has."""
+    def known(self) -> list[bytes]:
+        """The words by number."""
+        return list(self._index)
+
+    def numbers(self, words: list[bytes]):
+        """The number of each word, until words are forgotten."""
         np = self._np
         fresh = set(words).difference(self._index)
         if fresh:
-            if len(self._index) + len(fresh) > self._most:
-                self._forget()
+            if len(self._index) + len(fresh) > self._most and self._index:
+                if self._on_forget:
+                    self._on_forget()
+                self._clear()
                 fresh = set(words)
             self._learn(sorted(fresh))
-        k = np.fromiter(map(self._index.__getitem__, words), np.int64, len(words))
-        sizes = self._sizes[k]
+        return np.fromiter(map(self._index.__getitem__, words), np.int64, len(words))
+
+    def ids(self, numbers):
+        """Ids of numbered words in a row, and how many each word has."""
+        np = self._np
+        sizes = self._sizes[numbers]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        return self._flat[np.repeat(self._starts[k] - ends + sizes, sizes) + np.arange(total)], sizes
+        return self._flat[np.repeat(self._starts[numbers] - ends + sizes, sizes) + np.arange(total)], sizes
+
+    def words(self, words: list[bytes]):
+        """Ids of the words in a row, and how many each word has."""
+        return self.ids(self.numbers(words))
 
     def texts(self, raws: list[bytes]):
         """Ids of each text as an array; texts are small enough to be held as words together."""
@@ -83,12 +112,7 @@ class WordIds:
 
     def text(self, raw: bytes):
         """Ids of a text of any size, segment by segment."""
-        parts, at = [], 0
-        while at < len(raw):
-            cut = _SPACE.search(raw, min(at + SEGMENT, len(raw)))
-            end = cut.start() if cut else len(raw)
-            parts.append(self.words(raw[at:end].split())[0])
-            at = end
+        parts = [self.words(part.split())[0] for part in segments(raw)]
         return self._np.concatenate(parts) if parts else self._np.zeros(0, self._np.uint32)
 
 
