@@ -12,7 +12,7 @@ FOREST_NODES = 200_000
 
 
 def thinned(links: DataFrame) -> DataFrame:
-    """Links (a, b) of long ids reduced inside each task to a spanning forest.
+    """Links (a, b) of ids reduced inside each task to a spanning forest.
 
     The components stay the same; a task emits at most one link per node it has seen.
     """
