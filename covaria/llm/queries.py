@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covaria.llm import exact, language, lm, mixing, packing, paragraphs, quality, secrets, simhash
+from covaria.llm import exact, language, licenses, lm, mixing, packing, paragraphs, quality, secrets, simhash
 from covaria.llm.text import documents, id_remainder
 
 
@@ -69,6 +69,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marks.select("doc_id", "start", "n_words", "class_id", "keep_id", "n_docs", "removed")
 
 
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(documents(spark, sf_dir))
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     trains = id_remainder(F.col("doc_id"), 5) != 1
     found = lm.scored(documents(spark, sf_dir), trains, tokenizer_file())
@@ -83,5 +87,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scans, op2_simhash_near_dedup, op3_best_fit_packing, op4_exact_dedup, op5_source_mixing, op6_language_id,
-    op7_substring_dedup, op9_lm_scoring, op10_quality_rules,
+    op7_substring_dedup, op8_license_scans, op9_lm_scoring, op10_quality_rules,
 )}

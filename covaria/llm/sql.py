@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from covaria.llm.licenses import TEMPLATES
 from covaria.llm.quality import STOP_WORDS
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -55,4 +56,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM counted
 """
 
-ORACLES = {"op4_exact_dedup": OP4, "op10_quality_rules": OP10}
+_VALUES = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+_WORDS = "regexp_extract_all(lower({}), '[a-z0-9]+(?:\\.[0-9]+)*')"
+_PAIRS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+
+OP8 = rf"""
+WITH templates AS (
+  SELECT k, name, {_PAIRS} AS b
+  FROM (SELECT k, name, {_WORDS.format("body")} AS w FROM (VALUES {_VALUES}) t(k, name, body))),
+segments AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS s FROM documents
+  UNION ALL
+  SELECT doc_id, s FROM (
+    SELECT doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '\n[\x20\x09\x0B-\x0D]*(?:\n|$)')) AS s
+    FROM documents) WHERE contains(s, chr(10))),
+bigrams AS (
+  SELECT doc_id, {_PAIRS} AS a FROM (SELECT doc_id, {_WORDS.format("s")} AS w FROM segments) WHERE len(w) > 1),
+scored AS (
+  SELECT doc_id, a, name, k, 2.0 * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice
+  FROM (SELECT doc_id, a, row_number() OVER () AS n FROM bigrams), templates
+  QUALIFY row_number() OVER (PARTITION BY n ORDER BY dice DESC, k) = 1)
+SELECT doc_id, coalesce(list_aggregate(list_sort(list_distinct(list(name) FILTER (dice >= 0.8))), 'string_agg', ','), '') AS licences,
+       count(*) FILTER (dice >= 0.8) AS n_matches,
+       CAST(coalesce(max(dice) FILTER (dice >= 0.8), 0) AS DOUBLE) AS dice
+FROM documents LEFT JOIN scored USING (doc_id)
+GROUP BY doc_id
+"""
+
+ORACLES = {"op4_exact_dedup": OP4, "op8_license_scans": OP8, "op10_quality_rules": OP10}
