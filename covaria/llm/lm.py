@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from covaria.llm import attention
 from covaria.llm.text import lower_ascii, raw_texts, slices
-from covaria.llm.tokens import SEGMENT, WordIds, segments
+from covaria.llm.tokens import SEGMENT, WordIds, segments, worker_words
 from covaria.operators.durable import stored
 
 #: Ids of the tokenizer, and the one that ends a text; the start of a text has the next number.
@@ -92,9 +92,10 @@ def counted(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFram
         done: list = []
 
         def flush_words():
-            known = encoder.known()
-            if known:
-                done.append(rows(word=pa.array(known, pa.binary()), n=pa.array(times[: len(known)].copy())))
+            used = np.flatnonzero(times)
+            if len(used):
+                known = encoder.known()
+                done.append(rows(word=pa.array([known[k] for k in used.tolist()], pa.binary()), n=pa.array(times[used])))
             times[:] = 0
 
         def flush_pairs():
@@ -134,7 +135,8 @@ def counted(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFram
 
         windows: list = []
         drawn = [2**62]
-        encoder = WordIds(tokenizer, on_forget=flush_words)
+        encoder = worker_words(tokenizer)
+        encoder.listen(on_forget=flush_words)
         texts = 0
         for batch in batches:
             raws = raw_texts(batch.column("text"))
@@ -249,7 +251,9 @@ def _scores(docs: DataFrame, tokenizer: str, model: attention.Model, head: dict[
         def forget():
             used[0] = 0
 
-        encoder = WordIds(tokenizer, on_learn=learn, on_forget=forget)
+        encoder = worker_words(tokenizer)
+        learn(encoder.known())
+        encoder.listen(learn, forget)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             raws = raw_texts(batch.column("text"))

@@ -27,14 +27,19 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covaria.llm.text import raw_texts
-from covaria.llm.tokens import WordIds, encoded
+from covaria.llm.text import lower_ascii, raw_texts
+from covaria.llm.tokens import encoded, worker_words
 from covaria.operators.durable import stored
 
 GROUP = 20_000
 END_ID = 1
 
 
+def _lowered(raw: bytes) -> bytes:
+    """The tokenizer lowers letters anyway, but finds its special tokens before."""
+    return raw if b"<|" in raw else lower_ascii(raw)
+
+
 def pieces(
     docs: DataFrame,
     tokenizer: str,
@@ -51,10 +56,10 @@ def pieces(
         import numpy as np
         import pyarrow as pa
 
-        encoder = WordIds(tokenizer)
+        encoder = worker_words(tokenizer)
         for batch in batches:
             rows, numbers, starts, lengths, sums, held = [], [], [], [], [], []
-            for k, ids in encoded(raw_texts(batch.column("text")), encoder):
+            for k, ids in encoded([_lowered(raw) for raw in raw_texts(batch.column("text"))], encoder):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for number, start in enumerate(range(0, len(ids), most_tokens)):
                     own = ids[start : start + most_tokens].tobytes()

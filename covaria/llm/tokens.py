@@ -2,19 +2,29 @@
 
 The tokenizer ``word_bpe_49k`` drops white space and never joins characters across it, so a
 text's ids are the ids of its words in a row. Each Python worker remembers the words it has
-seen; a full memory is emptied, so its size is bounded whatever the data.
+seen, also from task to task; a full memory is emptied, so its size is bounded whatever the
+data.
 """
 
 from __future__ import annotations
 
+import json
+import operator
 import os
 import re
+import sys
+import unicodedata
+from itertools import compress, repeat
+from types import ModuleType
 
 #: Words a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
+#: Words in a row for the model.
+ROW = 200
 #: Bytes of text whose words are held as Python objects at a time.
 SEGMENT = 2 << 20
 _SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
+_MARKS = (b".", b",", b";", b":", b"!", b"?")
 
 
 def segments(raw: bytes, most: int = SEGMENT):
@@ -27,22 +37,48 @@ def segments(raw: bytes, most: int = SEGMENT):
         at = end
 
 
+def _byte_level() -> dict[int, int]:
+    """Code points by which byte-level models write bytes: printable ones stand for themselves."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: 256 + k for k, b in enumerate(rest) if b != 10}  # line feeds part the words
+
+
+_BYTE_LEVEL = _byte_level()
+
+
 class WordIds:
-    """Ids of words, and of whole texts."""
+    """Ids of words, and of whole texts.
 
-    def __init__(self, path: str, remembered: int = REMEMBERED, on_learn=None, on_forget=None):
-        """``on_learn(words)`` is told of words as they get the next numbers, ``on_forget()``
-        before all numbers become void."""
+    Words of letters alone need no normalising or splitting; they go to the tokenizer's model
+    in rows of many. A last punctuation mark after ASCII letters is a piece of its own. All other words go through the whole tokenizer.
+    """
+
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         import numpy as np
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._np, self._most = np, remembered
-        self._encode = Tokenizer.from_file(path).encode_batch_fast
-        self._on_learn, self._on_forget = on_learn, on_forget
+        whole = Tokenizer.from_file(path)
+        self._encode = whole.encode_batch_fast
+        parts = json.loads(whole.to_str()) | {
+            "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": [],
+        }
+        self._encode_rows = Tokenizer.from_str(json.dumps(parts)).encode_batch_fast
+        vocabulary = whole.get_vocab(with_added_tokens=False)
+        self._closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._closes[[k for piece, k in vocabulary.items() if piece.endswith("</w>")]] = True
+        self._marks = {m: self._encode([m.decode()], add_special_tokens=False)[0].ids for m in _MARKS}
+        self.listen()
         self._clear()
 
+    def listen(self, on_learn=None, on_forget=None) -> None:
+        """``on_learn(words)`` is told of words as they get the next numbers, ``on_forget()``
+        before all numbers become void."""
+        self._on_learn, self._on_forget = on_learn, on_forget
+
     def _clear(self) -> None:
         self._index: dict[bytes, int] = {}
         self._flat = self._np.zeros(1 << 16, self._np.uint32)
@@ -57,18 +93,57 @@ class WordIds:
             grown[: len(held)] = held
             setattr(self, name, grown)
 
+    def _encoded(self, words: list[bytes]) -> tuple[list[bytes], object, object]:
+        """The words, those of letters first, their ids in a row, and how many each has."""
+        np = self._np
+        # All words at once, as text and as the model's characters.
+        raw = b"\n".join(words)
+        text = raw.decode("utf-8", "replace")
+        each = text.split("\n")
+        usual = list(map(str.isalpha, each))
+        if text.lower() != text or not unicodedata.is_normalized("NFC", text):
+            usual = [u and t.lower() == t and unicodedata.is_normalized("NFC", t) for u, t in zip(usual, each)]
+        ascii_only = list(map(bytes.isascii, words))
+        plain = [w for w, u, a in zip(words, usual, ascii_only) if u and a]
+        shown = b"\n".join(plain).decode().split("\n") if plain else []
+        wide = [w for w, u, a in zip(words, usual, ascii_only) if u and not a]
+        if wide:
+            plain += wide
+            shown += b"\n".join(wide).decode("latin-1").translate(_BYTE_LEVEL).split("\n")
+        others, ends = [], [b""] * len(plain)
+        for word in compress(words, map(operator.not_, usual)):
+            stem = word[:-1]
+            if word[-1:] in self._marks and stem.isalpha() and stem.islower():
+                plain.append(word)
+                shown.append(stem.decode())
+                ends.append(word[-1:])
+            else:
+                others.append(word)
+        rows = [" ".join(shown[k : k + ROW]) for k in range(0, len(shown), ROW)]
+        found = self._encode_rows(rows, add_special_tokens=False)
+        ids = np.array([i for e in found for i in e.ids], np.uint32)
+        upto = np.flatnonzero(self._closes[ids]) + 1  # a word's last piece says so
+        sizes = np.diff(upto, prepend=0)
+        marked = np.array([k for k, m in enumerate(ends) if m], np.int64)
+        extra = [self._marks[m] for m in ends if m]
+        ids = np.insert(ids, np.repeat(upto[marked], [len(m) for m in extra]), [i for m in extra for i in m])
+        sizes[marked] += np.array([len(m) for m in extra], np.int64)
+        rest = [e.ids for e in self._encode([w.decode("utf-8", "replace") for w in others], add_special_tokens=False)]
+        ids = np.concatenate([ids, np.array([i for own in rest for i in own], np.uint32)])
+        return plain + others, ids, np.concatenate([sizes, np.array([len(own) for own in rest], np.int64)])
+
     def _learn(self, words: list[bytes]) -> None:
-        found = self._encode([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        first, total = len(self._index), sum(map(len, ids))
-        self._room("_flat", self._used + total)
+        words, ids, sizes = self._encoded(words)
+        first = len(self._index)
+        self._room("_flat", self._used + len(ids))
         self._room("_starts", first + len(words))
         self._room("_sizes", first + len(words))
-        for k, (word, own) in enumerate(zip(words, ids), first):
-            self._index[word] = k
-            self._flat[self._used : self._used + len(own)] = own
-            self._starts[k], self._sizes[k] = self._used, len(own)
-            self._used += len(own)
+        self._index.update(zip(words, range(first, first + len(words))))
+        self._flat[self._used : self._used + len(ids)] = ids
+        own = slice(first, first + len(words))
+        self._sizes[own] = sizes
+        self._starts[own] = self._used + self._np.cumsum(sizes) - sizes
+        self._used += len(ids)
         if self._on_learn:
             self._on_learn(words)
 
@@ -79,15 +154,19 @@ class WordIds:
     def numbers(self, words: list[bytes]):
         """The number of each word, until words are forgotten."""
         np = self._np
-        fresh = set(words).difference(self._index)
-        if fresh:
+        k = np.fromiter(map(self._index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(k < 0).tolist()
+        if missing:
+            fresh = {words[i] for i in missing}
             if len(self._index) + len(fresh) > self._most and self._index:
                 if self._on_forget:
                     self._on_forget()
                 self._clear()
-                fresh = set(words)
+                self._learn(sorted(set(words)))
+                return np.fromiter(map(self._index.__getitem__, words), np.int64, len(words))
             self._learn(sorted(fresh))
-        return np.fromiter(map(self._index.__getitem__, words), np.int64, len(words))
+            k[missing] = [self._index[words[i]] for i in missing]
+        return k
 
     def ids(self, numbers):
         """Ids of numbered words in a row, and how many each word has."""
@@ -116,6 +195,15 @@ class WordIds:
         return self._np.concatenate(parts) if parts else self._np.zeros(0, self._np.uint32)
 
 
+def worker_words(path: str) -> WordIds:
+    """The worker's memory of words; functions sent to a worker come and go, this stays."""
+    place = sys.modules.setdefault("_covaria_words", ModuleType("_covaria_words"))
+    if getattr(place, "path", None) != path:
+        place.path, place.words = path, WordIds(path)
+    place.words.listen()
+    return place.words
+
+
 def encoded(raws: list[bytes], encoder: WordIds):
     """Pairs of position and ids of every text, holding the words of a segment at a time."""
     from covaria.llm.text import slices
