@@ -101,25 +101,25 @@ class Model:
         self.hidden[self.pad] = -1e9
 
     def forward(self, ids):
-        """For windows (n, WINDOW): class probabilities after each id of the second half, and steps."""
+        """For windows (n, WINDOW): class scores after each id of the second half, and steps."""
         import numpy as np
 
         w, late = self.weights, ids[:, STRIDE:]
-        q, k, v = w["query"][late], w["key"][ids], w["value"][ids]
+        q, k, v = w["query"].take(late, 0), w["key"].take(ids, 0), w["value"].take(ids, 0)
         s = q @ k.transpose(0, 2, 1)
         s *= np.float32(WIDTH**-0.5)
         s += w["distance"][self.apart] + self.future
-        s += self.hidden[ids][:, None, :]
-        s -= s.max(axis=2, keepdims=True)
-        np.exp(s, out=s)
-        s /= s.sum(axis=2, keepdims=True)
+        s += self.hidden.take(ids)[:, None, :]
+        np.exp(s, out=s)  # at most exp(BOUND^2 * WIDTH^0.5 + BOUND), as weights are bounded
         h = s @ v
-        h += w["own"][late]
-        h += w["previous"][ids[:, STRIDE - 1 : -1]]
+        share = 1 / (s.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32)).reshape(s.shape[0], STRIDE, 1)
+        h *= share
+        h += w["own"].take(late, 0)
+        h += w["previous"].take(ids[:, STRIDE - 1 : -1], 0)
         np.tanh(h, out=h)
         z = h.reshape(-1, WIDTH) @ w["out"]
-        z += self.prior[late.ravel()]
-        return z, (q, k, v, s, h)
+        z += self.prior.take(late.ravel(), 0)
+        return z, (q, k, v, s, share, h)
 
     def log_probabilities(self, ids, following):
         """Natural log of the probability of ``following`` (n, STRIDE), by number."""
@@ -129,14 +129,15 @@ class Model:
         late, target = ids[:, STRIDE:].ravel(), following.ravel()
         own = z[np.arange(len(z)), np.minimum(target, self.rest)]
         np.exp(z, out=z)
-        return own - np.log(z.sum(axis=1)) + self.inside[np.minimum(late, self.start), target]
+        return own - np.log(z @ np.ones(z.shape[1], np.float32)) + self.inside[np.minimum(late, self.start), target]
 
     def gradients(self, ids, following):
         """Mean loss of the classes, and its gradient for each weight."""
         import numpy as np
 
         w = self.weights
-        z, (q, k, v, s, h) = self.forward(ids)
+        z, (q, k, v, s, share, h) = self.forward(ids)
+        s *= share
         use = (ids[:, STRIDE:] != self.pad) & (following >= 0)
         target = np.minimum(np.maximum(following.ravel(), 0), self.rest)
         z -= z.max(axis=1, keepdims=True)
