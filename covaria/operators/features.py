@@ -67,6 +67,13 @@ class FeatureTable:
             return column(self.array).cast("array<double>")
         return F.array(*[self.value(f) for f in self.features])
 
+    def labelled(self) -> FeatureTable:
+        """The rows that have a label; without a label column all of them.
+
+        Fits and measures of a classification leave out rows without a label.
+        """
+        return self if self.label is None else self.with_df(self.df.where(column(self.label).isNotNull()))
+
     def with_df(self, df: DataFrame) -> FeatureTable:
         return replace(self, df=df)
 

@@ -11,21 +11,24 @@ from covaria.functions import column, display_number, total
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """``label, prediction, n`` for every combination that occurs."""
-    return df.groupBy(
+    """``label, prediction, n`` for every combination that occurs; rows without a label are left out.
+
+    A row without a prediction counts as one that was not recognised.
+    """
+    return df.where(column(label).isNotNull()).groupBy(
         column(label).alias("label"), column(prediction).alias("prediction")
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
 def accuracy(confusion: DataFrame) -> DataFrame:
-    """One row ``accuracy`` from confusion counts; a missing label is never a hit."""
+    """One row ``accuracy`` from confusion counts; a missing prediction is never a hit."""
     hit = F.coalesce(F.col("label") == F.col("prediction"), F.lit(False))
     return confusion.agg((F.sum(F.when(hit, F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy"))
 
 
 def class_f1(confusion: DataFrame) -> DataFrame:
     """``label, tp, fp, fn, f1`` of every class seen as label or as prediction."""
-    n, hit = F.col("n"), F.col("label") == F.col("prediction")
+    n, hit = F.col("n"), F.coalesce(F.col("label") == F.col("prediction"), F.lit(False))
     zero = F.lit(0).cast("long")
     sides = confusion.select(
         F.inline(
@@ -45,7 +48,7 @@ def class_f1(confusion: DataFrame) -> DataFrame:
             )
         )
     )
-    summed = sides.groupBy("label").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
+    summed = sides.where(F.col("label").isNotNull()).groupBy("label").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
     denominator = 2 * F.col("tp") + F.col("fp") + F.col("fn")
     return summed.withColumn("f1", F.when(denominator > 0, 2 * F.col("tp") / denominator).otherwise(0.0))
 
@@ -58,10 +61,16 @@ def macro_f1(confusion: DataFrame) -> DataFrame:
 def fisher_ratio(df: DataFrame, coordinates: Sequence[str], label: str) -> DataFrame:
     """One row ``between, within, fisher_ratio`` (NULL if within-class scatter vanishes).
 
+    Rows without a label or with a missing coordinate are left out.
+
     One pass to per-class counts, means and variances; the rest works on one small
     struct per class.
     """
     dims = range(len(coordinates))
+    for name in (label, *coordinates):
+        df = df.where(column(name).isNotNull())
+    for name in coordinates:
+        df = df.where(~F.isnan(column(name)))
     per_class = df.groupBy(column(label).alias("label")).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.avg(column(c)).alias(f"m{d}") for d, c in enumerate(coordinates)],
@@ -85,6 +94,7 @@ def fisher_ratio(df: DataFrame, coordinates: Sequence[str], label: str) -> DataF
     )
 
 
+# Names of the measures, in their order.
 METRIC_NAMES = ("Accuracy", "F1 Score", "Silhouette", "Fisher Ratio")
 
 

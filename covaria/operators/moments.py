@@ -80,7 +80,7 @@ class Moments:
 
 
 def fit_moments(table: FeatureTable, scaling: Scaling | None = None) -> Moments:
-    """Moments of all features of the table; missing values count as the mean.
+    """Moments of all features of the table's labelled rows; missing values count as the mean.
 
     One pass as a rule. It adds up products of values shifted by a rough mean, and the
     profile along with them; the exact mean is put in afterwards. A second pass over
@@ -88,6 +88,7 @@ def fit_moments(table: FeatureTable, scaling: Scaling | None = None) -> Moments:
     infinite values, or where the rough mean was so far off that digits would be lost.
     With ``scaling`` given there is just the pass over standardised values.
     """
+    table = table.labelled()
     if len(table.features) > MAX_FEATURES:
         raise ValueError(f"{len(table.features)} features; moments are kept for at most {MAX_FEATURES}")
     if scaling is not None:

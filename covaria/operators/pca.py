@@ -67,11 +67,11 @@ class PCAModel:
     def component_names(self) -> list[str]:
         return [f"PC{a + 1}" for a in range(self.loadings.shape[1])]
 
-    def scores(self, table: FeatureTable, keep: Sequence[str] = ()) -> DataFrame:
-        """``keep`` columns and the component scores of every row."""
+    def scores(self, table: FeatureTable, keep: Sequence[str] = (), missing: str | None = None) -> DataFrame:
+        """``keep`` columns and the component scores of every row (``missing`` as for ``project``)."""
         if not self.fitted:
             return empty_scores(table, keep, ["PC1", "PC2"])
-        return project(table, self.scaling, self.loadings, self.component_names(), keep)
+        return project(table, self.scaling, self.loadings, self.component_names(), keep, missing=missing)
 
     def loadings_df(self, spark: SparkSession) -> DataFrame:
         """``component, feature, loading``."""

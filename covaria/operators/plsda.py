@@ -45,18 +45,20 @@ class PLSModel:
     def component_names(self) -> list[str]:
         return [f"LV{a + 1}" for a in range(self.weights.shape[1])]
 
-    def scores(self, table: FeatureTable, keep: Sequence[str] = ()) -> DataFrame:
-        """``keep`` columns and the latent scores of every row."""
-        return project(table, self.scaling, self.rotations, self.component_names(), keep)
+    def scores(self, table: FeatureTable, keep: Sequence[str] = (), missing: str | None = None) -> DataFrame:
+        """``keep`` columns and the latent scores of every row (``missing`` as for ``project``)."""
+        return project(table, self.scaling, self.rotations, self.component_names(), keep, missing=missing)
 
-    def responses(self, table: FeatureTable, keep: Sequence[str] = ()) -> DataFrame:
+    def responses(self, table: FeatureTable, keep: Sequence[str] = (), missing: str | None = None) -> DataFrame:
         """``keep`` columns and the fitted response ``y_<class>`` of every class."""
         names = [f"y_{c}" for c in self.classes]
-        return project(table, self.scaling, self.coefficients, names, keep, self.intercept)
+        return project(table, self.scaling, self.coefficients, names, keep, self.intercept, missing)
 
-    def predict(self, table: FeatureTable, keep: Sequence[str] = ()) -> DataFrame:
+    def predict(self, table: FeatureTable, keep: Sequence[str] = (), missing: str | None = None) -> DataFrame:
         """``keep`` columns and ``prediction``, the class of the largest response."""
-        return classify(table, self.scaling, self.coefficients, self.intercept, self.classes, keep)
+        return classify(
+            table, self.scaling, self.coefficients, self.intercept, self.classes, keep, missing=missing
+        )
 
     @property
     def variance_percent(self) -> np.ndarray:

@@ -213,6 +213,13 @@ def standardized(table: FeatureTable, scaling: Scaling, name: str, impute: bool
     return z
 
 
+def standardized_finite(table: FeatureTable, scaling: Scaling, name: str, impute: bool) -> Column:
+    """One standardised feature; where it is not a finite number NULL, or 0 if imputed."""
+    j = scaling.position([name])[0]
+    z = (finite(table.value(name)) - F.lit(float(scaling.mean[j]))) / F.lit(float(scaling.scale[j]))
+    return F.coalesce(z, F.lit(0.0)) if impute else z
+
+
 def standardize(
     table: FeatureTable,
     scaling: Scaling | None = None,
@@ -240,6 +247,15 @@ def standardize_block(x: np.ndarray, scaling: Scaling) -> np.ndarray:
     return z
 
 
+def standardize_finite_block(x: np.ndarray, scaling: Scaling, impute: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The same on a block of rows inside a task, and which rows cannot be scored."""
+    z = (x - scaling.mean) / scaling.scale
+    bad = ~np.isfinite(z)
+    z[bad] = 0.0
+    absent = np.zeros(len(z), dtype=bool) if impute else bad.any(axis=1)
+    return z, absent
+
+
 def sample_deviation(sum_of_squares: np.ndarray, n: int) -> np.ndarray:
     """Sample deviations from centred sums of squares, 1 where they vanish."""
     if n < 2:

@@ -21,6 +21,7 @@ from covaria.functions import column
 from covaria.operators.features import FeatureTable, matrix
 from covaria.operators.history import BACKWARD_SCHEMA, FORWARD_SCHEMA
 from covaria.operators.moments import Moments, fit_moments
+from covaria.operators.pca import empty_scores
 from covaria.operators.plsda import plsda_from_moments
 from covaria.operators.profile import standardize_block, usable_features
 
@@ -97,6 +98,7 @@ def _score(hits: np.ndarray, predicted: np.ndarray, moments: Moments, scoring: s
 
 def _count(table: FeatureTable, moments: Moments, coefficients: np.ndarray, share: np.ndarray):
     """Hits and predictions per candidate and class: two candidates x classes arrays."""
+    table = table.labelled()
     p, m, k = coefficients.shape
     used = np.flatnonzero(np.abs(coefficients).sum(axis=(1, 2)) > 0)
     if table.array is None:  # read only the columns some candidate uses
@@ -315,6 +317,11 @@ def backward_elimination(
 def scores_at(
     table: FeatureTable, moments: Moments, features: Sequence[str], keep: Sequence[str] = (), n_components: int = 2
 ) -> DataFrame:
-    """Latent scores of every row under the unscaled model of a replayed feature set."""
+    """Latent scores of every row under the unscaled model of a replayed feature set.
+
+    Fewer features than components, or than two, give no map and so no rows.
+    """
+    if len(features) < max(n_components, 2):
+        return empty_scores(table, keep, [f"LV{a + 1}" for a in range(n_components)])
     model = plsda_from_moments(moments.subset(features), n_components, scale=False)
     return model.scores(table, keep)

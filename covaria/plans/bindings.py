@@ -105,6 +105,32 @@ def vectors(spark: SparkSession, sf_dir: str) -> FeatureTable:
     return FeatureTable.of(df, [f"e{i}" for i in range(64)], "label", array="embedding")
 
 
+def halved_vectors(spark: SparkSession, sf_dir: str) -> FeatureTable:
+    """Embeddings with their labels in two classes."""
+    whole = vectors(spark, sf_dir)
+    half = F.when(F.col("label").cast("int") < 5, "low").otherwise("high")
+    return FeatureTable.of(whole.df.withColumn("half", half), whole.features, "half", array="embedding")
+
+
+def gapped_lines(spark: SparkSession, sf_dir: str) -> FeatureTable:
+    """The lines to be told apart, three line numbers with a missing or infinite value."""
+    lines = banded_lines(spark, sf_dir)
+    number = F.col("l_linenumber")
+    quantity = F.when(number != 1, F.col("l_quantity").cast("double"))
+    price = (
+        F.when(number == 2, F.lit(float("nan")))
+        .when(number == 3, F.lit(float("inf")))
+        .otherwise(F.col("l_extendedprice").cast("double"))
+    )
+    return lines.with_df(lines.df.withColumns({"l_quantity": quantity, "l_extendedprice": price}))
+
+
+def partly_labelled_texts(spark: SparkSession, sf_dir: str) -> FeatureTable:
+    """The labelled documents with every fourth label taken away."""
+    texts = text_samples(spark, sf_dir)
+    return texts.with_df(texts.df.withColumn("quality", F.when(F.col("doc_id") % 4 != 0, F.col("quality"))))
+
+
 def vector_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first two embedding entries as points with a label."""
     return table(spark, sf_dir, "embeddings").select(

@@ -31,7 +31,7 @@ from covaria.operators.selection import (
 from covaria.operators.silhouette import silhouette
 from covaria.plans import bindings as B
 from covaria.plans.analyses import quality
-from covaria.sources import element_categories, read_entities, read_pairs, read_samples
+from covaria.sources import ENTITY_CATALOG, SAMPLE_CATALOG, element_categories, read_entities, read_pairs, read_samples
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +94,18 @@ def catalog_group_sizes(spark, sf_dir):
     )
 
 
+def catalog_on_vectors(spark, sf_dir):
+    """Both whole catalogues, their entries bound in order to the entries of the embeddings."""
+    vectors = B.vectors(spark, sf_dir)
+    named = FeatureTable.of(vectors.df, vectors.features, array="embedding")
+    means = P.profile(named).select(F.col("ord").cast("int").alias("i"), "mean")
+    entries = SAMPLE_CATALOG.to_df(spark).union(ENTITY_CATALOG.to_df(spark))
+    bound = entries.join(means, F.col("i") == entries.ord % len(vectors.features))
+    return _round(
+        bound.groupBy("catalog", "group_id").agg(F.count(F.lit(1)).alias("n_features"), F.sum("mean").alias("mean_sum"))
+    )
+
+
 def select_feature_group(spark, sf_dir):
     df = B.table(spark, sf_dir, "lineitem")
     chosen = B.LINE_CATALOG.resolve(df.columns, groups=["rates"], columns=["l_quantity"]).columns
@@ -218,7 +230,7 @@ def pca_scores(spark, sf_dir):
 
 
 def pca_explained_variance(spark, sf_dir):
-    return _round(fit_pca(_size_features(spark, sf_dir)).explained_variance(spark).drop("percent_text"))
+    return _round(fit_pca(_size_features(spark, sf_dir)).explained_variance(spark))
 
 
 def pca_top_loadings(spark, sf_dir):
@@ -260,6 +272,34 @@ def plsda_predict(spark, sf_dir):
     return model.predict(table, [*B.LINE_KEYS, "band"])
 
 
+def plsda_predict_gaps(spark, sf_dir):
+    """Predictions of rows that lack a feature: none."""
+    return _banded(spark, sf_dir)[1].predict(B.gapped_lines(spark, sf_dir), [*B.LINE_KEYS, "band"])
+
+
+def _halved(spark, sf_dir) -> tuple[FeatureTable, PLSModel]:
+    table = B.halved_vectors(spark, sf_dir)
+    return table, fit_plsda(table)
+
+
+def plsda_scores_wide(spark, sf_dir):
+    table, model = _halved(spark, sf_dir)
+    return _round(model.scores(table, ["vec_id", "half"]), ROWS)
+
+
+def plsda_predict_wide(spark, sf_dir):
+    table, model = _halved(spark, sf_dir)
+    return model.predict(table, ["vec_id", "half"])
+
+
+def plsda_top_weights_wide(spark, sf_dir):
+    return _round(_halved(spark, sf_dir)[1].top_weights(spark))
+
+
+def plsda_vip_wide(spark, sf_dir):
+    return _round(_halved(spark, sf_dir)[1].vip_df(spark))
+
+
 def plsda_top_weights(spark, sf_dir):
     top = _banded(spark, sf_dir)[1].top_weights(spark)
     return _round(top.drop("lv1_weight_text", "lv2_weight_text"))
@@ -306,7 +346,25 @@ def fisher_ratio(spark, sf_dir):
 
 def metrics_table(spark, sf_dir):
     with kept(B.text_samples(spark, sf_dir)) as table:
-        return _round(M.metrics_table(quality(table, fit_plsda(table))).drop("value_text"))
+        return _round(M.metrics_table(quality(table, fit_plsda(table))))
+
+
+def metrics_unlabelled(spark, sf_dir):
+    """The metrics where some rows have no label, from the model and from the selection."""
+    with kept(B.partly_labelled_texts(spark, sf_dir)) as table:
+        model = fit_plsda(table, scale=False)
+        confusion = M.confusion_matrix(model.predict(table, ["quality"]), "quality", "prediction")
+        scored = {s: evaluate_subsets(table, fit_moments(table), [table.features], scoring=s)[0].value for s in ("accuracy", "f1")}
+        fisher = M.fisher_ratio(model.scores(table, ["quality"]), ["LV1", "LV2"], "quality")
+        rows = [
+            ("accuracy", M.accuracy(confusion).first()["accuracy"]),
+            ("accuracy_of_selection", scored["accuracy"]),
+            ("f1_of_selection", scored["f1"]),
+            ("fisher_of_model", model.fisher_ratio),
+            ("fisher_of_scores", fisher.first()["fisher_ratio"]),
+            ("macro_f1", M.macro_f1(confusion).first()["macro_f1"]),
+        ]
+    return _round(spark.createDataFrame(rows, "measure string, value double"))
 
 
 # --- selection -----------------------------------------------------------------------
@@ -409,6 +467,7 @@ def registered() -> dict[str, Query]:
         "scan_entities": scan_entities,
         "scan_pairs": scan_pairs,
         "catalog_group_sizes": catalog_group_sizes,
+        "catalog_on_vectors": catalog_on_vectors,
         "select_feature_group": select_feature_group,
         "column_profile": column_profile,
         "drop_nan_columns": drop_nan_columns,
@@ -439,6 +498,11 @@ def registered() -> dict[str, Query]:
         "plsda_scores": plsda_scores,
         "plsda_variance": plsda_variance,
         "plsda_predict": plsda_predict,
+        "plsda_predict_gaps": plsda_predict_gaps,
+        "plsda_scores_wide": plsda_scores_wide,
+        "plsda_predict_wide": plsda_predict_wide,
+        "plsda_top_weights_wide": plsda_top_weights_wide,
+        "plsda_vip_wide": plsda_vip_wide,
         "plsda_top_weights": plsda_top_weights,
         "plsda_vip": plsda_vip,
         "confusion_matrix": confusion_matrix,
@@ -448,6 +512,7 @@ def registered() -> dict[str, Query]:
         "silhouette_lines": silhouette_lines,
         "fisher_ratio": fisher_ratio,
         "metrics_table": metrics_table,
+        "metrics_unlabelled": metrics_unlabelled,
         "evaluate_subset": evaluate_subset,
         "sweep_add_one": sweep_add_one_query,
         "sweep_drop_one": sweep_drop_one_query,

@@ -15,7 +15,6 @@ from covaria.plans.bindings import (
     MARKS,
     TEXT_FEATURES,
 )
-from covaria.sources.categories import ELEMENT_CATEGORIES
 
 KEYS = ", ".join(LINE_KEYS)
 
@@ -193,13 +192,55 @@ FROM pairs LEFT JOIN entities a ON a."Symbol" = substr(formula, 1, 1)
 LEFT JOIN entities b ON b."Symbol" = substr(formula, 2, 1)"""
 
 
+# Symbols of one letter and their categories.
+LETTERS = """('K', 'alkali_metals'), ('V', 'transition_metals'), ('W', 'transition_metals'), ('Y', 'transition_metals'),
+  ('U', 'actinides'), ('B', 'metalloids'), ('H', 'non_metals'), ('C', 'non_metals'), ('N', 'non_metals'),
+  ('O', 'non_metals'), ('P', 'non_metals'), ('S', 'non_metals'), ('F', 'halogens'), ('I', 'halogens')"""
+
+# Catalogue, group and number of its features, in order.
+GROUP_SIZES = (
+    ("samples", "index", 7),
+    ("samples", "atomic_weight", 3),
+    ("samples", "period_group", 5),
+    ("samples", "mendeleev", 3),
+    ("samples", "valence", 6),
+    ("samples", "unpaired", 6),
+    ("samples", "gilman", 6),
+    ("samples", "z_eff", 8),
+    ("samples", "ionization_energy", 8),
+    ("samples", "coordination_number", 3),
+    ("samples", "ratio_closest", 5),
+    ("samples", "polyhedron_distortion", 5),
+    ("samples", "cif_radius", 6),
+    ("samples", "pauling_radius_cn12", 6),
+    ("samples", "pauling_en", 8),
+    ("samples", "martynov_batsanov_en", 8),
+    ("samples", "melting_point", 8),
+    ("samples", "density", 8),
+    ("samples", "specific_heat", 8),
+    ("samples", "cohesive_energy", 8),
+    ("samples", "bulk_modulus", 8),
+    ("entities", "basic_atomic_properties", 5),
+    ("entities", "atomic_and_ionic_radii", 13),
+    ("entities", "electronegativity_and_electron_affinity", 9),
+    ("entities", "thermal_and_physical_properties", 10),
+    ("entities", "electronic_structure", 15),
+    ("entities", "dft_lsd_and_lda_properties", 10),
+    ("entities", "dft_rlda_and_scrlda_properties", 10),
+)
+
+
+def catalog_on_vectors() -> str:
+    groups = ", ".join(f"({i}, '{c}', '{g}', {n})" for i, (c, g, n) in enumerate(GROUP_SIZES))
+    return f"""WITH groups(o, catalog, group_id, n) AS (VALUES {groups}),
+placed AS (SELECT catalog, group_id, n, sum(n) OVER (PARTITION BY catalog ORDER BY o) - n AS first FROM groups),
+entries AS (SELECT catalog, group_id, unnest(range(first::BIGINT, (first + n)::BIGINT)) % 64 AS i FROM placed),
+means AS (SELECT i, avg(x) AS m FROM (SELECT unnest(embedding)::DOUBLE AS x, unnest(range(64)) AS i FROM embeddings) GROUP BY i)
+SELECT catalog, group_id, count(*) AS n_features, {r("sum(m)")} AS mean_sum FROM entries JOIN means USING (i) GROUP BY catalog, group_id"""
+
+
 def category_lookup() -> str:
-    listed = [
-        f"('{symbol}', '{line.split(':')[0]}')"
-        for line in ELEMENT_CATEGORIES.strip().splitlines()
-        for symbol in line.split(":")[1].split()
-    ]
-    return f"""WITH known(symbol, category) AS (VALUES {", ".join(listed)})
+    return f"""WITH known(symbol, category) AS (VALUES {LETTERS})
 SELECT c_custkey, chr(65 + c_nationkey) AS sign, coalesce(category, 'other') AS category
 FROM customer LEFT JOIN known ON symbol = chr(65 + c_nationkey)"""
 
@@ -271,6 +312,59 @@ def plsda_vip() -> str:
 SELECT (row_number() OVER (ORDER BY round(vip, 10) DESC, o))::INTEGER AS "rank", feature, {r("vip")} AS vip FROM v"""
 
 
+# Two classes, 64 features: weights of component a follow from the features' covariances
+# with the class, deflated by the component before.
+HALVED = """v AS (SELECT vec_id, CASE WHEN label < 5 THEN 'low' ELSE 'high' END AS half, embedding FROM embeddings),
+total AS (SELECT count(*)::DOUBLE AS n, avg(CASE WHEN half = 'high' THEN 1.0 ELSE 0.0 END) AS share FROM v),
+long AS (SELECT vec_id, half, unnest(embedding)::DOUBLE AS x, unnest(range(64)) AS i FROM v),
+st AS (SELECT i, avg(x) AS m, stddev_samp(x) AS s FROM long GROUP BY i),
+z AS (SELECT vec_id, half, i, (x - m) / s AS z, CASE WHEN half = 'high' THEN 1.0 ELSE 0.0 END - share AS y
+  FROM long JOIN st USING (i), total),
+c AS (SELECT i, sum(z * y) AS c FROM z GROUP BY i),
+w1 AS (SELECT i, c, c / sqrt(sum(c * c) OVER ()) * sign(first_value(c) OVER (ORDER BY abs(c) DESC, i)) AS w FROM c),
+t1 AS (SELECT vec_id, half, y, sum(z * w) AS t FROM z JOIN w1 USING (i) GROUP BY vec_id, half, y),
+s1 AS (SELECT sum(t * t) AS tt, sum(t * y) AS ty FROM t1),
+p1 AS (SELECT i, sum(z * t) / any_value(tt) AS p FROM z JOIN t1 USING (vec_id), s1 GROUP BY i),
+d2 AS (SELECT i, w, p, c - p * ty AS c2 FROM w1 JOIN p1 USING (i), s1),
+w2 AS (SELECT *, c2 / sqrt(sum(c2 * c2) OVER ()) * sign(first_value(c2) OVER (ORDER BY abs(c2) DESC, i)) AS ww FROM d2),
+r2 AS (SELECT *, ww - sum(p * ww) OVER () * w AS rr FROM w2),
+t2 AS (SELECT vec_id, half, y, sum(z * w) AS t, sum(z * rr) AS u FROM z JOIN r2 USING (i) GROUP BY vec_id, half, y),
+s2 AS (SELECT sum(t * t) AS tt, sum(t * y) AS ty, sum(u * u) AS uu, sum(u * y) AS uy FROM t2)"""
+
+
+def plsda_wide(tail: str) -> str:
+    return f"WITH {HALVED}\n{tail}"
+
+
+def plsda_top_weights_wide() -> str:
+    def ranked(w: str) -> str:
+        return f"SELECT row_number() OVER (ORDER BY round(abs({w}), 10) DESC, i) AS rk, 'e' || i AS name, {w} AS v FROM r2"
+
+    return plsda_wide(f""", one AS ({ranked("w")}), two AS ({ranked("ww")})
+SELECT one.rk::INTEGER AS "rank", one.name AS lv1_feature, {r("one.v")} AS lv1_weight, printf('%.3f', one.v) AS lv1_weight_text,
+  two.name AS lv2_feature, {r("two.v")} AS lv2_weight, printf('%.3f', two.v) AS lv2_weight_text
+FROM one JOIN two ON one.rk = two.rk WHERE one.rk <= 10""")
+
+
+def plsda_vip_wide() -> str:
+    return plsda_wide(f""", imp AS (SELECT i, sqrt(64 * (w * w * tt + ww * ww * uu) / (tt + uu)) AS vip FROM r2, s2),
+places AS (SELECT row_number() OVER (ORDER BY round(vip, 10) DESC, i) AS rk, * FROM imp)
+SELECT rk::INTEGER AS "rank", 'e' || i AS feature, {r("vip")} AS vip, printf('%.3f', vip) AS vip_text FROM places WHERE rk <= 10""")
+
+
+def metrics_unlabelled() -> str:
+    texts = TEXTS.replace("USING (doc_id))", "USING (doc_id) WHERE doc_id % 4 <> 0)", 1)
+    points = f"""pts AS (SELECT doc_id, quality, t1, t2 FROM fitted WHERE mask = {FULL}),
+cm AS (SELECT label, prediction, n FROM counts WHERE mask = {FULL})"""
+    f1, hits = r(f1_of("cm")), r("hits / acc.n")
+    ratio = r("CASE WHEN within > 1e-6 THEN between_ / within END")
+    return f"""WITH {texts}, {MODELS}, {points}, {fisher_of("pts", "t1", "t2", "quality")}
+SELECT 'accuracy' AS measure, {hits} AS value FROM acc WHERE mask = {FULL}
+UNION ALL SELECT 'accuracy_of_selection', {hits} FROM acc WHERE mask = {FULL}
+UNION ALL SELECT 'macro_f1', {f1} UNION ALL SELECT 'f1_of_selection', {f1}
+UNION ALL SELECT 'fisher_of_model', {ratio} FROM fisher UNION ALL SELECT 'fisher_of_scores', {ratio} FROM fisher"""
+
+
 def plsda_variance() -> str:
     return f"""WITH {banded()}
 SELECT 1 AS component, {r("tt1 / n")} AS score_variance, {r("tt1 / n / 2 * 100")} AS percent FROM model
@@ -383,10 +477,12 @@ def metrics_table() -> str:
 cm AS (SELECT label, prediction, n FROM counts WHERE mask = {FULL})"""
     return f"""WITH {TEXTS}, {MODELS}, {scaled}, {fisher_of("pts", "t1", "t2", "quality")},
 {silhouette_of("pts", "doc_id", "t1", "t2", "quality")}
-SELECT 0 AS ord, 'Accuracy' AS metric, {r("hits / acc.n")} AS value FROM acc WHERE mask = {FULL}
-UNION ALL SELECT 1, 'F1 Score', {r(f1_of("cm"))}
-UNION ALL SELECT 2, 'Silhouette', {r("silhouette")} FROM sil
-UNION ALL SELECT 3, 'Fisher Ratio', {r("CASE WHEN within > 1e-6 THEN between_ / within END")} FROM fisher"""
+, measured AS (
+SELECT 0 AS ord, 'Accuracy' AS metric, hits / acc.n AS v FROM acc WHERE mask = {FULL}
+UNION ALL SELECT 1, 'F1 Score', {f1_of("cm")}
+UNION ALL SELECT 2, 'Silhouette', silhouette FROM sil
+UNION ALL SELECT 3, 'Fisher Ratio', CASE WHEN within > 1e-6 THEN between_ / within END FROM fisher)
+SELECT ord, metric, {r("v")} AS value, coalesce(printf('%.3f', v), 'N/A') AS value_text FROM measured"""
 
 
 def evaluate_subset() -> str:
@@ -471,14 +567,24 @@ SELECT label, count(*) AS n_rows, 'e' || i AS feature, {r("sum(z)")} AS z_sum FR
         "pca_fit": pca_fit(),
         "pca_scores": f"WITH {pca2(*SIZE)}\n{pca_scores(*SIZE, KEYS, 5)}",
         "pca_explained_variance": f"""WITH {pca2(*SIZE)}
-SELECT 1 AS component, {r("1 + abs(c)")} AS eigenvalue, {r("(1 + abs(c)) / 2 * 100")} AS percent FROM model
-UNION ALL SELECT 2, {r("1 - abs(c)")}, {r("(1 - abs(c)) / 2 * 100")} FROM model""",
+SELECT 1 AS component, {r("1 + abs(c)")} AS eigenvalue, {r("(1 + abs(c)) / 2 * 100")} AS percent,
+  printf('%.1f%%', (1 + abs(c)) / 2 * 100) AS percent_text FROM model
+UNION ALL SELECT 2, {r("1 - abs(c)")}, {r("(1 - abs(c)) / 2 * 100")}, printf('%.1f%%', (1 - abs(c)) / 2 * 100) FROM model""",
         "pca_top_loadings": pca_top_loadings(),
         "pca_by_feature_group": pca_by_feature_group(),
         "plsda_fit": plsda_fit(True),
         "plsda_fit_unscaled": plsda_fit(False),
         "plsda_scores": f"WITH {banded()} SELECT {KEYS}, band, {r('t1', 5)} AS LV1, {r('t2', 5)} AS LV2 FROM scored",
         "plsda_variance": plsda_variance(),
+        "plsda_predict_gaps": f"WITH {banded()}, {BAND_PREDICTED} SELECT {KEYS}, band,"
+        " CASE WHEN l_linenumber NOT IN (1, 2, 3) THEN prediction END AS prediction FROM predicted",
+        "plsda_scores_wide": plsda_wide(f"SELECT vec_id, half, {r('t', 5)} AS LV1, {r('u', 5)} AS LV2 FROM t2"),
+        "plsda_predict_wide": plsda_wide(
+            "SELECT vec_id, half, CASE WHEN 2 * (share + t * ty / tt + u * uy / uu) >= 1 THEN 'high' ELSE 'low' END AS prediction"
+            " FROM t2, s2, total"
+        ),
+        "plsda_top_weights_wide": plsda_top_weights_wide(),
+        "plsda_vip_wide": plsda_vip_wide(),
         "plsda_predict": f"WITH {banded()}, {BAND_PREDICTED} SELECT {KEYS}, band, prediction FROM predicted",
         "plsda_top_weights": plsda_top_weights(),
         "plsda_vip": plsda_vip(),
@@ -492,7 +598,9 @@ UNION ALL SELECT 2, {r("1 - abs(c)")}, {r("(1 - abs(c)) / 2 * 100")} FROM model"
 SELECT n_rows, n_classes::INTEGER AS n_classes, {r("silhouette")} AS silhouette FROM sil""",
         "fisher_ratio": f"""WITH {banded()}, {fisher_of("scored", "t1", "t2", "band")}
 SELECT {r("between_", 5)} AS "between", {r("within", 5)} AS within, {r("CASE WHEN within > 1e-6 THEN between_ / within END", 5)} AS fisher_ratio FROM fisher""",
+        "catalog_on_vectors": catalog_on_vectors(),
         "metrics_table": metrics_table(),
+        "metrics_unlabelled": metrics_unlabelled(),
         "evaluate_subset": evaluate_subset(),
         "sweep_add_one": sweep_add_one(),
         "sweep_drop_one": sweep_drop_one(),

@@ -18,9 +18,9 @@ def test_confusion_metrics(spark):
     assert M.macro_f1(confusion).first()[0] == pytest.approx(plain.macro_f1(actual, predicted))
 
 
-def test_missing_label_is_no_hit(spark):
+def test_row_without_a_label_is_left_out(spark):
     df = spark.createDataFrame([("a", "a"), (None, "a")], "y string, p string")
-    assert M.accuracy(M.confusion_matrix(df, "y", "p")).first()[0] == 0.5
+    assert M.accuracy(M.confusion_matrix(df, "y", "p")).first()[0] == 1.0
 
 
 def test_fisher_without_scatter(spark):
