@@ -10,11 +10,15 @@ of fewer than ``least_words`` words are left alone.
 
 Equal paragraphs share a 64-bit hash. For others, the sets of five-word shingles are
 MinHashed in bands; ``tuned`` picks the bands for a recall at the threshold. Paragraphs that
-meet in a band are compared with the bucket's first, and those that turn out unlike it with
-the rest of the bucket, by exact Jaccard similarity of the shingle sets; so no similar pair
-that meets is lost, while a bucket of alike paragraphs costs one comparison each. Similar
-paragraphs form components, the classes. Of each class that occurs in two rows or more, the
-first occurrence (smallest id, null last, then place) stays and the others are removals.
+meet in a band are compared with the bucket's first by exact Jaccard similarity of the
+shingle sets, so a bucket of alike paragraphs costs one comparison each. Those that turn out
+unlike it are compared with every paragraph that could reach the threshold with them by an
+exact prefix filter (similar sets share one of their rarest shingles), so no similar pair
+that meets is lost, and a bucket held together by a common phrase alone is not compared pair
+by pair. Similar paragraphs form components, the classes. Of each class that occurs in two
+rows or more, the first occurrence (smallest id, null last, then place) stays and the others
+are removals. Repeats that follow each other make one stretch; stretches of fewer than
+``least_run`` words are phrases, not passages, and stay.
 
 Buckets are streams of sorted (band, hash) rows, never collected. A task sends a paragraph it
 has just seen once, so a passage held by a third of all rows adds little.
@@ -26,11 +30,14 @@ table gives an empty result.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from covaria.llm.components import components, thinned
-from covaria.llm.text import lower_ascii, raw_texts, slices, small_enough
+from covaria.llm.text import SPACE_BYTES, lower_ascii, raw_texts, slices, small_enough
 from covaria.operators.durable import stored
 
 RADIUS = 8
@@ -38,6 +45,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.99
 LEAST_WORDS = 9
+LEAST_RUN = 12
+#: Bytes of text that are cut at a time.
+SLICE = 1 << 20
 SEED = 3
 _MIX = 0x9E3779B97F4A7C15
 
@@ -93,40 +103,95 @@ def _least_before(values, width: int):
     return out
 
 
-def cuts(hashes, radius: int = RADIUS):
-    """Where paragraphs of a text begin, given its words' hashes; the first word always does."""
+def word_hashes(raws: list[bytes]):
+    """Hashes of all words of the texts in a row, and how many each text has."""
     import numpy as np
 
-    marks = _grams(hashes, 3)
-    if not len(marks):
-        return np.zeros(min(len(hashes), 1), np.int64)
-    before = _least_before(marks, radius)
-    after = _least_before(marks[::-1], radius)[::-1]
-    inner = np.flatnonzero((marks < before) & (marks <= after))
-    return np.unique(np.concatenate([[0], inner]))
+    flat = np.frombuffer(b"\n".join(lower_ascii(raw) for raw in raws) + b"\n", np.uint8)
+    lengths = np.array([len(raw) + 1 for raw in raws], np.int64)
+    inside = ~_space_table()[flat]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    starts = np.flatnonzero(begins)
+    counts = np.diff(np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)])))
+    if not len(starts):
+        return np.zeros(0, np.uint64), counts
+    used = np.flatnonzero(inside)
+    first = np.searchsorted(used, starts)
+    sizes = np.diff(first, append=len(used))
+    values = np.random.default_rng(SEED).integers(0, 2**63, 256, dtype=np.uint64)[flat[used]]
+    return _sequence_hashes(values, first, sizes), counts
+
+
+def _space_table():
+    import numpy as np
+
+    table = np.zeros(256, bool)
+    table[list(SPACE_BYTES)] = True
+    return table
 
 
-def _cut_texts(raws: list[bytes], radius: int):
-    """Per text its words, their hashes and where paragraphs begin."""
+def _sequence_hashes(values, first, sizes):
+    """Hash of each run ``values[first:first + size]``; runs lie side by side."""
     import numpy as np
-    import xxhash
 
-    for raw in raws:
-        words = lower_ascii(raw).split()
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-        yield words, hashes, cuts(hashes, radius)
+    powers = np.concatenate([[1], np.cumprod(np.full(int(sizes.max()), _MIX, np.uint64))]).astype(np.uint64)
+    place = np.arange(len(values)) - np.repeat(first, sizes)
+    return _mixed(np.add.reduceat(values * powers[place], first) + sizes.astype(np.uint64) * np.uint64(_MIX))
 
 
-def _own(words: list[bytes], starts, least_words: int):
-    """Start, size and hash of each paragraph with enough words."""
+def cuts(hashes, counts, radius: int = RADIUS):
+    """Where paragraphs begin among the words of texts in a row; each text's first word always does."""
     import numpy as np
-    import xxhash
 
-    ends = np.append(starts[1:], len(words))
-    use = ends - starts >= least_words
-    starts, ends = starts[use], ends[use]
-    ids = [xxhash.xxh3_64_intdigest(b" ".join(words[a:b])) for a, b in zip(starts.tolist(), ends.tolist())]
-    return starts, ends - starts, np.array(ids, np.uint64).view(np.int64)
+    top = np.uint64(2**64 - 1)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    begin = np.cumsum(counts) - counts
+    # Texts are set apart, so that no window reaches from one into another.
+    place = np.arange(len(hashes)) + owner * radius
+    marks = np.full(len(hashes) + len(counts) * radius, top, np.uint64)
+    whole = np.flatnonzero(np.arange(len(hashes)) + 3 <= (begin + counts)[owner])
+    marks[place[whole]] = _grams(hashes, 3)[whole]
+    before = _least_before(marks, radius)
+    after = _least_before(marks[::-1], radius)[::-1]
+    least = ((marks < before) & (marks <= after) & (marks != top))[place]
+    least[begin[counts > 0]] = True
+    return np.flatnonzero(least)
+
+
+@dataclass(frozen=True)
+class Paragraphs:
+    """Paragraphs with enough words of a few texts; starts count among all words in a row."""
+
+    hashes: object
+    owner: object
+    starts: object
+    first: object
+    sizes: object
+    ids: object
+
+    @staticmethod
+    def of(raws: list[bytes], radius: int, least_words: int) -> Paragraphs:
+        import numpy as np
+
+        hashes, counts = word_hashes(raws)
+        starts = cuts(hashes, counts, radius)
+        begin = np.cumsum(counts) - counts
+        owner = np.repeat(np.arange(len(counts)), counts)[starts]
+        sizes = np.diff(starts, append=len(hashes))
+        ids = _sequence_hashes(hashes, starts, sizes).view(np.int64) if len(starts) else np.zeros(0, np.int64)
+        use = sizes >= least_words
+        starts, owner = starts[use], owner[use]
+        return Paragraphs(hashes, owner, starts, starts - begin[owner], sizes[use], ids[use])
+
+    def shingles(self):
+        """Shingle hashes of all paragraphs in a row, and how many each has."""
+        import numpy as np
+
+        counts = np.maximum(self.sizes - SHINGLE + 1, 0)
+        ends = np.cumsum(counts)
+        total = int(counts.sum())
+        return _grams(self.hashes, SHINGLE)[np.repeat(self.starts - ends + counts, counts) + np.arange(total)], counts
 
 
 def _occurrences(docs: DataFrame, radius: int, least_words: int) -> DataFrame:
@@ -134,24 +199,22 @@ def _occurrences(docs: DataFrame, radius: int, least_words: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             raws = raw_texts(batch.column("text"))
-            for begin, end in slices(raws):
-                found = [_own(w, s, least_words) for w, _, s in _cut_texts(raws[begin:end], radius)]
-                owner = np.repeat(np.arange(begin, end), [len(s) for s, _, _ in found])
-                starts, sizes, ids = (np.concatenate(x) for x in zip(*found))
+            for begin, end in slices(raws, SLICE):
+                found = Paragraphs.of(raws[begin:end], radius, least_words)
+                owner = found.owner + begin
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(pa.array(owner)),
                         pa.array(owner + row),
-                        pa.array(starts.astype(np.int64)),
-                        pa.array(sizes.astype(np.int64)),
-                        pa.array(ids),
+                        pa.array(found.first),
+                        pa.array(found.sizes),
+                        pa.array(found.ids),
                     ],
                     names=["doc_id", "row", "start", "n_words", "pid"],
                 )
@@ -160,16 +223,6 @@ def _occurrences(docs: DataFrame, radius: int, least_words: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, row bigint, start bigint, n_words bigint, pid bigint")
 
 
-def _shingles(hashes, starts, sizes):
-    """Shingle hashes of all paragraphs in a row, and how many each has."""
-    import numpy as np
-
-    grams = _grams(hashes, SHINGLE)
-    counts = np.maximum(sizes - SHINGLE + 1, 0)
-    ends = np.cumsum(counts)
-    return grams[np.repeat(starts - ends + counts, counts) + np.arange(int(counts.sum()))], counts
-
-
 def _bands(docs: DataFrame, radius: int, least_words: int, bands: int, rows: int) -> DataFrame:
     """(band, pid) of every paragraph, once for each slice of texts."""
 
@@ -181,25 +234,19 @@ def _bands(docs: DataFrame, radius: int, least_words: int, bands: int, rows: int
         factors = random.integers(0, 2**63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         for batch in batches:
             raws = raw_texts(batch.column("text"))
-            for begin, end in slices(raws):
-                ids, grams, counts = [], [], []
-                for words, hashes, starts in _cut_texts(raws[begin:end], radius):
-                    starts, sizes, own = _own(words, starts, least_words)
-                    g, n = _shingles(hashes, starts, sizes)
-                    ids.append(own)
-                    grams.append(g)
-                    counts.append(n)
-                ids, grams, counts = np.concatenate(ids), np.concatenate(grams), np.concatenate(counts)
-                if not len(ids):
+            for begin, end in slices(raws, SLICE):
+                found = Paragraphs.of(raws[begin:end], radius, least_words)
+                if not len(found.ids):
                     continue
+                grams, counts = found.shingles()
                 first = np.cumsum(counts) - counts
-                _, fresh = np.unique(ids, return_index=True)
+                ids, fresh = np.unique(found.ids, return_index=True)
                 for band in range(bands):
                     key = np.full(len(fresh), (band + 1) * _MIX & (2**64 - 1), np.uint64)
                     for k in range(band * rows, (band + 1) * rows):
                         least = np.minimum.reduceat(_mixed(grams * factors[k]), first)[fresh]
                         key = _mixed(key + least) * np.uint64(_MIX)
-                    yield pa.RecordBatch.from_pydict({"band": pa.array(key.view(np.int64)), "pid": pa.array(ids[fresh])})
+                    yield pa.RecordBatch.from_pydict({"band": pa.array(key.view(np.int64)), "pid": pa.array(ids)})
 
     return docs.select("text").mapInArrow(run, "band bigint, pid bigint")
 
@@ -233,23 +280,47 @@ def _firsts(bands: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, ids: DataFrame, radius: int, least_words: int) -> DataFrame:
     """Shingle set of each paragraph in ``ids`` (pid)."""
 
-    def run(batches):
+    def cut(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
             raws = raw_texts(batch.column("text"))
-            for begin, end in slices(raws, 1 << 20):
-                for words, hashes, starts in _cut_texts(raws[begin:end], radius):
-                    starts, sizes, own = _own(words, starts, least_words)
-                    grams, counts = _shingles(hashes, starts, sizes)
-                    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams.view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([pa.array(own), lists], names=["pid", "grams"])
-
-    every = docs.select("text").mapInArrow(run, "pid bigint, grams array<bigint>")
+            for begin, end in slices(raws, SLICE):
+                found = Paragraphs.of(raws[begin:end], radius, least_words)
+                grams, counts = found.shingles()
+                ends = np.cumsum(counts)
+                unique, fresh = np.unique(found.ids, return_index=True)
+                own = [grams[a:b].tobytes() for a, b in zip((ends - counts)[fresh].tolist(), ends[fresh].tolist())]
+                yield pa.RecordBatch.from_pydict({"pid": pa.array(unique), "grams": pa.array(own, pa.binary())})
+
+    def opened(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = [np.unique(np.frombuffer(g, np.int64)) for g in batch.column("grams").to_pylist()]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.zeros(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([batch.column("pid"), lists], names=["pid", "grams"])
+
+    every = docs.select("text").mapInArrow(cut, "pid bigint, grams binary")
     some = every.join(small_enough(ids, 32), "pid", "left_semi")
-    return some.groupBy("pid").agg(F.array_distinct(F.any_value("grams")).alias("grams"))
+    return some.groupBy("pid").agg(F.any_value("grams").alias("grams")).mapInArrow(opened, "pid bigint, grams array<bigint>")
+
+
+def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """(pid, size, gram): of each set of n the n - ceil(t n) + 1 shingles that are rarest among the sets.
+
+    Two sets with Jaccard similarity t or more have one of these in common.
+    """
+    each = sets.select("pid", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
+    often = stored(each.groupBy("gram").agg(F.count("*").alias("n")))
+    ranked = each.join(often, "gram").groupBy("pid", "size").agg(
+        F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("by_count")
+    )
+    length = (F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1).cast("int")
+    return ranked.select("pid", "size", F.explode(F.slice("by_count", F.lit(1), length)).alias("g")).select("pid", "size", "g.gram")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -269,13 +340,16 @@ def links(docs: DataFrame, threshold: float, recall: float, radius: int, least_w
     sets = stored(_sets(docs, ids, radius, least_words))
     pairs = met.select(F.col("lo").alias("a"), F.col("pid").alias("b")).distinct()
     first = stored(_compared(pairs, sets, threshold))
-    # What is unlike its bucket's first is compared with the bucket's others.
-    unlike = met.join(first.where("NOT similar"), (F.col("lo") == F.col("a")) & (F.col("pid") == F.col("b")), "left_semi")
-    others = met.select("band", F.col("pid").alias("other"))
+    # What is unlike its bucket's first may be like another of the bucket. Such pairs share a
+    # shingle that is rare among the sets, where the bucket may share a common phrase only.
+    unlike = first.where("NOT similar").select(F.col("b").alias("pid")).distinct()
+    rare = stored(_prefixes(sets, threshold))
+    left = rare.join(unlike, "pid", "left_semi").select(F.col("pid").alias("x"), F.col("size").alias("n"), "gram")
+    fits = (F.col("size") >= threshold * F.col("n") - 1e-9) & (F.col("n") >= threshold * F.col("size") - 1e-9)
     more = (
-        unlike.join(others, "band")
-        .where("pid <> other")
-        .select(F.least("pid", "other").alias("a"), F.greatest("pid", "other").alias("b"))
+        left.join(rare, "gram")
+        .where((F.col("x") != F.col("pid")) & fits)
+        .select(F.least("x", "pid").alias("a"), F.greatest("x", "pid").alias("b"))
         .distinct()
     )
     second = _compared(more, sets, threshold)
@@ -288,6 +362,7 @@ def repeated(
     recall: float = RECALL,
     radius: int = RADIUS,
     least_words: int = LEAST_WORDS,
+    least_run: int = LEAST_RUN,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -316,10 +391,18 @@ def repeated(
     )
     classes = stored(classes)
     same = (F.col("row") == F.col("first.row")) & (F.col("start") == F.col("first.start"))
-    return here.join(classes, "class_id").select(
+    marks = here.join(classes, "class_id").select(
         "doc_id", "start", "n_words", "class_id", F.col("first.doc_id").alias("keep_id"), "n_docs",
         (~same).alias("removed"), "row",
     )
+    # A stretch begins where a repeat does not start at the end of another.
+    in_row = Window.partitionBy("row").orderBy("start")
+    begins = F.coalesce(F.lag(F.col("start") + F.col("n_words")).over(in_row) != F.col("start"), F.lit(True))
+    stretch = F.sum(begins.cast("int")).over(in_row)
+    long_enough = F.sum("n_words").over(Window.partitionBy("row", "stretch")) >= least_run
+    return (
+        marks.withColumn("stretch", stretch).withColumn("long", long_enough).where("long").drop("stretch", "long")
+    )
 
 
 def removals(marks: DataFrame) -> DataFrame:
