@@ -310,9 +310,10 @@ def _sets(docs: DataFrame, ids: DataFrame, radius: int, least_words: int) -> Dat
 
 
 def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
-    """(pid, size, gram): of each set of n the n - ceil(t n) + 1 shingles that are rarest among the sets.
+    """(pid, size, place, gram): of each set of n the n - ceil(t n) + 1 shingles rarest among the sets.
 
-    Two sets with Jaccard similarity t or more have one of these in common.
+    Two sets with Jaccard similarity t or more have one of these in common. ``place`` counts
+    the set's shingles from the rarest.
     """
     each = sets.select("pid", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
     often = stored(each.groupBy("gram").agg(F.count("*").alias("n")))
@@ -320,7 +321,8 @@ def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("by_count")
     )
     length = (F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1).cast("int")
-    return ranked.select("pid", "size", F.explode(F.slice("by_count", F.lit(1), length)).alias("g")).select("pid", "size", "g.gram")
+    first = F.posexplode(F.slice("by_count", F.lit(1), length)).alias("place", "g")
+    return ranked.select("pid", "size", first).select("pid", "size", "place", "g.gram")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -342,13 +344,21 @@ def links(docs: DataFrame, threshold: float, recall: float, radius: int, least_w
     first = stored(_compared(pairs, sets, threshold))
     # What is unlike its bucket's first may be like another of the bucket. Such pairs share a
     # shingle that is rare among the sets, where the bucket may share a common phrase only.
+    # At the first shingle they share, enough others must be left in both. Pairs that are
+    # linked already, by way of others, are passed over.
     unlike = first.where("NOT similar").select(F.col("b").alias("pid")).distinct()
-    rare = stored(_prefixes(sets, threshold))
-    left = rare.join(unlike, "pid", "left_semi").select(F.col("pid").alias("x"), F.col("size").alias("n"), "gram")
+    known = components(thinned(first.where("similar").select("a", "b"))).withColumnRenamed("node", "pid")
+    rare = _prefixes(sets, threshold).join(known, "pid", "left")
+    rare = stored(rare.withColumn("part", F.coalesce("component", "pid")).drop("component"))
+    left = rare.join(unlike, "pid", "left_semi").select(
+        F.col("pid").alias("x"), F.col("size").alias("n"), F.col("place").alias("at"), F.col("part").alias("own"), "gram"
+    )
     fits = (F.col("size") >= threshold * F.col("n") - 1e-9) & (F.col("n") >= threshold * F.col("size") - 1e-9)
+    shared = F.least(F.col("n") - F.col("at"), F.col("size") - F.col("place"))
+    enough = shared >= threshold / (1 + threshold) * (F.col("n") + F.col("size")) - 1e-9
     more = (
         left.join(rare, "gram")
-        .where((F.col("x") != F.col("pid")) & fits)
+        .where((F.col("x") != F.col("pid")) & (F.col("own") != F.col("part")) & fits & enough)
         .select(F.least("x", "pid").alias("a"), F.greatest("x", "pid").alias("b"))
         .distinct()
     )
