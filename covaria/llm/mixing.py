@@ -9,8 +9,9 @@ The rest of its target, less than s words, is a fraction of one more repetition:
 in the order of a seeded hash, until the rest is reached. The order is cut by a histogram of
 the hash with about sqrt(n) / 8 classes for n documents: classes below the cut are taken
 entirely, above it not at all. Only the documents of the class at the cut, some 8 sqrt(n),
-are put in order in one task, where each that still fits is taken. So a source misses its
-target by less than the smallest document left in that class, and no task holds a source.
+are put in order in one task. They are taken in order while the rest exceeds the next
+``FITTED`` documents together; of those a set is chosen whose sum comes nearest to what is
+left. So a source misses its target by a few words, and no task holds a source.
 
 Defined results: a null text has size 0; documents of size 0 take nothing. A null source is a
 source, last in order. Identical rows (id, source, text) share one decision. Sources with no
@@ -31,6 +32,10 @@ SEED = 20_240_229
 MAX_EPOCHS = 3
 #: The seeded hash is a number below 2^RANGE_BITS.
 RANGE_BITS = 52
+#: The last documents of a source are chosen together, so many of them.
+FITTED = 40
+#: Sums that are told apart when they are.
+SUMS = 1_000_000
 
 
 def _place(id_col: str, text_col: str, seed: int) -> Column:
@@ -89,16 +94,40 @@ def targets(sizes: DataFrame, weight: Column, max_epochs: float = MAX_EPOCHS) ->
     )
 
 
+def nearest_sum(sizes: list[int], rest: int) -> list[bool]:
+    """Which of the sizes to take so that their sum comes nearest ``rest`` from below.
+
+    Sums are bits of one number; beyond a million, sizes are rounded up to a larger unit.
+    Where sums are equal, earlier sizes are taken rather than later ones.
+    """
+    unit = max(1, rest // SUMS)
+    most = rest // unit
+    steps = [-(-size // unit) for size in sizes]
+    reached = [1]
+    for step in steps:
+        more = reached[-1] << step if 0 < step <= most else 0
+        reached.append((reached[-1] | more) & ((1 << (most + 1)) - 1))
+    at, taken = reached[-1].bit_length() - 1, [False] * len(sizes)
+    for k in reversed(range(len(sizes))):
+        if not reached[k] >> at & 1:
+            taken[k] = True
+            at -= steps[k]
+    return taken
+
+
 def _chosen_at_the_cut(group):
     """Documents of one source's class at the cut that are taken once more."""
     import pandas as pd
 
     group = group.sort_values("place", kind="stable")
-    rest, taken = int(group["rest"].iloc[0]), []
-    for size in group["size"]:
-        fits = 0 < size <= rest
-        taken.append(fits)
-        rest -= size if fits else 0
+    rest, sizes = int(group["rest"].iloc[0]), group["size"].tolist()
+    taken, at, ahead = [False] * len(sizes), 0, sum(sizes[:FITTED])
+    while rest > ahead and at < len(sizes):  # then this one fits
+        taken[at] = True
+        rest -= sizes[at]
+        ahead += (sizes[at + FITTED] if at + FITTED < len(sizes) else 0) - sizes[at]
+        at += 1
+    taken[at : at + FITTED] = nearest_sum(sizes[at : at + FITTED], rest)
     return pd.DataFrame({"source": group["source"], "place": group["place"]})[taken]
 
 
