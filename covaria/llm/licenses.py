@@ -56,7 +56,7 @@ def template_bigrams(text: str) -> list[str]:
 
 def size_range(bigrams: int, threshold: float) -> tuple[float, float]:
     """Fewest and most bigrams of a segment that can reach the threshold."""
-    return bigrams * threshold / (2 - threshold), bigrams * (2 - threshold) / threshold
+    return bigrams * threshold / (2 - threshold) - 1e-9, bigrams * (2 - threshold) / threshold + 1e-9
 
 
 def _distinct_bigrams(words: Column) -> Column:
