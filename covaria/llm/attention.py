@@ -38,7 +38,7 @@ class Statistics:
 
     ``number`` maps an id to its number: frequent ids from 0, then one number for all others;
     ``within`` is the log probability of an id given its number. ``pairs`` counts (previous,
-    next) by number; the last row stands for the start of a text.
+    next) by number; the last row stands for the start of a word.
     """
 
     number: object
@@ -47,7 +47,11 @@ class Statistics:
 
 
 def statistics(id_counts, pair_counts, n_ids: int, number) -> Statistics:
-    """From counts per id and (previous number, next number, count) triples."""
+    """From counts per id and (previous number, next number, count) triples inside words.
+
+    A next number of -1 is the end of a word; then the start of another follows, or the end
+    of the text, as often as words start and texts end.
+    """
     import numpy as np
 
     size = int(number.max()) + 1
@@ -55,9 +59,14 @@ def statistics(id_counts, pair_counts, n_ids: int, number) -> Statistics:
     other = number == size - 1
     held = id_counts[other] + 0.1
     within[other] = np.log(held / held.sum())
-    pairs = np.zeros((size + 1, size))
+    pairs, ended = np.zeros((size + 1, size)), np.zeros(size + 1)
     for a, b, n in pair_counts:
-        pairs[a, b] += n
+        if b < 0:
+            ended[a] += n
+        else:
+            pairs[a, b] += n
+    start = pairs[size] / max(pairs[size].sum(), 1)
+    pairs[:size] += ended[:size, None] * start
     return Statistics(number, within, pairs)
 
 
@@ -199,15 +208,21 @@ class Model:
         """log10 probability of each text: ids in a row, the end included, each at least one long."""
         import numpy as np
 
-        windows, following, sizes = cut([self.number[t] for t in texts], self.start, self.pad)
+        return self.score_flat(np.concatenate(texts), np.array([len(t) for t in texts], np.int64)).tolist()
+
+    def score_flat(self, ids, sizes):
+        """The same for texts that stand in a row, given their sizes."""
+        import numpy as np
+
+        windows, following = cut_flat(self.number[ids], sizes, self.start, self.pad)
         own = np.concatenate(
             [self.log_probabilities(windows[k : k + BATCH], following[k : k + BATCH]) for k in range(0, len(windows), BATCH)]
         ).astype(np.float64)
         blocks = -(-sizes // STRIDE) * STRIDE
         first = np.cumsum(blocks) - blocks
         own[np.arange(len(own)) - np.repeat(first, blocks) >= np.repeat(sizes, blocks)] = 0
-        outside = np.add.reduceat(np.concatenate([self.within[t] for t in texts]), np.cumsum(sizes) - sizes)
-        return ((np.add.reduceat(own, first) + outside) / np.log(10)).tolist()
+        outside = np.add.reduceat(self.within[ids], np.cumsum(sizes) - sizes)
+        return (np.add.reduceat(own, first) + outside) / np.log(10)
 
 
 def cut(texts, start: int, pad: int):
@@ -218,17 +233,23 @@ def cut(texts, start: int, pad: int):
     import numpy as np
 
     sizes = np.array([len(t) for t in texts], np.int64)
+    return *cut_flat(np.concatenate(texts), sizes, start, pad), sizes
+
+
+def cut_flat(flat, sizes, start: int, pad: int):
+    """Windows and what follows, for texts in a row given by their sizes."""
+    import numpy as np
+
     blocks = -(-sizes // STRIDE)
     spans = (blocks + 1) * STRIDE  # room for a first half before each text
     begin = np.cumsum(spans) - spans
     ids = np.full(int(spans.sum()), pad, np.int64)
     after = np.zeros(int(spans.sum()), np.int64)
     place = np.repeat(begin + STRIDE - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-    flat = np.concatenate(texts)
     after[place] = flat
     ids[begin + STRIDE] = start
     inner = np.ones(len(flat), bool)
     inner[np.cumsum(sizes) - 1] = False
     ids[place[inner] + 1] = flat[inner]
     at = np.repeat(begin - np.cumsum(blocks * STRIDE) + blocks * STRIDE, blocks) + np.arange(int(blocks.sum())) * STRIDE
-    return ids[at[:, None] + np.arange(WINDOW)], after[at[:, None] + np.arange(STRIDE, WINDOW)], sizes
+    return ids[at[:, None] + np.arange(WINDOW)], after[at[:, None] + np.arange(STRIDE, WINDOW)]

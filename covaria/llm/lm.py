@@ -2,43 +2,53 @@
 
 Two passes read the texts, ASCII letters lowered.
 
-1. Counting, over all training documents: words and ends of text, and pairs of neighbouring
-   subword ids. Each task counts its words and pairs before the shuffle. Of all
-   windows of its texts a task keeps the ``TASK_WINDOWS`` with the smallest hashes; the
-   ``TRAIN_WINDOWS`` with the smallest hashes of the whole corpus train the model on the
-   driver (a documented bound; all counts cover the whole corpus). Pair counts reach the driver only between the ``VOCABULARY``
-   numbers of the model, at most a million.
+1. Counting, over all training documents: words and ends of text. Each task counts before the
+   shuffle. Every distinct word is then cut into subword ids once, and pairs of neighbouring
+   ids are counted as often as their words occur; what follows a word is the start of the
+   next or the end. Pair counts reach the driver only between the ``VOCABULARY`` numbers of
+   the model, at most a million. The attention model is trained on the driver from a bounded
+   sample: about ``TRAIN_DOCUMENTS`` training documents of at most ``LONGEST`` bytes, chosen
+   by a hash of their text. All counts cover the whole corpus.
 2. Scoring, over all documents: windows through the model (see ``attention``), and base
-   scores. The ``HEAD`` most frequent words are sent to the tasks with their counts, a fixed
-   number of short words; a document's other words, each rare by construction, leave the
-   task as (row, word, times) and are joined with the counts by a shuffle.
+   scores. The ``HEAD`` most frequent words (or slightly fewer) are sent to the tasks with
+   their counts, a fixed number of short words; a document's other words, each rare by
+   construction, leave the task as (row, word, times) and are joined with the counts by a
+   shuffle.
 
 Defined results: a null text counts as empty and has the end alone. Repeated rows get equal
-scores. Without training documents every count is zero. Ties between ids or words go to the
-smaller. Other columns are not read. An empty table gives an empty result.
+scores. Without training documents every count is zero. Other columns are not read. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covaria.llm import attention
 from covaria.llm.text import lower_ascii, raw_texts, slices
-from covaria.llm.tokens import SEGMENT, WordIds, segments, worker_words
+from covaria.llm.tokens import WordIds, segments, worker_words
 from covaria.operators.durable import stored
 
-#: Ids of the tokenizer, and the one that ends a text; the start of a text has the next number.
+#: Ids of the tokenizer, and the one that ends a text; the start of a word has the next number.
 IDS = 49_408
 END = 49_407
+#: In pair counts, what follows a word's last id.
+WORD_END = -1
 HEAD = 1 << 17
 LONGEST_HEAD = 32
-TRAIN_WINDOWS = 100_000
+#: Words that a worker remembers, and words that it counts before it passes counts on.
+WORDS, COUNTED = 550_000, 500_000
+TRAIN_DOCUMENTS, LONGEST = 1_500, 100_000
 TRAIN_STEPS = 4_000
 #: Times that training reads each window at most, and windows of one step.
 TRAIN_PASSES, TRAIN_BATCH = 5, 128
-#: Windows that leave a task: those with the smallest hashes.
-TASK_WINDOWS = 25_000
+SEED = 13
+#: Bytes of text whose words a task holds at a time.
+SLICE = 1 << 20
 #: The end of a text among words; no word holds white space.
 END_WORD = b"\n"
 
@@ -47,7 +57,7 @@ def _token_slices(raws: list[bytes], encoder: WordIds):
     """Ranges of texts with their words' numbers by text; very long texts come alone, in parts."""
     import numpy as np
 
-    for begin, end in slices(raws, SEGMENT):
+    for begin, end in slices(raws, SLICE):
         if end - begin > 1:
             split = [lower_ascii(raw).split() for raw in raws[begin:end]]
             numbers = encoder.numbers([w for words in split for w in words])
@@ -55,170 +65,143 @@ def _token_slices(raws: list[bytes], encoder: WordIds):
         else:
             yield begin, end, (
                 (encoder.numbers(words), np.array([len(words)]))
-                for part in segments(lower_ascii(raws[begin]))
+                for part in segments(lower_ascii(raws[begin]), SLICE)
                 for words in [part.split()]
             )
 
 
-def _with_ends(ids, sizes, counts):
-    """Ids with ``END`` after each text; ``counts`` words per text, ``sizes`` ids per word."""
-    import numpy as np
-
-    upto = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
-    return np.insert(ids.astype(np.int64), upto, END), np.diff(np.concatenate([[0], upto])) + 1
-
-
-def counted(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
-    """Rows (word, a, b, n, draw, window) of the counting pass, of three kinds.
-
-    Words and their counts have word; pairs of ids have a and b; drawn windows have a window
-    of ids (int32, ``IDS`` for the start and -1 for padding, then what follows) and a draw.
-    """
+def counted(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """word and n: partial counts of words, and of ends of text under ``END_WORD``."""
 
     def run(batches):
-        import numpy as np
+        from collections import Counter
+
         import pyarrow as pa
-        import xxhash
 
-        times = np.zeros(1 << 14, np.int64)
-        pairs: list = []
+        counts: Counter = Counter()
 
-        def rows(**columns):
-            n = len(next(iter(columns.values())))
-            return pa.RecordBatch.from_arrays(
-                [columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema
-            )
+        def flush():
+            batch = pa.RecordBatch.from_pydict({
+                "word": pa.array(list(counts), pa.binary()), "n": pa.array(list(counts.values()), pa.int64()),
+            })
+            counts.clear()
+            return batch
 
-        done: list = []
-
-        def flush_words():
-            used = np.flatnonzero(times)
-            if len(used):
-                known = encoder.known()
-                done.append(rows(word=pa.array([known[k] for k in used.tolist()], pa.binary()), n=pa.array(times[used])))
-            times[:] = 0
-
-        def flush_pairs():
-            code = np.concatenate([c for c, _ in pairs])
-            n = np.concatenate([n for _, n in pairs])
-            order = np.argsort(code, kind="stable")
-            code, n = code[order], n[order]
-            first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-            pairs[:] = [(code[first], np.add.reduceat(n, first))]
-
-        def draw(raws, flat, stops, lengths):
-            """Add to the task's windows: blocks of STRIDE ids with the half window before them."""
-            blocks = -(-lengths // attention.STRIDE)
-            nth = np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-            own = np.array([xxhash.xxh64_intdigest(raw, 1) for raw in raws], np.uint64)
-            keys = np.repeat(own, blocks) + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            keys = ((keys ^ (keys >> np.uint64(27))) >> np.uint64(2)).astype(np.int64)
-            some = np.flatnonzero(keys < drawn[0])
-            start = np.repeat(stops - lengths, blocks)[some][:, None]
-            stop = np.repeat(stops, blocks)[some][:, None]
-            place = start + nth[some][:, None] * attention.STRIDE + np.arange(-attention.STRIDE, attention.STRIDE)
-            before = np.where(place > start, flat[np.clip(place - 1, 0, len(flat) - 1)], np.where(place == start, IDS, -1))
-            before = np.where(place < stop, before, -1)
-            late = place[:, attention.STRIDE :]
-            after = np.where(late < stop, flat[np.minimum(late, len(flat) - 1)], -1)
-            windows.append((keys[some], np.concatenate([before, after], axis=1).astype("<i4")))
-            if sum(len(k) for k, _ in windows) > 2 * TASK_WINDOWS:
-                thin_windows()
-
-        def thin_windows():
-            keys = np.concatenate([k for k, _ in windows])
-            order = np.argsort(keys, kind="stable")[:TASK_WINDOWS]
-            if len(keys) > TASK_WINDOWS:
-                drawn[0] = int(keys[order[-1]])
-            windows[:] = [(keys[order], np.concatenate([w for _, w in windows])[order])]
-
-        windows: list = []
-        drawn = [2**62]
-        encoder = worker_words(tokenizer)
-        encoder.listen(on_forget=flush_words)
-        texts = 0
         for batch in batches:
             raws = raw_texts(batch.column("text"))
-            for begin, end, parts in _token_slices(raws, encoder):
-                carried, streams = IDS, []
-                for numbers, counts in parts:
-                    top = int(numbers.max()) + 1 if len(numbers) else 0
-                    if len(times) < top:
-                        times = np.concatenate([times, np.zeros(max(top, len(times)), np.int64)])
-                    times[:top] += np.bincount(numbers, minlength=top)
-                    streams.append((encoder.ids(numbers), counts))
-                if end - begin > 1:
-                    (ids, sizes), counts = streams[0]
-                    flat, lengths = _with_ends(ids, sizes, counts)
-                else:
-                    flat = np.append(np.concatenate([i for (i, _), _ in streams] or [np.zeros(0)]), END).astype(np.int64)
-                    lengths = np.array([len(flat)])
-                texts += end - begin
-                before = np.concatenate([[carried], flat[:-1]])
-                before[np.cumsum(lengths)[:-1]] = IDS
-                code, n = np.unique(before * (IDS + 1) + flat, return_counts=True)
-                pairs.append((code, n))
-                if sum(len(c) for c, _ in pairs) > 4_000_000:
-                    flush_pairs()
-                draw(raws[begin:end], flat, np.cumsum(lengths), lengths)
-            yield from done
-            done.clear()
-        flush_words()
-        yield from done
-        if texts:
-            yield rows(word=pa.array([END_WORD], pa.binary()), n=pa.array([texts], pa.int64()))
-            thin_windows()
-            keys, held = windows[0]
-            for at in range(0, len(keys), 4096):
-                yield rows(
-                    draw=pa.array(keys[at : at + 4096].copy()),
-                    window=pa.array([w.tobytes() for w in held[at : at + 4096]], pa.binary()),
-                )
-            flush_pairs()
-            code, n = pairs[0]
-            yield rows(
-                a=pa.array((code // (IDS + 1)).astype(np.int32)), b=pa.array((code % (IDS + 1)).astype(np.int32)),
-                n=pa.array(n.astype(np.int64)),
-            )
+            counts[END_WORD] += len(raws)
+            for begin, end in slices(raws, SLICE):
+                for part in segments(b"\n".join(raws[begin:end]), SLICE):
+                    counts.update(lower_ascii(part).split())
+                if len(counts) > COUNTED:
+                    yield flush()
+        yield flush()
 
-    import pyarrow as pa
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word binary, n bigint")
 
-    schema = pa.schema(
-        [("word", pa.binary()), ("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64()), ("draw", pa.int64()), ("window", pa.binary())]
-    )
-    kinds = "word binary, a int, b int, n bigint, draw bigint, window binary"
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, kinds)
 
+def paired(counts: DataFrame, tokenizer: str) -> DataFrame:
+    """a, b, n: partial counts of pairs of ids inside words, from ``counts`` (word, c).
+
+    ``IDS`` before a word's first id, ``WORD_END`` after its last.
+    """
 
-def fitted(rows: DataFrame, vocabulary: int, steps: int, windows: int) -> attention.Model:
-    """The attention model from the rows of ``counted``."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        encoder = WordIds(tokenizer, 1)
+        codes, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        width = IDS + 2
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            n = batch.column("c").to_numpy(zero_copy_only=False)
+            if END_WORD in words:  # the end of a text has no ids of its own
+                codes = np.append(codes, IDS * width + END + 1)
+                times = np.append(times, n[words.index(END_WORD)])
+                n = n[[w != END_WORD for w in words]]
+                words = [w for w in words if w != END_WORD]
+            for at in range(0, len(words), 50_000):
+                some, own = words[at : at + 50_000], n[at : at + 50_000]
+                known, ids, sizes = encoder.encoded(some)
+                place = {w: k for k, w in enumerate(some)}
+                own = own[np.fromiter(map(place.__getitem__, known), np.int64, len(known))]
+                ends = np.cumsum(sizes)
+                # A start before each word and an end after it; a word without ids is nothing.
+                flat = np.insert(ids.astype(np.int64), ends - sizes, IDS)
+                before = flat
+                after = np.append(flat[1:], WORD_END)
+                after[after == IDS] = WORD_END
+                use = np.repeat(own, sizes + 1)
+                keep = (before != IDS) | (after != WORD_END)
+                code = before[keep] * width + after[keep] + 1
+                codes, inverse = np.unique(np.concatenate([codes, code]), return_inverse=True)
+                times = np.bincount(inverse, np.concatenate([times, use[keep]])).astype(np.int64)
+        yield pa.RecordBatch.from_pydict({
+            "a": pa.array((codes // width).astype(np.int32)), "b": pa.array((codes % width - 1).astype(np.int32)),
+            "n": pa.array(times),
+        })
+
+    return counts.select("word", "c").mapInArrow(run, "a int, b int, n bigint")
+
+
+def _first(table: DataFrame, value: Column, most: int) -> DataFrame:
+    """Rows of ``table`` with the smallest positive values: nearly ``most`` of them, never more.
+
+    The bound is found from a histogram of the values' logarithms, so that nothing is sorted
+    and only the rows chosen go on.
+    """
+    place = F.floor(F.log2(value) * 16)
+    sizes = sorted((r["place"], r["count"]) for r in table.groupBy(place.alias("place")).count().collect())
+    total, bound = 0, None
+    for at, n in sizes:  # at most some thousand classes
+        if total + n > most:
+            bound = at
+            break
+        total += n
+    return table if bound is None else table.where(place < bound)
+
+
+def statistics(pairs: DataFrame, vocabulary: int) -> attention.Statistics:
+    """What the model takes from the whole corpus."""
     import numpy as np
 
-    pairs = rows.where("b IS NOT NULL")
     ids = np.zeros(IDS)
-    for r in pairs.groupBy("b").agg(F.sum("n").alias("n")).collect():  # at most one row per id
+    for r in pairs.where(f"b <> {WORD_END}").groupBy("b").agg(F.sum("n").alias("n")).collect():  # one row per id
         ids[r["b"]] = r["n"]
     number = attention.numbered(ids, vocabulary)
     size = int(number.max()) + 1
-    spark = rows.sparkSession
+    spark = pairs.sparkSession
     names = spark.createDataFrame(
-        [(i, int(number[i])) for i in np.flatnonzero(number < size - 1).tolist()] + [(IDS, size)], "id int, number int"
+        [(i, int(number[i])) for i in np.flatnonzero(number < size - 1).tolist()] + [(IDS, size), (WORD_END, -1)],
+        "id int, number int",
     )
     named = lambda side: F.coalesce(F.col(f"{side}.number"), F.lit(size - 1))
     joined = pairs.join(F.broadcast(names).alias("x"), F.col("a") == F.col("x.id"), "left").join(
         F.broadcast(names).alias("y"), F.col("b") == F.col("y.id"), "left"
     )  # one row per number of the vocabulary
-    table = joined.groupBy(named("x").alias("a"), named("y").alias("b")).agg(F.sum("n").alias("n")).toPandas()
-    stats = attention.statistics(ids, zip(table["a"], table["b"], table["n"]), IDS, number)
+    table = joined.groupBy(named("x").alias("a"), named("y").alias("b")).agg(F.sum("n").alias("n")).collect()
+    return attention.statistics(ids, [(r["a"], r["b"], r["n"]) for r in table], IDS, number)
+
+
+def fitted(
+    docs: DataFrame, n_docs: int, stats: attention.Statistics, tokenizer: str, steps: int, documents: int
+) -> attention.Model:
+    """The attention model, trained on a sample of ``docs`` (text)."""
+    import numpy as np
+
     model = attention.Model(stats)
-    drawn = rows.where("window IS NOT NULL").select("draw", "window").orderBy("draw", "window").limit(windows).collect()
-    if drawn:
-        raw = np.stack([np.frombuffer(r["window"], "<i4") for r in drawn])
-        numbered = np.where(raw >= 0, np.append(number, size)[np.maximum(raw, 0)], -1)
-        known = np.where(numbered[:, : attention.WINDOW] >= 0, numbered[:, : attention.WINDOW], model.pad)
-        steps = min(steps, -(-TRAIN_PASSES * len(raw) // TRAIN_BATCH))
-        model.train(known, numbered[:, attention.WINDOW :], steps, TRAIN_BATCH)
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "text"), 12) / float(1 << 52)
+    some = docs.where((F.octet_length("text") <= LONGEST) & (place < documents / max(n_docs, 1)))
+    raws = sorted(lower_ascii(r["text"].encode()) for r in some.collect())  # a bounded number of bounded texts
+    if raws:
+        encoder = WordIds(tokenizer)
+        texts = [np.append(encoder.text(raw), END).astype(np.int64) for raw in raws]
+        windows, following, sizes = attention.cut([stats.number[t] for t in texts], model.start, model.pad)
+        used = np.concatenate([np.arange(-(-n // attention.STRIDE) * attention.STRIDE) < n for n in sizes])
+        following = np.where(used.reshape(following.shape), following, -1)
+        steps = min(steps, -(-TRAIN_PASSES * len(windows) // TRAIN_BATCH))
+        model.train(windows, following, steps, TRAIN_BATCH)
     return model
 
 
@@ -229,7 +212,8 @@ def _scores(docs: DataFrame, tokenizer: str, model: attention.Model, head: dict[
     from pyspark import SparkContext
 
     context: SparkContext = docs.sparkSession.sparkContext
-    sent = context.broadcast((model, head))
+    # As bytes pickled with their code, so that workers need no copy of this package.
+    sent = context.broadcast(cloudpickle.dumps((model, head)))
     tail = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
     kept = docs.select(*also, "text").columns[:-1]
 
@@ -237,71 +221,78 @@ def _scores(docs: DataFrame, tokenizer: str, model: attention.Model, head: dict[
         import numpy as np
         from pyspark import TaskContext
 
-        model, head = sent.value
-        held = {"n": np.zeros(1 << 14, np.int64)}
-        used = [0]
+        model, head = pickle.loads(sent.value)
+        count, used = np.zeros(1 << 14, np.int64), 0
 
         def learn(words):
-            upto = used[0] + len(words)
-            if len(held["n"]) < upto:
-                held["n"] = np.concatenate([held["n"], np.zeros(max(upto, len(held["n"])), np.int64)])
-            held["n"][used[0] : upto] = [head.get(w, -1) for w in words]
-            used[0] = upto
+            nonlocal count, used
+            upto = used + len(words)
+            if len(count) < upto:
+                count = np.concatenate([count, np.zeros(max(upto, len(count)), np.int64)])
+            count[used:upto] = [head.get(w, -1) for w in words]
+            used = upto
 
         def forget():
-            used[0] = 0
-
-        encoder = worker_words(tokenizer)
+            nonlocal used
+            used = 0
+
+        def figures(numbers, counts, into):
+            """Add a part's words to the figures of its texts; ``counts`` words each."""
+            owner = np.repeat(np.arange(len(counts)), counts)
+            times = count[numbers]
+            frequent = times >= 0
+            into[0] += counts
+            into[1] += np.bincount(owner, frequent, len(counts)).astype(np.int64)
+            into[2] += np.bincount(owner, np.where(frequent, np.log10(np.maximum(times, 0) + 0.5), 0), len(counts))
+            pairs, n = np.unique((owner[~frequent] << 32) | numbers[~frequent], return_counts=True)
+            names = encoder.known() if len(pairs) else []
+            return pairs >> 32, [names[k] for k in (pairs & (2**32 - 1)).tolist()], n
+
+        encoder = worker_words(tokenizer, WORDS)
         learn(encoder.known())
         encoder.listen(learn, forget)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             raws = raw_texts(batch.column("text"))
-            figures: list[tuple[int, int, float, float]] = []
-            words, times, ends = [], [], [0]
+            done = [[], [], [], []]
+            words, times, sizes = [], [], []
             for begin, end, parts in _token_slices(raws, encoder):
-                ids, known, n_words, logs = [], [0] * (end - begin), [0] * (end - begin), [0.0] * (end - begin)
+                into = [np.zeros(end - begin, np.int64), np.zeros(end - begin, np.int64), np.zeros(end - begin)]
+                ids, lengths = [], np.zeros(end - begin, np.int64)
+                rest = np.zeros(end - begin, np.int64)
                 for numbers, counts in parts:
-                    own, sizes = encoder.ids(numbers)
-                    names = None
-                    stops = np.cumsum(counts)
-                    upto = np.concatenate([[0], np.cumsum(sizes)])
-                    for k, (a, b) in enumerate(zip((stops - counts).tolist(), stops.tolist())):
-                        count = held["n"][numbers[a:b]]
-                        frequent = count >= 0
-                        known[k] += int(frequent.sum())
-                        logs[k] += float(np.log10(count[frequent] + 0.5).sum())
-                        n_words[k] += b - a
-                        if not frequent.all():
-                            names = names or encoder.known()
-                            rest, n = np.unique(numbers[a:b][~frequent], return_counts=True)
-                            words.extend([names[x] for x in rest.tolist()])
-                            times.extend(n.tolist())
-                        if end - begin > 1:
-                            ends.append(len(words))
-                            ids.append(np.append(own[upto[a] : upto[b]], END).astype(np.int64))
-                    if end - begin == 1:
-                        ids.append(own.astype(np.int64))
+                    own, each = encoder.ids(numbers)
+                    stops = np.concatenate([[0], np.cumsum(each)])[np.cumsum(counts)]
+                    lengths += np.diff(stops, prepend=0)
+                    ids.append(np.insert(own.astype(np.int64), stops, END) if end - begin > 1 else own)
+                    owner, names, n = figures(numbers, counts, into)
+                    words += names
+                    times.append(n)
+                    rest += np.bincount(owner, minlength=end - begin)
                 if end - begin == 1:
-                    ends.append(len(words))
-                    ids = [np.concatenate([*ids, [END]]).astype(np.int64)]
-                figures += zip(n_words, known, logs, model.score(ids))
+                    ids.append([END])
+                sizes.append(rest)
+                scores = model.score_flat(np.concatenate(ids).astype(np.int64), lengths + 1)
+                for column, values in zip(done, [*into, scores]):
+                    column.append(values)
             row += batch.num_rows
+            ends = np.cumsum(np.concatenate([[0], *sizes])).astype(np.int32)
             lists = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()),
+                pa.array(ends),
                 pa.StructArray.from_arrays(
-                    [pa.array(words, pa.binary()), pa.array(times, pa.int64())], fields=list(tail.value_type)
+                    [pa.array(words, pa.binary()), pa.array(np.concatenate([np.zeros(0, np.int64), *times]))],
+                    fields=list(tail.value_type),
                 ),
             )
-            n_words, known, logs, scores = zip(*figures)
+            n_words, known, logs, scores = (np.concatenate([np.zeros(0), *c]) for c in done)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept]
                 + [
-                    pa.array(range(row - batch.num_rows, row), pa.int64()),
-                    pa.array(n_words, pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(logs, pa.float64()),
-                    pa.array(scores, pa.float64()),
+                    pa.array(np.arange(row - batch.num_rows, row)),
+                    pa.array(n_words.astype(np.int64)),
+                    pa.array(known.astype(np.int64)),
+                    pa.array(logs),
+                    pa.array(scores),
                     lists,
                 ],
                 names=[*kept, "row", "n_words", "n_head", "head_log", "score", "tail"],
@@ -322,7 +313,7 @@ def scored(
     text_col: str = "text",
     vocabulary: int = attention.VOCABULARY,
     steps: int = TRAIN_STEPS,
-    windows: int = TRAIN_WINDOWS,
+    documents: int = TRAIN_DOCUMENTS,
     head_words: int = HEAD,
 ) -> DataFrame:
     """One row per document: doc_id, trained, n_tokens, n_known, train_tokens, base_score, score.
@@ -330,14 +321,17 @@ def scored(
     ``trains`` says which documents are learned from.
     """
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), trains.alias("trained"))
-    rows = stored(counted(named.where("trained").select("text"), tokenizer))
-    model = fitted(rows, vocabulary, steps, windows)
-    counts = stored(rows.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c")))
+    learned = named.where("trained").select("text")
+    counts = stored(counted(learned).groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"))
     total, distinct = counts.agg(F.sum("c"), F.count("*")).first()
     total = total or 0
-    short = counts.where(F.octet_length("word") <= LONGEST_HEAD)
-    head = {bytes(r["word"]): r["c"] for r in short.orderBy(F.desc("c"), "word").limit(head_words).collect()}
     ends = counts.where(F.col("word") == F.lit(END_WORD)).first()
+    end_count = ends["c"] if ends else 0
+    pairs = stored(paired(counts, tokenizer).groupBy("a", "b").agg(F.sum("n").alias("n")))
+    model = fitted(learned, end_count, statistics(pairs, vocabulary), tokenizer, steps, documents)
+    short = counts.where(F.octet_length("word") <= LONGEST_HEAD)
+    frequent = _first(short, 1.0 / F.col("c"), head_words)
+    head = {bytes(r["word"]): r["c"] for r in frequent.collect()}
     found = stored(_scores(named, tokenizer, model, head, ["doc_id", "trained"]))
     words = found.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n")
     rest = (
@@ -348,7 +342,6 @@ def scored(
             F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("n_tail"),
         )
     )
-    end_count = ends["c"] if ends else 0
     size = F.log10(F.lit(float(total)) + 0.5 * (distinct + 1))
     n_tokens = F.col("n_words") + 1
     end_log = F.log10(F.lit(end_count + 0.5))

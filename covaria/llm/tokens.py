@@ -8,7 +8,6 @@ data.
 
 from __future__ import annotations
 
-import json
 import operator
 import os
 import re
@@ -59,14 +58,14 @@ class WordIds:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self._np, self._most = np, remembered
         whole = Tokenizer.from_file(path)
         self._encode = whole.encode_batch_fast
-        parts = json.loads(whole.to_str()) | {
-            "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": [],
-        }
-        self._encode_rows = Tokenizer.from_str(json.dumps(parts)).encode_batch_fast
+        rows = Tokenizer(whole.model)
+        rows.pre_tokenizer = WhitespaceSplit()
+        self._encode_rows = rows.encode_batch_fast
         vocabulary = whole.get_vocab(with_added_tokens=False)
         self._closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self._closes[[k for piece, k in vocabulary.items() if piece.endswith("</w>")]] = True
@@ -93,7 +92,7 @@ class WordIds:
             grown[: len(held)] = held
             setattr(self, name, grown)
 
-    def _encoded(self, words: list[bytes]) -> tuple[list[bytes], object, object]:
+    def encoded(self, words: list[bytes]) -> tuple[list[bytes], object, object]:
         """The words, those of letters first, their ids in a row, and how many each has."""
         np = self._np
         # All words at once, as text and as the model's characters.
@@ -133,7 +132,7 @@ class WordIds:
         return plain + others, ids, np.concatenate([sizes, np.array([len(own) for own in rest], np.int64)])
 
     def _learn(self, words: list[bytes]) -> None:
-        words, ids, sizes = self._encoded(words)
+        words, ids, sizes = self.encoded(words)
         first = len(self._index)
         self._room("_flat", self._used + len(ids))
         self._room("_starts", first + len(words))
@@ -195,11 +194,11 @@ class WordIds:
         return self._np.concatenate(parts) if parts else self._np.zeros(0, self._np.uint32)
 
 
-def worker_words(path: str) -> WordIds:
+def worker_words(path: str, remembered: int = REMEMBERED) -> WordIds:
     """The worker's memory of words; functions sent to a worker come and go, this stays."""
     place = sys.modules.setdefault("_covaria_words", ModuleType("_covaria_words"))
-    if getattr(place, "path", None) != path:
-        place.path, place.words = path, WordIds(path)
+    if getattr(place, "key", None) != (path, remembered):
+        place.key, place.words = (path, remembered), WordIds(path, remembered)
     place.words.listen()
     return place.words
 
