@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from covaria.functions import column, formula_tokens
 from covaria.operators.durable import settle
-from covaria.operators.lookups import first_per_key, lookup
+from covaria.operators.lookups import first_per_key, lookup, measured_bytes
 
 
 def split_pairs(pairs: DataFrame, formula: str = "formula") -> DataFrame:
@@ -41,15 +41,15 @@ def _ends(
 ) -> DataFrame:
     # Looked up twice and counted: computed once and stored.
     entities = settle(first_per_key(scores, key, [x, y], order_by))
-    n = entities.count()
+    size = measured_bytes(entities)
 
     def coordinates(i: int) -> DataFrame:
         return entities.select(
             column(key).alias(f"__key{i}"), column(x).alias(f"x{i}"), column(y).alias(f"y{i}")
         )
 
-    start = lookup(valid_pairs(pairs), coordinates(0), "symbol_a", "__key0", keep_unmatched, table_rows=n)
-    return lookup(start, coordinates(1), "symbol_b", "__key1", keep_unmatched, table_rows=n)
+    start = lookup(valid_pairs(pairs), coordinates(0), "symbol_a", "__key0", keep_unmatched, table_bytes=size)
+    return lookup(start, coordinates(1), "symbol_b", "__key1", keep_unmatched, table_bytes=size)
 
 
 def pair_links(

@@ -13,8 +13,22 @@ from covaria.sources.categories import UNKNOWN_CATEGORY
 # A lookup table is broadcast only if its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Beyond it, keys that may hold more than this share of the rows are looked up apart.
-HEAVY_SHARE = 1 / 512
+# Rows with a NULL key match nothing; a shuffled join deals them to so many places.
+NULL_PLACES = 256
+
+
+def measured_bytes(table: DataFrame) -> int:
+    """Bytes the table's values take, from one pass: text by its length, other fields 16 each."""
+    size = F.lit(0).cast("long")
+    for f in table.schema.fields:
+        kind = f.dataType.simpleString()
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(column(f.name)), F.lit(0)) + 16
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column(f.name)))), F.lit(0))
+        else:
+            size = size + 16
+    return table.agg(F.sum(size)).first()[0] or 0
 
 
 def lookup(
@@ -24,39 +38,30 @@ def lookup(
     table_key: str,
     keep_unmatched: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-    table_rows: int | None = None,
+    table_bytes: int | None = None,
 ) -> DataFrame:
     """Add the columns of ``table`` (one row per ``table_key``) to the matching rows.
 
-    A table counted (or known, ``table_rows``) to be small is broadcast, so hot keys do no
-    harm. A larger one is joined by shuffle, except for heavy keys: one pass with bounded
-    memory lists every key that holds ``HEAVY_SHARE`` of the rows, and at most
-    ``1 / HEAVY_SHARE`` keys in all, so their part of the table is small, and is broadcast.
+    A table measured (or known, ``table_bytes``) to be small is broadcast, so hot keys do no
+    harm. A larger one is joined by one shuffle of each side: adaptive execution splits the
+    partitions of hot keys, and rows with a NULL key, which match nothing, are dealt evenly.
     """
     how = "left" if keep_unmatched else "inner"
     match_key = "__lookup_key"
     table = table.withColumnRenamed(table_key, match_key)
-
-    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
-        return left.join(right, column(row_key) == column(match_key), how).drop(match_key)
-
-    width = sum(40 if f.dataType.simpleString() == "string" else 16 for f in table.schema.fields)
-    if (table.count() if table_rows is None else table_rows) * width <= broadcast_bytes:
-        return joined(rows, F.broadcast(table))
-    heavy = rows.select(column(row_key).alias("key")).freqItems(["key"], HEAVY_SHARE).first()
-    hot = [k for k in heavy["key_freqItems"] if k is not None]
-    is_hot = F.coalesce(column(row_key).isin(hot), F.lit(False)) if hot else F.lit(False)
-    present = column(row_key).isNotNull()
-    parts = [joined(rows.where(present & ~is_hot), table)]
-    if hot:
-        parts.append(joined(rows.where(is_hot), F.broadcast(table.where(column(match_key).isin(hot)))))
-    if keep_unmatched:  # a NULL key matches nothing and must not travel to one task
-        added = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields if f.name != match_key]
-        parts.append(rows.where(~present).select("*", *added))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    same = column(row_key) == column(match_key)
+    if (measured_bytes(table) if table_bytes is None else table_bytes) <= broadcast_bytes:
+        return rows.join(F.broadcast(table), same, how).drop(match_key)
+    if not keep_unmatched:
+        return rows.join(table, same, how).drop(match_key)
+    # By a hash of the row, so that a task run again deals its rows alike.
+    plain = [column(f.name) for f in rows.schema.fields if not f.dataType.simpleString().startswith(("map", "array", "struct"))]
+    spread = F.pmod(F.xxhash64(*plain), F.lit(NULL_PLACES)).cast("int") + 1
+    place = F.when(column(row_key).isNull(), spread).otherwise(0)
+    dealt = rows.withColumn("__place", place)
+    zero = table.withColumn("__at", F.lit(0))
+    joined = dealt.join(zero, same & (F.col("__place") == F.col("__at")), how)
+    return joined.drop(match_key, "__place", "__at")
 
 
 def invert_categories(
@@ -80,10 +85,10 @@ def with_category(
     symbols: DataFrame,
     key: str,
     unknown: str = UNKNOWN_CATEGORY,
-    symbol_rows: int | None = None,
+    symbol_bytes: int | None = None,
 ) -> DataFrame:
     """Add ``category`` from a ``symbol, category`` table; unlisted keys get ``unknown``."""
-    found = lookup(rows, symbols.select("symbol", "category"), key, "symbol", True, table_rows=symbol_rows)
+    found = lookup(rows, symbols.select("symbol", "category"), key, "symbol", True, table_bytes=symbol_bytes)
     return found.withColumn("category", F.coalesce("category", F.lit(unknown)))
 
 

@@ -58,6 +58,13 @@ def macro_f1(confusion: DataFrame) -> DataFrame:
     return class_f1(confusion).agg(F.avg("f1").alias("macro_f1"))
 
 
+def hits_and_f1(confusion: DataFrame) -> DataFrame:
+    """One row ``accuracy, macro_f1``, from one pass over the counts."""
+    summed = class_f1(confusion)
+    rows = F.sum(F.col("tp") + F.col("fn"))
+    return summed.agg((F.sum("tp") / rows).alias("accuracy"), F.avg("f1").alias("macro_f1"))
+
+
 def fisher_ratio(df: DataFrame, coordinates: Sequence[str], label: str) -> DataFrame:
     """One row ``between, within, fisher_ratio`` (NULL if within-class scatter vanishes).
 

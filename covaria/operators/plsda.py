@@ -171,6 +171,46 @@ def plsda_from_moments(moments: Moments, n_components: int = 2, scale: bool = Tr
     )
 
 
+def coefficients_of_subsets(moments: Moments, used: np.ndarray, n_components: int = 2) -> np.ndarray:
+    """Coefficients of the unscaled models of many subsets: features x subsets x classes.
+
+    ``used`` (features x subsets) marks each subset's features; others get zeros. All subsets
+    are fitted side by side: weights come from classes x classes problems, and what needs the
+    features' products is one matrix product a component for all subsets together.
+    """
+    used = used.astype(np.float64)
+    p, m = used.shape
+    gram, n = moments.gram, moments.n_rows
+    cross = moments.class_sums.T[:, None, :] * used[:, :, None]
+    traces = np.diag(gram) @ used
+    nothing = RESIDUAL_TOLERANCE * np.sqrt(traces * n)
+    coefficients = np.zeros_like(cross)
+    loadings, rotations = [], []
+    for _ in range(n_components):
+        live = np.sqrt(np.einsum("pmk,pmk->m", cross, cross)) > nothing
+        _, vectors = np.linalg.eigh(np.einsum("pmk,pml->mkl", cross, cross))
+        w = np.einsum("pmk,mk->pm", cross, vectors[:, :, -1])
+        w /= np.maximum(np.sqrt((w * w).sum(axis=0)), np.finfo(float).tiny)
+        size = np.abs(w)
+        first = np.argmax(size >= size.max(axis=0) * (1 - 1e-9), axis=0)
+        w *= np.where(w[first, np.arange(m)] < 0, -1.0, 1.0) * live
+        r = w.copy()
+        for loading, rotation in zip(loadings, rotations):
+            r -= (loading * w).sum(axis=0) * rotation
+        u = (gram @ r) * used
+        tt = (r * u).sum(axis=0)
+        live &= tt > RESIDUAL_TOLERANCE * traces
+        tt = np.where(live, tt, 1.0)
+        r *= live
+        x_loading = u * live / tt
+        y_loading = np.einsum("pmk,pm->mk", cross, r) / tt[:, None]
+        cross -= (x_loading * tt)[:, :, None] * y_loading[None]
+        coefficients += r[:, :, None] * y_loading[None]
+        loadings.append(x_loading)
+        rotations.append(r)
+    return coefficients
+
+
 def fit_plsda(
     table: FeatureTable,
     n_components: int = 2,

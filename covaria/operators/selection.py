@@ -1,8 +1,9 @@
 """Greedy feature selection around PLS-DA.
 
-A greedy step fits every candidate from moments on the driver and scores all of them in
-one pass: the candidates' coefficients stand side by side in one matrix, and each task
-counts their hits batch by batch.
+A greedy step fits all candidates side by side from moments on the driver, with a few matrix
+products, and scores them in one pass: each task counts their hits batch by batch. Features
+that most candidates share take part in one product; a feature that only some have, such as
+the one a candidate adds, is added to their responses alone.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from covaria.operators.features import FeatureTable, matrix
 from covaria.operators.history import BACKWARD_SCHEMA, FORWARD_SCHEMA
 from covaria.operators.moments import Moments, fit_moments
 from covaria.operators.pca import empty_scores
-from covaria.operators.plsda import plsda_from_moments
+from covaria.operators.plsda import coefficients_of_subsets, plsda_from_moments
 from covaria.operators.profile import standardize_block, usable_features
 
 SCORINGS = ("accuracy", "f1")
@@ -63,27 +64,22 @@ def evaluate_subsets(
     """
     if scoring not in SCORINGS:
         raise ValueError(f"scoring must be one of {SCORINGS}, got {scoring!r}")
-    fits: list[tuple[int, list[int], np.ndarray]] = []
-    for c, subset in enumerate(subsets):
-        used = usable_features(moments.scaling.subset(subset), "impute")
-        if len(used) < n_components or not used or not moments.classes:
-            continue
-        try:
-            model = plsda_from_moments(moments.subset(used), n_components, scale=False)
-        except np.linalg.LinAlgError:
-            continue
-        fits.append((c, moments.scaling.position(used), model.coefficients))
     k, p = len(moments.classes), len(moments.features)
+    at = {f: j for j, f in enumerate(moments.features)}
+    live = ~moments.scaling.constant
+    used = np.zeros((p, len(subsets)), dtype=bool)
+    for c, subset in enumerate(subsets):
+        used[[at[f] for f in subset], c] = True
+    used &= live[:, None]
+    fits = np.flatnonzero((used.sum(axis=0) >= max(n_components, 1)) & (k > 0))
     at_once = max(1, COEFFICIENT_BYTES // (8 * max(k * p, 1)))
     scores = [UNDEFINED] * len(subsets)
     share = moments.class_counts / max(moments.n_rows, 1)
     for start in range(0, len(fits), at_once):
         chunk = fits[start : start + at_once]
-        coefficients = np.zeros((p, len(chunk), k))
-        for m, (_, ix, b) in enumerate(chunk):
-            coefficients[ix, m, :] = b
+        coefficients = coefficients_of_subsets(moments, used[:, chunk], n_components)
         hits, predicted = _count(table, moments, coefficients, share)
-        for m, (c, _, _) in enumerate(chunk):
+        for m, c in enumerate(chunk):
             scores[c] = _score(hits[m], predicted[m], moments, scoring)
     return scores
 
@@ -96,6 +92,25 @@ def _score(hits: np.ndarray, predicted: np.ndarray, moments: Moments, scoring: s
     return Score(f1, round(f1, 12))
 
 
+def _split(coefficients: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Features that many candidates use, and the others in rounds of one for each candidate.
+
+    A round holds a feature per candidate and its coefficients (zero where there is none).
+    """
+    uses = np.abs(coefficients).sum(axis=2) > 0
+    many = uses.sum(axis=1) * 4 > uses.shape[1]
+    alone = uses & ~many[:, None]
+    rounds = int(alone.sum(axis=0).max(initial=0))
+    if rounds > max(4, len(uses) // 8):  # no gain over one product
+        return np.arange(len(uses)), []
+    order = np.argsort(~alone, axis=0, kind="stable")
+    candidates, rest = np.arange(uses.shape[1]), []
+    for k in range(rounds):
+        feature = order[k]
+        rest.append((feature, coefficients[feature, candidates] * alone[feature, candidates][:, None]))
+    return np.flatnonzero(many), rest
+
+
 def _count(table: FeatureTable, moments: Moments, coefficients: np.ndarray, share: np.ndarray):
     """Hits and predictions per candidate and class: two candidates x classes arrays."""
     table = table.labelled()
@@ -113,7 +128,8 @@ def _count(table: FeatureTable, moments: Moments, coefficients: np.ndarray, shar
         pick = [at[f] for f in moments.features]
     if not len(used):
         scaling, stacked = moments.scaling.subset(()), np.zeros((0, m, k))
-    stacked = stacked.reshape(-1, m * k)
+    shared, rest = _split(stacked)
+    common = np.ascontiguousarray(stacked[shared]).reshape(-1, m * k)
     classes = list(moments.classes)
     block_rows = max(1, RESPONSE_BYTES // (8 * m * k))
 
@@ -126,14 +142,17 @@ def _count(table: FeatureTable, moments: Moments, coefficients: np.ndarray, shar
             actual = pc.index_in(batch.column(0), value_set=pa.array(classes, batch.column(0).type))
             actual = actual.fill_null(-1).to_numpy(zero_copy_only=False)
             x = matrix(batch.column(1), width)
-            if not stacked.shape[0]:
+            if not len(stacked):
                 x = x[:, :0]
             elif pick is not None:
                 x = x[:, pick]
             for start in range(0, len(x), block_rows):
                 part = slice(start, start + block_rows)
                 z = standardize_block(x[part], scaling)
-                best = np.argmax((z @ stacked).reshape(-1, m, k) + share, axis=2)
+                responses = (z[:, shared] @ common).reshape(-1, m, k) + share
+                for feature, own in rest:
+                    responses += z[:, feature][:, :, None] * own
+                best = np.argmax(responses, axis=2)
                 truth = actual[part, None]
                 cell = best + k * np.arange(m)
                 predicted += np.bincount(cell[actual[part] >= 0].ravel(), minlength=m * k).reshape(m, k)

@@ -117,8 +117,9 @@ def silhouette(
 ) -> DataFrame:
     """One row ``n_rows, n_classes, silhouette``.
 
-    Rows without a label or coordinates are left out. A class of one row counts 0. With
-    fewer than two classes, or every row its own class, the silhouette is NULL.
+    Rows without a label or coordinates are left out; ``n_rows`` counts the others. A class
+    of one row counts 0. With fewer than two classes, or every row its own class, the
+    silhouette is NULL. An infinite coordinate is refused, as distances to it mean nothing.
     """
     spark = points.sparkSession
     merged = (
@@ -132,6 +133,8 @@ def silhouette(
         F.sum("w").alias("rows"), F.count(F.lit(1)).alias("points"),
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
     ).limit(MAX_CLASSES + 1).collect()
+    if any(np.isinf([r["x0"], r["x1"], r["y0"], r["y1"]]).any() for r in classes):
+        raise ValueError("infinite coordinates have no silhouette")
     if len(classes) > MAX_CLASSES:
         raise ValueError(f"label {label!r} has more than {MAX_CLASSES} distinct values")
     classes.sort(key=lambda r: r["label"])

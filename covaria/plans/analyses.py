@@ -8,11 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covaria.operators.durable import settle
 from covaria.operators.features import FeatureTable
 from covaria.operators.links import link_counts, pair_links
 from covaria.operators.lookups import invert_categories, with_category
-from covaria.operators.metrics import accuracy, confusion_matrix, macro_f1, metrics_table
+from covaria.operators.metrics import confusion_matrix, hits_and_f1, metrics_table
 from covaria.operators.moments import Moments
 from covaria.operators.pca import PCAModel, fit_pca
 from covaria.operators.plsda import PLSModel, fit_plsda
@@ -75,21 +74,17 @@ def quality(table: FeatureTable, model: PLSModel, with_silhouette: bool = True)
     ratio needs none, since class means and variances of scores follow from the moments.
     """
     predicted = model.predict(table, [table.label])
-    # Counted once, then both metrics are read off.
-    confusion = settle(confusion_matrix(predicted, table.label, "prediction"))
+    confusion = confusion_matrix(predicted, table.label, "prediction")
     score = None
     if with_silhouette and len(model.classes) > 1:
         points = model.scores(table, [table.label])
         if len(model.component_names()) == 2:
             score = silhouette(points, "LV1", "LV2", table.label).first()["silhouette"]
-    return (
-        accuracy(confusion)
-        .select(
-            "accuracy",
-            macro_f1(confusion).scalar().alias("macro_f1"),
-            F.lit(score).cast("double").alias("silhouette"),
-            F.lit(model.fisher_ratio).cast("double").alias("fisher_ratio"),
-        )
+    return hits_and_f1(confusion).select(
+        "accuracy",
+        "macro_f1",
+        F.lit(score).cast("double").alias("silhouette"),
+        F.lit(model.fisher_ratio).cast("double").alias("fisher_ratio"),
     )
 
 

@@ -31,7 +31,7 @@ from covaria.operators.selection import (
 from covaria.operators.silhouette import silhouette
 from covaria.plans import bindings as B
 from covaria.plans.analyses import quality
-from covaria.sources import ENTITY_CATALOG, SAMPLE_CATALOG, element_categories, read_entities, read_pairs, read_samples
+from covaria.sources import CATEGORY_BYTES, ENTITY_CATALOG, SAMPLE_CATALOG, element_categories, read_entities, read_pairs, read_samples
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,7 +147,8 @@ def standardize_impute(spark, sf_dir):
 
 def category_lookup(spark, sf_dir):
     customers = B.table(spark, sf_dir, "customer").select("c_custkey", B.nation_symbol("c_nationkey").alias("sign"))
-    return with_category(customers, invert_categories(element_categories(spark)), "sign")
+    symbols = invert_categories(element_categories(spark))
+    return with_category(customers, symbols, "sign", symbol_bytes=CATEGORY_BYTES)
 
 
 def invert_category_lists(spark, sf_dir):
@@ -333,6 +334,14 @@ def silhouette_exact(spark, sf_dir):
     return _round(silhouette(B.vector_points(spark, sf_dir), "x", "y", "label"))
 
 
+def silhouette_orders(spark, sf_dir):
+    """Silhouette of all orders by status: price against customer."""
+    points = B.table(spark, sf_dir, "orders").select(
+        (F.col("o_totalprice") / 1000).alias("x"), F.col("o_custkey").cast("double").alias("y"), "o_orderstatus"
+    )
+    return _round(silhouette(points, "x", "y", "o_orderstatus", direct_points=256))
+
+
 def silhouette_lines(spark, sf_dir):
     """Silhouette of all line scores by price band."""
     table, model = _banded(spark, sf_dir)
@@ -509,6 +518,7 @@ def registered() -> dict[str, Query]:
         "accuracy": accuracy,
         "macro_f1": macro_f1,
         "silhouette_exact": silhouette_exact,
+        "silhouette_orders": silhouette_orders,
         "silhouette_lines": silhouette_lines,
         "fisher_ratio": fisher_ratio,
         "metrics_table": metrics_table,

@@ -5,7 +5,7 @@ from covaria.sources.catalog import (  # noqa: F401
     FeatureCatalog,
     Resolved,
 )
-from covaria.sources.categories import UNKNOWN_CATEGORY, element_categories  # noqa: F401
+from covaria.sources.categories import CATEGORY_BYTES, UNKNOWN_CATEGORY, element_categories  # noqa: F401
 from covaria.sources.tables import (  # noqa: F401
     POSITION,
     read_entities,

@@ -22,6 +22,9 @@ ELEMENT_CATEGORIES = (
 # Fixed value: category of a symbol that no category lists.
 UNKNOWN_CATEGORY = "other"
 
+# Bound on what the inverted table takes: some hundred symbols with the name of a category.
+CATEGORY_BYTES = 16 * 1024
+
 _SCHEMA = T.StructType(
     [
         T.StructField("category", T.StringType(), False),

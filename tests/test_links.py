@@ -94,3 +94,21 @@ def test_maps(spark, pairs):
     grouped = with_element_category(pca_map(table, "Symbol").scores)
     assert {r["Symbol"]: r["category"] for r in grouped.collect()}["Zn"] == "transition_metals"
     assert found.entities.explained_variance.count() == 2
+
+
+def test_large_lookup_reads_its_input_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(1000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN id % 7 END AS k").write.parquet(path)
+    rows = spark.read.parquet(path)
+    table = spark.range(5).selectExpr("id AS t", "repeat('v', 10) AS v")
+    found = lookup(rows, table, "k", "t", True, broadcast_bytes=0)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert found.count() == 1000 and found.columns == ["id", "k", "v"]
+    assert found.where("v IS NOT NULL").count() == rows.where("k < 5").count()
+
+
+def test_bytes_are_measured(spark):
+    from covaria.operators.lookups import measured_bytes
+
+    table = spark.range(10).selectExpr("id", "repeat('é', 1000) AS v")
+    assert 20_000 <= measured_bytes(table) <= 21_000 and measured_bytes(table.limit(0)) == 0

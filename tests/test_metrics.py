@@ -101,3 +101,19 @@ def test_silhouette_edges(spark):
     assert of([1, 1, 1, 1], ["a", "a", "b", "b"]) == 0.0
     assert of([1, 2, 9], ["a", "a", "b"]) == pytest.approx(plain.silhouette(
         np.array([1.0, 2, 9]), np.array([1.0, 2, 9]), np.array(["a", "a", "b"])))
+
+
+def test_infinite_coordinates_are_refused(spark):
+    from covaria.operators.silhouette import silhouette
+
+    df = spark.createDataFrame([(0.0, 1.0, "a"), (float("inf"), 1.0, "b"), (1.0, 2.0, "a")], "x double, y double, l string")
+    with pytest.raises(ValueError):
+        silhouette(df, "x", "y", "l").first()
+
+
+def test_one_pass_gives_both_measures(spark):
+    rows = [("a", "a"), ("a", "b"), ("b", "b"), ("c", None), (None, "a")]
+    confusion = M.confusion_matrix(spark.createDataFrame(rows, "y string, p string"), "y", "p")
+    both = M.hits_and_f1(confusion).first()
+    assert both["accuracy"] == pytest.approx(M.accuracy(confusion).first()[0]) == 0.5
+    assert both["macro_f1"] == pytest.approx(M.macro_f1(confusion).first()[0])

@@ -206,3 +206,58 @@ def test_scores_at_step(data):
     scores = S.scores_at(table, fit_moments(table), ["f2", "f0"], ["id"]).orderBy("id").collect()
     t = plain.nipals(plain.standardized(x[:, [2, 0]]), plain.dummies(y)[0], 2, False)[1]
     np.testing.assert_allclose([[r["LV1"], r["LV2"]] for r in scores], t, atol=1e-8)
+
+
+def _random_moments(p, n=4000, seed=2):
+    from covaria.operators.moments import Moments
+    from covaria.operators.profile import Scaling
+
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, p)) @ (np.eye(p) + 0.2 * rng.normal(size=(p, p)) / np.sqrt(p))
+    y = np.argmax(x[:, :3] + rng.normal(size=(n, 3)), axis=1)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    names = tuple(f"f{i}" for i in range(p))
+    zero = np.zeros(p)
+    scaling = Scaling(names, n, zero, zero, zero, np.ones(p), np.zeros(p, dtype=bool))
+    sums = np.array([z[y == c].sum(axis=0) for c in range(3)])
+    return Moments(scaling, z.T @ z, (0, 1, 2), np.bincount(y), sums)
+
+
+def test_subsets_fitted_side_by_side_equal_single_fits():
+    from covaria.operators.plsda import coefficients_of_subsets, plsda_from_moments
+
+    moments = _random_moments(12)
+    rng = np.random.default_rng(3)
+    used = rng.random((12, 20)) < 0.5
+    used[:2] = True
+    got = coefficients_of_subsets(moments, used)
+    for c in range(20):
+        names = [f for f, u in zip(moments.features, used[:, c]) if u]
+        one = plsda_from_moments(moments.subset(names), 2, scale=False)
+        np.testing.assert_allclose(got[used[:, c], c], one.coefficients, atol=1e-9)
+        assert not got[~used[:, c], c].any()
+
+
+def test_a_backward_step_at_a_thousand_features_takes_seconds():
+    import time
+
+    from covaria.operators.plsda import coefficients_of_subsets
+
+    moments = _random_moments(1000, n=2000)
+    start = time.process_time()
+    coefficients_of_subsets(moments, ~np.eye(1000, dtype=bool))
+    assert time.process_time() - start < 40  # seconds of all threads; one fit at a time took about a minute
+
+
+def test_split_products_equal_dense_ones():
+    from covaria.operators.selection import _split
+
+    rng = np.random.default_rng(4)
+    for used in (np.eye(30, dtype=bool) | (np.arange(30) < 4)[:, None], rng.random((30, 9)) < 0.3, ~np.eye(30, dtype=bool)):
+        b = rng.normal(size=(30, used.shape[1], 3)) * used[:, :, None]
+        z = rng.normal(size=(7, 30))
+        shared, rest = _split(b)
+        y = np.einsum("np,pmk->nmk", z[:, shared], b[shared])
+        for feature, own in rest:
+            y += z[:, feature][:, :, None] * own
+        np.testing.assert_allclose(y, np.einsum("np,pmk->nmk", z, b), atol=1e-12)
