@@ -7,11 +7,13 @@ from dataclasses import dataclass
 from math import sqrt
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covaria.functions import INFINITY, clean_value, column, finite
-from covaria.operators.features import FeatureTable
+from covaria.operators.features import FeatureTable, matrix
 
 NAN_POLICIES = ("drop_column", "error", "impute")
 
@@ -39,7 +41,8 @@ def profile(table: FeatureTable) -> DataFrame:
     """One row per feature: counts of rows and of missing values, moments, extremes.
 
     Mean, deviations and extremes are over the finite values. One pass; what crosses the
-    network is one row of partial results per task (narrow) or per task and feature (wide).
+    network is one row of partial results per task. An array column must hold as many
+    entries as there are features in every row; anything else is an error.
     """
     names = table.features
     if table.narrow:
@@ -59,12 +62,97 @@ def profile(table: FeatureTable) -> DataFrame:
             for j, name in enumerate(names)
         ]
         return measured.select(F.inline(F.array(*entries)))
-    values = table.df.select(F.posexplode(table.vector()).alias("ord", "value"))
+    whole = _merged(table)
     lookup = F.array(*[F.lit(n) for n in names])
-    grouped = values.groupBy("ord").agg(
-        *[m.alias(c) for m, c in zip(_measures(F.col("value")), PROFILE_COLUMNS)]
+    each = whole.select("n_rows", F.posexplode(F.arrays_zip(*_PARTS)).alias("ord", "v"))
+    n = F.col("v.n")
+    known = lambda value, least=1: F.when(n >= least, value)
+    return each.select(
+        F.get(lookup, F.col("ord")).alias("column"),
+        "ord",
+        "n_rows",
+        *[F.col(f"v.{c}").cast("long").alias(c) for c in ("n_null", "n_nan", "n_inf")],
+        known(F.col("v.mean")).alias("mean"),
+        known(F.sqrt(F.col("v.squares") / (n - 1)), 2).alias("std_samp"),
+        known(F.sqrt(F.col("v.squares") / n)).alias("std_pop"),
+        known(F.col("v.low")).alias("min_value"),
+        known(F.col("v.high")).alias("max_value"),
     )
-    return grouped.select(F.get(lookup, F.col("ord")).alias("column"), "ord", *PROFILE_COLUMNS)
+
+
+# Partial results of a task, one entry per feature; ``squares`` are about the task's own mean.
+_PARTS = ("n_null", "n_nan", "n_inf", "n", "mean", "squares", "low", "high")
+
+# Partial rows are first merged in so many groups.
+MERGE_GROUPS = 64
+
+
+def _merge(a: dict, b: dict) -> dict:
+    """Partial results of two sets of rows put together (Chan, Golub and LeVeque 1979)."""
+    n = a["n"] + b["n"]
+    share = b["n"] / np.maximum(n, 1)
+    away = np.where((a["n"] > 0) & (b["n"] > 0), b["mean"] - a["mean"], 0.0)
+    only_b = (a["n"] == 0) & (b["n"] > 0)
+    return {
+        **{c: a[c] + b[c] for c in ("n_rows", "n_null", "n_nan", "n_inf")},
+        "n": n,
+        "mean": np.where(only_b, b["mean"], a["mean"] + away * share),
+        "squares": a["squares"] + b["squares"] + away * away * a["n"] * share,
+        "low": np.minimum(a["low"], b["low"]),
+        "high": np.maximum(a["high"], b["high"]),
+    }
+
+
+def _merged(table: FeatureTable) -> DataFrame:
+    """One row of arrays over the whole table: Arrow batches, then merging in two steps."""
+    p = len(table.features)
+
+    def measured(x: np.ndarray, absent: np.ndarray) -> dict:
+        ok = np.isfinite(x)
+        n = ok.sum(axis=0).astype(float)
+        mean = np.where(ok, x, 0.0).sum(axis=0) / np.maximum(n, 1)
+        off = np.where(ok, x - mean, 0.0)
+        rest = off.sum(axis=0) / np.maximum(n, 1)  # what rounding left in the mean
+        return {
+            "n_rows": len(x),
+            "n_null": absent.sum(axis=0).astype(float),
+            "n_nan": (np.isnan(x) & ~absent).sum(axis=0).astype(float),
+            "n_inf": np.isinf(x).sum(axis=0).astype(float),
+            "n": n,
+            "mean": mean + rest,
+            "squares": (off * off).sum(axis=0) - n * rest * rest,
+            "low": np.where(ok, x, np.inf).min(axis=0),
+            "high": np.where(ok, x, -np.inf).max(axis=0),
+        }
+
+    def partial(batches):
+        total = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column_ = batch.column(0)
+            x = matrix(column_, p)
+            absent = column_.flatten().is_null().to_numpy(zero_copy_only=False).reshape(x.shape)
+            own = measured(x, absent)
+            total = own if total is None else _merge(total, own)
+        if total is not None:
+            yield pa.RecordBatch.from_pydict(
+                {"n_rows": [total["n_rows"]], **{c: pa.array([total[c]], pa.list_(pa.float64())) for c in _PARTS}}
+            )
+
+    def merge(rows):
+        total = None
+        for row in rows.to_dict("records"):
+            row.pop("part")
+            own = {c: v if c == "n_rows" else np.asarray(v) for c, v in row.items()}
+            total = own if total is None else _merge(total, own)
+        return pd.DataFrame([{"n_rows": int(total["n_rows"]), **{c: total[c] for c in _PARTS}}])
+
+    schema = "n_rows long, " + ", ".join(f"{c} array<double>" for c in _PARTS)
+    rows = table.df.select(table.vector().alias("x")).mapInArrow(partial, schema)
+    part = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    rows = rows.withColumn("part", part).groupBy("part").applyInPandas(merge, schema)
+    return rows.withColumn("part", F.lit(0)).groupBy("part").applyInPandas(merge, schema)
 
 
 @dataclass(frozen=True)

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +91,29 @@ def test_standardize_keeps_gaps(df):
 def test_no_rows(df):
     scaling = P.fit_scaling(FeatureTable.of(df.where("id < 0"), NAMES))
     assert scaling.n_rows == 0 and not scaling.constant.any()
+
+
+def test_wide_profile_of_gaps_and_far_means(spark):
+    rng = np.random.default_rng(1)
+    x = 1e9 + rng.normal(size=(500, 8))
+    rows = [[i, [float(v) for v in r]] for i, r in enumerate(x)]
+    rows[0][1][0], rows[1][1][1], rows[2][1][2] = None, float("nan"), float("inf")
+    for r in rows:
+        r[1][7] = None
+    table = FeatureTable.of(
+        spark.createDataFrame(rows, "id int, x array<double>").repartition(5), [f"f{i}" for i in range(8)], array="x"
+    )
+    got = {r["ord"]: r for r in P.profile(table).collect()}
+    assert all(r["n_rows"] == 500 for r in got.values())
+    assert (got[0]["n_null"], got[1]["n_nan"], got[2]["n_inf"], got[7]["n_null"]) == (1, 1, 1, 500)
+    assert got[7]["mean"] is None and got[7]["std_pop"] is None and got[7]["min_value"] is None
+    for j in range(3, 7):
+        assert got[j]["std_samp"] == pytest.approx(x[:, j].std(ddof=1), rel=1e-6)
+        assert got[j]["mean"] == pytest.approx(x[:, j].mean(), rel=1e-15)
+
+
+@pytest.mark.parametrize("bad", [None, [1.0], [1.0] * 9])
+def test_wide_profile_refuses_ragged_rows(spark, bad):
+    df = spark.createDataFrame([(1, [1.0] * 8), (2, bad)], "id int, x array<double>")
+    with pytest.raises(Exception, match="every row needs an array of exactly 8 numbers"):
+        P.profile(FeatureTable.of(df, [f"f{i}" for i in range(8)], array="x")).collect()
