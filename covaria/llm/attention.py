@@ -136,9 +136,11 @@ class Model:
 
         z, _ = self.forward(ids)
         late, target = ids[:, STRIDE:].ravel(), following.ravel()
-        own = z[np.arange(len(z)), np.minimum(target, self.rest)]
+        own = z.ravel().take(np.arange(0, z.size, z.shape[1]) + np.minimum(target, self.rest))
         np.exp(z, out=z)
-        return own - np.log(z @ np.ones(z.shape[1], np.float32)) + self.inside[np.minimum(late, self.start), target]
+        return own - np.log(z @ np.ones(z.shape[1], np.float32)) + self.inside.ravel().take(
+            np.minimum(late, self.start) * self.inside.shape[1] + target
+        )
 
     def gradients(self, ids, following):
         """Mean loss of the classes, and its gradient for each weight."""

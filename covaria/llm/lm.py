@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from covaria.llm import attention
 from covaria.llm.text import lower_ascii, raw_texts, slices
-from covaria.llm.tokens import WordIds, segments, worker_words
+from covaria.llm.tokens import WordIds, segments, split_words, worker_words
 from covaria.operators.durable import stored
 
 #: Ids of the tokenizer, and the one that ends a text; the start of a word has the next number.
@@ -38,14 +38,14 @@ IDS = 49_408
 END = 49_407
 #: In pair counts, what follows a word's last id.
 WORD_END = -1
-HEAD = 1 << 17
+HEAD = 1 << 18
 LONGEST_HEAD = 32
 #: Words that a worker remembers, and words that it counts before it passes counts on.
-WORDS, COUNTED = 550_000, 500_000
+WORDS, COUNTED = 600_000, 500_000
 TRAIN_DOCUMENTS, LONGEST = 1_500, 100_000
-TRAIN_STEPS = 4_000
+TRAIN_STEPS = 3_000
 #: Times that training reads each window at most, and windows of one step.
-TRAIN_PASSES, TRAIN_BATCH = 5, 128
+TRAIN_PASSES, TRAIN_BATCH = 4, 128
 SEED = 13
 #: Bytes of text whose words a task holds at a time.
 SLICE = 1 << 20
@@ -59,9 +59,8 @@ def _token_slices(raws: list[bytes], encoder: WordIds):
 
     for begin, end in slices(raws, SLICE):
         if end - begin > 1:
-            split = [lower_ascii(raw).split() for raw in raws[begin:end]]
-            numbers = encoder.numbers([w for words in split for w in words])
-            yield begin, end, [(numbers, np.array([len(words) for words in split]))]
+            words, counts = split_words([lower_ascii(raw) for raw in raws[begin:end]])
+            yield begin, end, [(encoder.numbers(words), counts)]
         else:
             yield begin, end, (
                 (encoder.numbers(words), np.array([len(words)]))
@@ -110,15 +109,19 @@ def paired(counts: DataFrame, tokenizer: str) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        encoder = WordIds(tokenizer, 1)
-        codes, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        encoder = worker_words(tokenizer, WORDS)
         width = IDS + 2
+        pairs: list = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+
+        def added():
+            codes, inverse = np.unique(np.concatenate([c for c, _ in pairs]), return_inverse=True)
+            return codes, np.bincount(inverse, np.concatenate([n for _, n in pairs]), len(codes)).astype(np.int64)
+
         for batch in batches:
             words = batch.column("word").to_pylist()
             n = batch.column("c").to_numpy(zero_copy_only=False)
             if END_WORD in words:  # the end of a text has no ids of its own
-                codes = np.append(codes, IDS * width + END + 1)
-                times = np.append(times, n[words.index(END_WORD)])
+                pairs.append((np.array([IDS * width + END + 1]), n[[words.index(END_WORD)]]))
                 n = n[[w != END_WORD for w in words]]
                 words = [w for w in words if w != END_WORD]
             for at in range(0, len(words), 50_000):
@@ -134,9 +137,10 @@ def paired(counts: DataFrame, tokenizer: str) -> DataFrame:
                 after[after == IDS] = WORD_END
                 use = np.repeat(own, sizes + 1)
                 keep = (before != IDS) | (after != WORD_END)
-                code = before[keep] * width + after[keep] + 1
-                codes, inverse = np.unique(np.concatenate([codes, code]), return_inverse=True)
-                times = np.bincount(inverse, np.concatenate([times, use[keep]])).astype(np.int64)
+                pairs.append((before[keep] * width + after[keep] + 1, use[keep]))
+                if sum(len(c) for c, _ in pairs) > 2_000_000:
+                    pairs[:] = [added()]
+        codes, times = added()
         yield pa.RecordBatch.from_pydict({
             "a": pa.array((codes // width).astype(np.int32)), "b": pa.array((codes % width - 1).astype(np.int32)),
             "n": pa.array(times),
@@ -331,7 +335,8 @@ def scored(
     model = fitted(learned, end_count, statistics(pairs, vocabulary), tokenizer, steps, documents)
     short = counts.where(F.octet_length("word") <= LONGEST_HEAD)
     frequent = _first(short, 1.0 / F.col("c"), head_words)
-    head = {bytes(r["word"]): r["c"] for r in frequent.collect()}
+    known = frequent.select("word", "c").toArrow()
+    head = dict(zip(known["word"].to_pylist(), known["c"].to_pylist()))
     found = stored(_scores(named, tokenizer, model, head, ["doc_id", "trained"]))
     words = found.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n")
     rest = (

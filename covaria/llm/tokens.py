@@ -16,8 +16,10 @@ import unicodedata
 from itertools import compress, repeat
 from types import ModuleType
 
+from covaria.llm.text import SPACE_BYTES, slices
+
 #: Words a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 #: Words in a row for the model.
 ROW = 200
 #: Bytes of text whose words are held as Python objects at a time.
@@ -46,6 +48,20 @@ def _byte_level() -> dict[int, int]:
 _BYTE_LEVEL = _byte_level()
 
 
+def split_words(raws: list[bytes]):
+    """The words of all texts in a row, and how many each text has."""
+    import numpy as np
+
+    joined = b"\n".join(raws) + b"\n"
+    space = np.zeros(256, bool)
+    space[list(SPACE_BYTES)] = True
+    blank = space[np.frombuffer(joined, np.uint8)]
+    begins = ~blank
+    begins[1:] &= blank[:-1]
+    ends = np.cumsum([len(raw) + 1 for raw in raws])
+    return joined.split(), np.diff(np.searchsorted(np.flatnonzero(begins), ends), prepend=0)
+
+
 class WordIds:
     """Ids of words, and of whole texts.
 
@@ -80,6 +96,7 @@ class WordIds:
 
     def _clear(self) -> None:
         self._index: dict[bytes, int] = {}
+        self._words: list[bytes] = []
         self._flat = self._np.zeros(1 << 16, self._np.uint32)
         self._starts = self._np.zeros(1 << 14, self._np.int64)
         self._sizes = self._np.zeros(1 << 14, self._np.int64)
@@ -109,7 +126,7 @@ class WordIds:
         if wide:
             plain += wide
             shown += b"\n".join(wide).decode("latin-1").translate(_BYTE_LEVEL).split("\n")
-        others, ends = [], [b""] * len(plain)
+        others, marked, ends = [], len(plain), []
         for word in compress(words, map(operator.not_, usual)):
             stem = word[:-1]
             if word[-1:] in self._marks and stem.isalpha() and stem.islower():
@@ -120,13 +137,13 @@ class WordIds:
                 others.append(word)
         rows = [" ".join(shown[k : k + ROW]) for k in range(0, len(shown), ROW)]
         found = self._encode_rows(rows, add_special_tokens=False)
-        ids = np.array([i for e in found for i in e.ids], np.uint32)
+        ids = np.concatenate([np.zeros(0, np.uint32), *[np.array(e.ids, np.uint32) for e in found]])
         upto = np.flatnonzero(self._closes[ids]) + 1  # a word's last piece says so
         sizes = np.diff(upto, prepend=0)
-        marked = np.array([k for k, m in enumerate(ends) if m], np.int64)
-        extra = [self._marks[m] for m in ends if m]
-        ids = np.insert(ids, np.repeat(upto[marked], [len(m) for m in extra]), [i for m in extra for i in m])
-        sizes[marked] += np.array([len(m) for m in extra], np.int64)
+        extra = [self._marks[m] for m in ends]
+        more = np.array([len(m) for m in extra], np.int64)
+        ids = np.insert(ids, np.repeat(upto[marked:], more), np.array([i for m in extra for i in m], np.uint32))
+        sizes[marked:] += more
         rest = [e.ids for e in self._encode([w.decode("utf-8", "replace") for w in others], add_special_tokens=False)]
         ids = np.concatenate([ids, np.array([i for own in rest for i in own], np.uint32)])
         return plain + others, ids, np.concatenate([sizes, np.array([len(own) for own in rest], np.int64)])
@@ -138,6 +155,7 @@ class WordIds:
         self._room("_starts", first + len(words))
         self._room("_sizes", first + len(words))
         self._index.update(zip(words, range(first, first + len(words))))
+        self._words += words
         self._flat[self._used : self._used + len(ids)] = ids
         own = slice(first, first + len(words))
         self._sizes[own] = sizes
@@ -148,7 +166,7 @@ class WordIds:
 
     def known(self) -> list[bytes]:
         """The words by number."""
-        return list(self._index)
+        return self._words
 
     def numbers(self, words: list[bytes]):
         """The number of each word, until words are forgotten."""
@@ -156,15 +174,16 @@ class WordIds:
         k = np.fromiter(map(self._index.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(k < 0).tolist()
         if missing:
-            fresh = {words[i] for i in missing}
+            unknown = [words[i] for i in missing]
+            fresh = set(unknown)
             if len(self._index) + len(fresh) > self._most and self._index:
                 if self._on_forget:
                     self._on_forget()
                 self._clear()
-                self._learn(sorted(set(words)))
+                self._learn(list(set(words)))
                 return np.fromiter(map(self._index.__getitem__, words), np.int64, len(words))
-            self._learn(sorted(fresh))
-            k[missing] = [self._index[words[i]] for i in missing]
+            self._learn(list(fresh))
+            k[missing] = np.fromiter(map(self._index.__getitem__, unknown), np.int64, len(unknown))
         return k
 
     def ids(self, numbers):
@@ -182,10 +201,10 @@ class WordIds:
     def texts(self, raws: list[bytes]):
         """Ids of each text as an array; texts are small enough to be held as words together."""
         np = self._np
-        split = [raw.split() for raw in raws]
-        ids, sizes = self.words([w for words in split for w in words])
+        words, counts = split_words(raws)
+        ids, sizes = self.words(words)
         upto = np.concatenate([[0], np.cumsum(sizes)])
-        ends = upto[np.cumsum([len(words) for words in split])]
+        ends = upto[np.cumsum(counts)]
         return np.split(ids, ends[:-1])
 
     def text(self, raw: bytes):
@@ -205,8 +224,6 @@ def worker_words(path: str, remembered: int = REMEMBERED) -> WordIds:
 
 def encoded(raws: list[bytes], encoder: WordIds):
     """Pairs of position and ids of every text, holding the words of a segment at a time."""
-    from covaria.llm.text import slices
-
     for begin, end in slices(raws, SEGMENT):
         if end - begin == 1:
             yield begin, encoder.text(raws[begin])
