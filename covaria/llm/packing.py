@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covaria.llm.text import lower_ascii, raw_texts
-from covaria.llm.tokens import encoded, worker_words
+from covaria.llm.tokens import REMEMBERED, encoded, worker_words
 from covaria.operators.durable import stored
 
 GROUP = 20_000
@@ -48,15 +48,19 @@ def pieces(
     with_ids: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 and, if asked for, ids (binary) of every piece."""
+    """doc_id, piece, start, length, ids_crc32 and, if asked for, ids (binary) of every piece.
+
+    A Python worker keeps the ids of ``remembered`` words: more memory, less work.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        encoder = worker_words(tokenizer)
+        encoder = worker_words(tokenizer, remembered)
         for batch in batches:
             rows, numbers, starts, lengths, sums, held = [], [], [], [], [], []
             for k, ids in encoded([_lowered(raw) for raw in raw_texts(batch.column("text"))], encoder):
@@ -172,7 +176,7 @@ def placed(
 
 def packed(docs: DataFrame, tokenizer: str, most_tokens: int = 4096, with_ids: bool = False, **options) -> DataFrame:
     """Every piece of every document and its place; ``options`` as for ``placed``."""
-    names = {k: options.pop(k) for k in ("id_col", "text_col", "end_id") if k in options}
+    names = {k: options.pop(k) for k in ("id_col", "text_col", "end_id", "remembered") if k in options}
     return placed(stored(pieces(docs, tokenizer, most_tokens, with_ids=with_ids, **names)), most_tokens, **options)
 
 
