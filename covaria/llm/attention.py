@@ -8,8 +8,12 @@ own, the others share the last. The class has the softmax
 where ``attention`` is masked self-attention over the window with learned queries, keys and
 values per id and a learned bias per distance, ``own`` and ``previous`` are vectors of the
 last two ids, and p comes from pair counts over the whole corpus, so that training starts
-from the pair model. Inside the last class, ids follow the pair counts; ids outside the
-vocabulary follow their own counts.
+from the pair model. Inside the last class, ids follow the pair counts. With ``Pairs`` both
+kinds of counts are by id, all ids apart; without, by number, where all ids outside the
+vocabulary are alike and follow their own counts.
+
+Training is local: every task of a round goes through its own windows from the same weights
+(``learn``), and the weights that tasks come to are averaged by their numbers of windows.
 
 Texts are cut into windows of ``WINDOW`` ids that overlap by half. Each id is scored once,
 in the second half of a window, with at least ``STRIDE`` ids of context where there are as
@@ -80,9 +84,62 @@ def numbered(id_counts, vocabulary: int = VOCABULARY):
     return number
 
 
+@dataclass(frozen=True)
+class Pairs:
+    """Pair counts by id; the number of ids stands for the start of a word.
+
+    ``logs`` (rows, classes) has log p(class | id), one row for all ids without counts, a row
+    of zeros for padding last; ``row`` says which row an id has. An id b
+    of the last class follows a as often as n(a, b) + ``ended[a] * begins[b]`` +
+    ``PRIOR * single[b]`` to ``total[a]``. ``codes`` (sorted, a * 2^32 + b) and ``times`` hold
+    n for the frequent pairs; ``complete`` says that these are all there are.
+    """
+
+    logs: object
+    row: object
+    single: object
+    begins: object
+    ended: object
+    total: object
+    codes: object
+    times: object
+    complete: bool
+
+    @staticmethod
+    def of(single, begins, ended, by_class, number, rest: int, codes, times, complete: bool) -> Pairs:
+        """From single counts, counts at the start and at the end of words, and counts by class."""
+        import numpy as np
+
+        single = (single + 0.1) / (single + 0.1).sum()
+        begins = begins / max(begins.sum(), 1)
+        group = np.minimum(number, rest)
+        share = lambda p: np.bincount(group, p, rest + 1)
+        table = by_class + ended[:, None] * share(begins) + PRIOR * share(single)
+        logs = np.log(table) - np.log(table.sum(axis=1, keepdims=True))
+        seen = (by_class.sum(axis=1) > 0) | (ended > 0)
+        some = np.append(np.flatnonzero(seen), np.flatnonzero(~seen)[:1])
+        row = np.where(seen, np.cumsum(seen) - 1, int(seen.sum()))
+        logs = np.concatenate([logs[some], np.zeros((1, rest + 1))]).astype(np.float32)
+        return Pairs(logs, np.append(row, len(logs) - 1).astype(np.int32), single, begins, ended, table[:, rest].copy(), codes, times, complete)
+
+    def found(self, before, ids):
+        """Count of each pair among the frequent ones, -1 if it is not there; what is added to it."""
+        import numpy as np
+
+        code = before.astype(np.int64) << 32 | ids
+        n = np.full(len(code), 0 if self.complete else -1, np.int64)
+        if len(self.codes):
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            n = np.where(self.codes[at] == code, self.times[at], n)
+        return code, n, self.ended[before] * self.begins[ids] + PRIOR * self.single[ids]
+
+
 class Model:
     """Tables and weights; ``start`` and ``pad`` are numbers after the vocabulary."""
 
+    #: Pair counts by id; without them, those by number count.
+    pairs: Pairs | None = None
+
     def __init__(self, stats: Statistics, seed: int = 5, classes: int = CLASSES):
         import numpy as np
 
@@ -109,8 +166,11 @@ class Model:
         self.hidden = np.zeros(size + 2, np.float32)
         self.hidden[self.pad] = -1e9
 
-    def forward(self, ids):
-        """For windows (n, WINDOW): class scores after each id of the second half, and steps."""
+    def forward(self, ids, before=None):
+        """For windows (n, WINDOW): class scores after each id of the second half, and steps.
+
+        ``before`` has the ids of the second halves where pair counts are by id.
+        """
         import numpy as np
 
         w, late = self.weights, ids[:, STRIDE:]
@@ -127,27 +187,28 @@ class Model:
         h += w["previous"].take(ids[:, STRIDE - 1 : -1], 0)
         np.tanh(h, out=h)
         z = h.reshape(-1, WIDTH) @ w["out"]
-        z += self.prior.take(late.ravel(), 0)
+        z += self.prior.take(late.ravel(), 0) if before is None else self.pairs.logs.take(self.pairs.row.take(before.ravel()), 0)
         return z, (q, k, v, s, share, h)
 
-    def log_probabilities(self, ids, following):
-        """Natural log of the probability of ``following`` (n, STRIDE), by number."""
+    def log_probabilities(self, ids, following, before=None):
+        """Natural log of the probability of ``following`` (n, STRIDE), by number; with ``before``, of its class."""
         import numpy as np
 
-        z, _ = self.forward(ids)
+        z, _ = self.forward(ids, before)
         late, target = ids[:, STRIDE:].ravel(), following.ravel()
         own = z.ravel().take(np.arange(0, z.size, z.shape[1]) + np.minimum(target, self.rest))
         np.exp(z, out=z)
-        return own - np.log(z @ np.ones(z.shape[1], np.float32)) + self.inside.ravel().take(
+        own -= np.log(z @ np.ones(z.shape[1], np.float32))
+        return own if before is not None else own + self.inside.ravel().take(
             np.minimum(late, self.start) * self.inside.shape[1] + target
         )
 
-    def gradients(self, ids, following):
+    def gradients(self, ids, following, before=None):
         """Mean loss of the classes, and its gradient for each weight."""
         import numpy as np
 
         w = self.weights
-        z, (q, k, v, s, share, h) = self.forward(ids)
+        z, (q, k, v, s, share, h) = self.forward(ids, before)
         s *= share
         use = (ids[:, STRIDE:] != self.pad) & (following >= 0)
         target = np.minimum(np.maximum(following.ravel(), 0), self.rest)
@@ -182,29 +243,29 @@ class Model:
             out[name] = g
         return loss, out
 
-    def train(self, windows, following, steps: int, batch: int = 128, rate: float = 0.01, seed: int = 11) -> float:
-        """Adam over random batches with a falling rate; returns the mean loss of the last tenth."""
+    def learn(self, batches, rate: float) -> int:
+        """Adam over ``batches`` of (windows, following, before); returns the number of windows."""
         import numpy as np
 
-        random = np.random.default_rng(seed)
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        order, at, last = random.permutation(len(windows)), 0, []
-        for step in range(1, steps + 1):
-            if at + batch > len(order):
-                order, at = random.permutation(len(windows)), 0
-            some = order[at : at + batch]
-            at += batch
-            loss, grads = self.gradients(windows[some], following[some])
-            now = rate * (1 - (step - 1) / steps) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        seen = 0
+        for step, (windows, following, before) in enumerate(batches, 1):
+            _, grads = self.gradients(windows, following, before)
+            now = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
             for name, g in grads.items():
                 first[name] += 0.1 * (g - first[name])
                 second[name] += 0.001 * (g * g - second[name])
                 self.weights[name] -= (now * first[name] / (np.sqrt(second[name]) + 1e-8)).astype(np.float32)
                 np.clip(self.weights[name], -BOUND, BOUND, out=self.weights[name])
-            if step > 0.9 * steps:
-                last.append(loss)
-        return float(np.mean(last)) if last else float("nan")
+            seen += len(windows)
+        return seen
+
+    def named(self):
+        """The number of each id, of the start and of padding."""
+        import numpy as np
+
+        return np.append(self.number, [self.start, self.pad])
 
     def score(self, texts) -> list[float]:
         """log10 probability of each text: ids in a row, the end included, each at least one long."""
@@ -217,14 +278,49 @@ class Model:
         import numpy as np
 
         windows, following = cut_flat(self.number[ids], sizes, self.start, self.pad)
-        own = np.concatenate(
-            [self.log_probabilities(windows[k : k + BATCH], following[k : k + BATCH]) for k in range(0, len(windows), BATCH)]
-        ).astype(np.float64)
+        outside = np.add.reduceat(self.within[ids], np.cumsum(sizes) - sizes)
+        return (self._summed(windows, following, sizes) + outside) / np.log(10)
+
+    def score_by_id(self, ids, sizes):
+        """Scores with pair counts by id, and the pairs whose counts are not at hand.
+
+        These are scored as if their count n was 0 and come as text, code, times and what is
+        added to n: log10(1 + n / added) is to be added to the score for each time.
+        """
+        import numpy as np
+
+        n_ids = len(self.number)
+        windows, following = cut_flat(ids, sizes, n_ids, n_ids + 1)
+        own = self._summed(self.named()[windows], self.number[following], sizes, windows[:, STRIDE:])
+        before = np.append(n_ids, ids[:-1])
+        before[np.cumsum(sizes)[:-1]] = n_ids
+        last = np.flatnonzero(self.number[ids] >= self.rest)
+        owner, before = np.repeat(np.arange(len(sizes)), sizes)[last], before[last]
+        code, n, added = self.pairs.found(before, ids[last])
+        inside = np.log((np.maximum(n, 0) + added) / self.pairs.total[before])
+        own += np.bincount(owner, inside, len(sizes))
+        absent = np.flatnonzero(n < 0)
+        order = absent[np.lexsort((code[absent], owner[absent]))]
+        new = np.ones(len(order), bool)
+        new[1:] = (owner[order][1:] != owner[order][:-1]) | (code[order][1:] != code[order][:-1])
+        first = order[new]
+        times = np.diff(np.append(np.flatnonzero(new), len(order)))
+        return own / np.log(10), (owner[first], code[first], times, added[first])
+
+    def _summed(self, windows, following, sizes, before=None):
+        """Per text the sum of the log probabilities of what follows in its windows."""
+        import numpy as np
+
+        own = np.concatenate([
+            self.log_probabilities(
+                windows[k : k + BATCH], following[k : k + BATCH], None if before is None else before[k : k + BATCH]
+            )
+            for k in range(0, len(windows), BATCH)
+        ]).astype(np.float64)
         blocks = -(-sizes // STRIDE) * STRIDE
         first = np.cumsum(blocks) - blocks
         own[np.arange(len(own)) - np.repeat(first, blocks) >= np.repeat(sizes, blocks)] = 0
-        outside = np.add.reduceat(self.within[ids], np.cumsum(sizes) - sizes)
-        return (np.add.reduceat(own, first) + outside) / np.log(10)
+        return np.add.reduceat(own, first)
 
 
 def cut(texts, start: int, pad: int):

@@ -1,19 +1,21 @@
 """LM scoring: base word counts and a causal self-attention model over subword ids.
 
-Two passes read the texts, ASCII letters lowered.
+Three passes read the texts, ASCII letters lowered.
 
 1. Counting, over all training documents: words and ends of text. Each task counts before the
    shuffle. Every distinct word is then cut into subword ids once, and pairs of neighbouring
    ids are counted as often as their words occur; what follows a word is the start of the
-   next or the end. Pair counts reach the driver only between the ``VOCABULARY`` numbers of
-   the model, at most a million. The attention model is trained on the driver from a bounded
-   sample: about ``TRAIN_DOCUMENTS`` training documents of at most ``LONGEST`` bytes, chosen
-   by a hash of their text. All counts cover the whole corpus.
-2. Scoring, over all documents: windows through the model (see ``attention``), and base
+   next or the end. Per id and class the counts go to the driver, a bounded number.
+2. Training, over all training documents, those of any length: their windows are written once
+   and read in ``ROUNDS`` rounds, each window in one of them. In a round every task goes
+   through its own windows from the same weights; sums of weights, a fixed size, are added up
+   by tasks and reach the driver. Small corpora are read up to ``TRAIN_PASSES`` times. The
+   result depends a little on how rows are dealt to tasks.
+3. Scoring, over all documents: windows through the model (see ``attention``), and base
    scores. The ``HEAD`` most frequent words (or slightly fewer) are sent to the tasks with
    their counts, a fixed number of short words; a document's other words, each rare by
    construction, leave the task as (row, word, times) and are joined with the counts by a
-   shuffle.
+   shuffle. So do pairs of ids, beyond the ``HEAD_PAIRS`` most frequent.
 
 Defined results: a null text counts as empty and has the end alone. Repeated rows get equal
 scores. Without training documents every count is zero. Other columns are not read. An empty
@@ -42,10 +44,15 @@ HEAD = 1 << 18
 LONGEST_HEAD = 32
 #: Words that a worker remembers, and words that it counts before it passes counts on.
 WORDS, COUNTED = 600_000, 500_000
-TRAIN_DOCUMENTS, LONGEST = 1_500, 100_000
+#: Pairs of ids whose counts are sent to the tasks.
+HEAD_PAIRS = 1 << 20
+#: Corpora with fewer steps than this are read again.
 TRAIN_STEPS = 3_000
-#: Times that training reads each window at most, and windows of one step.
-TRAIN_PASSES, TRAIN_BATCH = 4, 128
+#: Times that training reads each window at most, windows of one step, rounds of one reading.
+TRAIN_PASSES, TRAIN_BATCH, ROUNDS = 4, 128, 4
+RATE = 0.01
+#: Windows written in one row, and what marks that nothing follows.
+PIECE, NOTHING = 1 << 14, 65_535
 SEED = 13
 #: Bytes of text whose words a task holds at a time.
 SLICE = 1 << 20
@@ -188,24 +195,183 @@ def statistics(pairs: DataFrame, vocabulary: int) -> attention.Statistics:
     return attention.statistics(ids, [(r["a"], r["b"], r["n"]) for r in table], IDS, number)
 
 
-def fitted(
-    docs: DataFrame, n_docs: int, stats: attention.Statistics, tokenizer: str, steps: int, documents: int
-) -> attention.Model:
-    """The attention model, trained on a sample of ``docs`` (text)."""
+def by_id(pairs: DataFrame, number, rest: int, most: int) -> attention.Pairs:
+    """Pair counts of all ids; ``pairs`` has a, b, n once per pair, ``number`` the number of each id."""
     import numpy as np
 
+    def summed(rows: DataFrame, key: str, size: int):
+        table = rows.groupBy(key).agg(F.sum("n").alias("n")).toArrow()  # one row per id
+        out = np.zeros(size)
+        out[table["a" if key == "a" else "b"].to_numpy()] = table["n"].to_numpy()
+        return out
+
+    inner = pairs.where(f"b <> {WORD_END}")
+    classes = pairs.sparkSession.createDataFrame(
+        [(i, int(number[i])) for i in np.flatnonzero(number < rest).tolist()], "id int, class int"
+    )
+    named = inner.join(F.broadcast(classes), F.col("b") == F.col("id"), "left").withColumn("c", F.coalesce("class", F.lit(rest)))
+    cells = named.groupBy("a", "c").agg(F.sum("n").alias("n")).toArrow()  # at most ids x classes, whatever the corpus
+    by_class = np.zeros((IDS + 1, rest + 1))
+    by_class[cells["a"].to_numpy(), cells["c"].to_numpy()] = cells["n"].to_numpy()
+    last = named.where(f"c = {rest}").select("a", "b", "n")
+    frequent = _first(last, 1.0 / F.col("n"), most)
+    table = frequent.toArrow()
+    codes = table["a"].to_numpy().astype(np.int64) << 32 | table["b"].to_numpy()
+    order = np.argsort(codes)
+    return attention.Pairs.of(
+        summed(inner, "b", IDS), summed(inner.where(f"a = {IDS}"), "b", IDS), summed(pairs.where(f"b = {WORD_END}"), "a", IDS + 1),
+        by_class, number, rest, codes[order], table["n"].to_numpy()[order], frequent is last,
+    )
+
+
+class _TextIds:
+    """Ids of a slice's texts in a row, each text's end included, put together part by part."""
+
+    def __init__(self, encoder: WordIds, texts: int):
+        import numpy as np
+
+        self._encoder, self._texts, self._ids, self._sizes = encoder, texts, [], np.zeros(texts, np.int64)
+
+    def add(self, numbers, counts) -> None:
+        import numpy as np
+
+        own, each = self._encoder.ids(numbers)
+        stops = np.concatenate([[0], np.cumsum(each)])[np.cumsum(counts)]
+        self._sizes += np.diff(stops, prepend=0)
+        self._ids.append(np.insert(own.astype(np.int64), stops, END) if self._texts > 1 else own)
+
+    def whole(self):
+        """The ids, and how many each text has."""
+        import numpy as np
+
+        ids = [*self._ids, [END]] if self._texts == 1 else self._ids
+        return np.concatenate(ids).astype(np.int64), self._sizes + 1
+
+
+def windows(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """All windows of all texts: n, and in ``w0``, ``w1``, ... those of each round as bytes.
+
+    A window is its ids and what follows in its second half, 16 bits each.
+    """
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        encoder = worker_words(tokenizer, WORDS)
+        random = np.random.default_rng(SEED)
+        for batch in batches:
+            raws = raw_texts(batch.column("text"))
+            for begin, end, parts in _token_slices(raws, encoder):
+                found = _TextIds(encoder, end - begin)
+                for numbers, counts in parts:
+                    found.add(numbers, counts)
+                ids, sizes = found.whole()
+                some, following = attention.cut_flat(ids, sizes, IDS, IDS + 1)
+                blocks = -(-sizes // attention.STRIDE) * attention.STRIDE
+                inside = np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                following[(inside >= np.repeat(sizes, blocks)).reshape(following.shape)] = NOTHING
+                rows = np.concatenate([some, following], axis=1).astype(np.uint16)
+                rows = rows[random.permutation(len(rows))]
+                for at in range(0, len(rows), PIECE):
+                    piece = rows[at : at + PIECE]
+                    # Few windows are dealt to random rounds, so that the first gets no more than others.
+                    turn = int(random.integers(ROUNDS))
+                    yield pa.RecordBatch.from_pydict(
+                        {"n": pa.array([len(piece)])}
+                        | {f"w{k}": pa.array([piece[(k + turn) % ROUNDS :: ROUNDS].tobytes()], pa.binary()) for k in range(ROUNDS)}
+                    )
+
+    columns = ", ".join(f"w{k} binary" for k in range(ROUNDS))
+    return docs.select("text").mapInArrow(run, f"n bigint, {columns}")
+
+
+def _batches(pieces, model: attention.Model, size: int):
+    """Batches for ``model`` from windows as bytes; what is left of a piece goes with the next."""
+    import numpy as np
+
+    names, width = model.named(), attention.WINDOW + attention.STRIDE
+    rest = np.zeros((0, width), np.uint16)
+
+    def batch(rows):
+        ids, after = rows[:, : attention.WINDOW].astype(np.int64), rows[:, attention.WINDOW :].astype(np.int64)
+        following = np.where(after == NOTHING, -1, model.number[np.minimum(after, IDS - 1)])
+        return names[ids], following, ids[:, attention.STRIDE :]
+
+    for piece in pieces:
+        rest = np.concatenate([rest, np.frombuffer(piece, np.uint16).reshape(-1, width)])
+        whole = len(rest) - len(rest) % size
+        for at in range(0, whole, size):
+            yield batch(rest[at : at + size])
+        rest = rest[whole:]
+    if len(rest):
+        yield batch(rest)
+
+
+def train(model: attention.Model, table: DataFrame, steps: int) -> None:
+    """Train the weights over all of ``windows``."""
+    import numpy as np
+
+    n, parts = table.agg(F.sum("n")).first()[0] or 0, table.rdd.getNumPartitions()
+    if not n:
+        return
+    context = table.sparkSession.sparkContext
+    # As bytes pickled with their code, so that workers need no copy of this package.
+    base = context.broadcast(cloudpickle.dumps(model))
+    passes = min(max(1, steps * TRAIN_BATCH // n), TRAIN_PASSES)
+    groups = max(1, round(parts**0.5))
+
+    def task(column, weights, rate):
+        def run(batches):
+            import pyarrow as pa
+            from pyspark import TaskContext
+
+            own = pickle.loads(base.value)
+            own.weights = pickle.loads(weights.value)
+            pieces = (p.as_buffer() for b in batches for p in b.column(column))
+            seen = own.learn(_batches(pieces, own, TRAIN_BATCH), rate)
+            total = b"".join((w.astype(np.float64) * seen).tobytes() for w in own.weights.values())
+            if seen:
+                yield pa.RecordBatch.from_pydict(
+                    {"part": pa.array([TaskContext.get().partitionId() % groups]), "n": pa.array([seen]), "total": pa.array([total])}
+                )
+
+        return run
+
+    def added(batches):
+        import pyarrow as pa
+
+        seen, total = 0, 0
+        for b in batches:
+            for n, t in zip(b.column("n").to_pylist(), b.column("total").to_pylist()):
+                seen, total = seen + n, total + np.frombuffer(t)
+        if seen:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([seen]), "total": pa.array([total.tobytes()])})
+
+    for turn in range(passes * ROUNDS):
+        column = f"w{turn % ROUNDS}"
+        weights = context.broadcast(pickle.dumps(model.weights))
+        run = task(column, weights, RATE * (1 - turn / (passes * ROUNDS)))
+        sums = table.select(column).mapInArrow(run, "part bigint, n bigint, total binary")
+        sums = sums.repartition(groups, "part").select("n", "total").mapInArrow(added, "n bigint, total binary")
+        rows = sums.collect()  # about as many as the root of the number of tasks
+        seen = sum(r["n"] for r in rows)
+        flat = sum((np.frombuffer(r["total"]) for r in rows), np.zeros(1)) / max(seen, 1)
+        at = 0
+        for name, w in model.weights.items() if seen else ():
+            model.weights[name] = flat[at : at + w.size].reshape(w.shape).astype(np.float32)
+            at += w.size
+        weights.destroy()
+    base.destroy()
+
+
+def fitted(docs: DataFrame, pairs: DataFrame, tokenizer: str, vocabulary: int, steps: int, head_pairs: int) -> attention.Model:
+    """The attention model of ``docs`` (text), trained on all their windows."""
+    stats = statistics(pairs, vocabulary)
     model = attention.Model(stats)
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "text"), 12) / float(1 << 52)
-    some = docs.where((F.octet_length("text") <= LONGEST) & (place < documents / max(n_docs, 1)))
-    raws = sorted(lower_ascii(r["text"].encode()) for r in some.collect())  # a bounded number of bounded texts
-    if raws:
-        encoder = WordIds(tokenizer)
-        texts = [np.append(encoder.text(raw), END).astype(np.int64) for raw in raws]
-        windows, following, sizes = attention.cut([stats.number[t] for t in texts], model.start, model.pad)
-        used = np.concatenate([np.arange(-(-n // attention.STRIDE) * attention.STRIDE) < n for n in sizes])
-        following = np.where(used.reshape(following.shape), following, -1)
-        steps = min(steps, -(-TRAIN_PASSES * len(windows) // TRAIN_BATCH))
-        model.train(windows, following, steps, TRAIN_BATCH)
+    model.pairs = by_id(pairs, stats.number, model.rest, head_pairs)
+    model.prior = model.inside = None  # counts by number are of no use then
+    train(model, stored(windows(docs, tokenizer)), steps)
     return model
 
 
@@ -219,6 +385,7 @@ def _scores(docs: DataFrame, tokenizer: str, model: attention.Model, head: dict[
     # As bytes pickled with their code, so that workers need no copy of this package.
     sent = context.broadcast(cloudpickle.dumps((model, head)))
     tail = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+    linked = pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int64()), ("added", pa.float64())]))
     kept = docs.select(*also, "text").columns[:-1]
 
     def run(batches):
@@ -260,23 +427,21 @@ def _scores(docs: DataFrame, tokenizer: str, model: attention.Model, head: dict[
             raws = raw_texts(batch.column("text"))
             done = [[], [], [], []]
             words, times, sizes = [], [], []
+            absent, links = [], []
             for begin, end, parts in _token_slices(raws, encoder):
                 into = [np.zeros(end - begin, np.int64), np.zeros(end - begin, np.int64), np.zeros(end - begin)]
-                ids, lengths = [], np.zeros(end - begin, np.int64)
                 rest = np.zeros(end - begin, np.int64)
+                found = _TextIds(encoder, end - begin)
                 for numbers, counts in parts:
-                    own, each = encoder.ids(numbers)
-                    stops = np.concatenate([[0], np.cumsum(each)])[np.cumsum(counts)]
-                    lengths += np.diff(stops, prepend=0)
-                    ids.append(np.insert(own.astype(np.int64), stops, END) if end - begin > 1 else own)
+                    found.add(numbers, counts)
                     owner, names, n = figures(numbers, counts, into)
                     words += names
                     times.append(n)
                     rest += np.bincount(owner, minlength=end - begin)
-                if end - begin == 1:
-                    ids.append([END])
                 sizes.append(rest)
-                scores = model.score_flat(np.concatenate(ids).astype(np.int64), lengths + 1)
+                scores, (owner, *pairs) = model.score_by_id(*found.whole())
+                absent.append(pairs)
+                links.append(np.bincount(owner, minlength=end - begin))
                 for column, values in zip(done, [*into, scores]):
                     column.append(values)
             row += batch.num_rows
@@ -288,6 +453,18 @@ def _scores(docs: DataFrame, tokenizer: str, model: attention.Model, head: dict[
                     fields=list(tail.value_type),
                 ),
             )
+            stops = np.cumsum(np.concatenate([[0], *links])).astype(np.int32)
+            codes, pair_times, added = (
+                np.concatenate([np.zeros(0, kind), *c])
+                for kind, c in zip((np.int64, np.int64, float), zip(*absent) if absent else ((), (), ()))
+            )
+            pair_lists = pa.ListArray.from_arrays(
+                pa.array(stops),
+                pa.StructArray.from_arrays(
+                    [pa.array(codes), pa.array(pair_times), pa.array(added)],
+                    fields=list(linked.value_type),
+                ),
+            )
             n_words, known, logs, scores = (np.concatenate([np.zeros(0), *c]) for c in done)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept]
@@ -298,14 +475,16 @@ def _scores(docs: DataFrame, tokenizer: str, model: attention.Model, head: dict[
                     pa.array(logs),
                     pa.array(scores),
                     lists,
+                    pair_lists,
                 ],
-                names=[*kept, "row", "n_words", "n_head", "head_log", "score", "tail"],
+                names=[*kept, "row", "n_words", "n_head", "head_log", "score", "tail", "links"],
             )
 
     rows = docs.select(*also, "text")
     types = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes[:-1])
     return rows.mapInArrow(
-        run, f"{types}, row bigint, n_words bigint, n_head bigint, head_log double, score double, tail array<struct<word:binary,n:bigint>>"
+        run, f"{types}, row bigint, n_words bigint, n_head bigint, head_log double, score double, tail array<struct<word:binary,n:bigint>>, "
+        "links array<struct<code:bigint,n:bigint,added:double>>",
     )
 
 
@@ -317,8 +496,8 @@ def scored(
     text_col: str = "text",
     vocabulary: int = attention.VOCABULARY,
     steps: int = TRAIN_STEPS,
-    documents: int = TRAIN_DOCUMENTS,
     head_words: int = HEAD,
+    head_pairs: int = HEAD_PAIRS,
 ) -> DataFrame:
     """One row per document: doc_id, trained, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -332,7 +511,7 @@ def scored(
     ends = counts.where(F.col("word") == F.lit(END_WORD)).first()
     end_count = ends["c"] if ends else 0
     pairs = stored(paired(counts, tokenizer).groupBy("a", "b").agg(F.sum("n").alias("n")))
-    model = fitted(learned, end_count, statistics(pairs, vocabulary), tokenizer, steps, documents)
+    model = fitted(learned, pairs, tokenizer, vocabulary, steps, head_pairs)
     short = counts.where(F.octet_length("word") <= LONGEST_HEAD)
     frequent = _first(short, 1.0 / F.col("c"), head_words)
     known = frequent.select("word", "c").toArrow()
@@ -347,15 +526,20 @@ def scored(
             F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("n_tail"),
         )
     )
+    held = pairs.where(f"b <> {WORD_END}").select((F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("code"), F.col("n").alias("held"))
+    more = (
+        found.select("row", F.explode("links").alias("t")).select("row", "t.*").join(held, "code")
+        .groupBy("row").agg(F.sum(F.col("n") * F.log10(1 + F.col("held") / F.col("added"))).alias("more"))
+    )
     size = F.log10(F.lit(float(total)) + 0.5 * (distinct + 1))
     n_tokens = F.col("n_words") + 1
     end_log = F.log10(F.lit(end_count + 0.5))
-    return found.drop("tail").join(rest, "row", "left").select(
+    return found.drop("tail", "links").join(rest, "row", "left").join(more, "row", "left").select(
         "doc_id",
         "trained",
         n_tokens.alias("n_tokens"),
         (F.col("n_head") + F.coalesce("n_tail", F.lit(0)) + int(end_count > 0)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("head_log") + F.coalesce("tail_log", F.lit(0.0)) + end_log - n_tokens * size).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
     )

@@ -128,3 +128,63 @@ def test_pair_counts_against_brute_force(spark):
             if ids:
                 wanted[a, b] += n
     assert found == wanted
+
+
+def _rare_pairs(spark):
+    """Texts of rare words, each of several ids, and one training text longer than 100,000 bytes."""
+    rng = np.random.default_rng(4)
+    stems = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(60)]
+    texts = [" ".join(rng.choice(stems, 40)) for _ in range(40)] + ["lone zyxwvut " * 10_000]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+
+
+def test_training_reads_every_window_of_every_document(spark):
+    docs = _rare_pairs(spark)
+    encoder, wanted = WordIds(tokenizer_file()), Counter()
+    for r in docs.collect():
+        ids = np.append(encoder.text(r["text"].encode()), lm.END).astype(np.int64)
+        some, after, _ = attention.cut([ids], lm.IDS, lm.IDS + 1)
+        used = (np.arange(after.size) < len(ids)).reshape(after.shape)
+        wanted.update(np.concatenate([some, np.where(used, after, lm.NOTHING)], axis=1).astype(np.uint16)[k].tobytes() for k in range(len(some)))
+    found, width = Counter(), 2 * (attention.WINDOW + attention.STRIDE)
+    for r in lm.windows(docs, tokenizer_file()).collect():
+        for k in range(lm.ROUNDS):
+            found.update(r[f"w{k}"][i : i + width] for i in range(0, len(r[f"w{k}"]), width))
+    assert found == wanted
+
+
+def test_training_lowers_the_loss_and_pairs_of_all_ids_count(spark):
+    docs = _rare_pairs(spark)
+    score = lambda **given: {
+        r["doc_id"]: r["score"] for r in lm.scored(docs, F.lit(True), tokenizer_file(), vocabulary=8, **given).collect()
+    }
+    near, far = score(head_pairs=1 << 20, steps=1), score(head_pairs=0, steps=1)
+    # Counts sent to the tasks and counts joined by a shuffle give the same.
+    assert all(abs(near[k] - far[k]) < 0.02 * abs(near[k]) for k in near)
+    # Ids outside the vocabulary follow their predecessors: inside a known word little is open.
+    encoder = WordIds(tokenizer_file())
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    words = {k: len(t.split()) for k, t in texts.items()}
+    pieces = {k: len(encoder.text(t.encode())) for k, t in texts.items()}
+    assert sum(pieces[k] for k in range(40)) > 2 * sum(words[k] for k in range(40))
+    assert all(near[k] > -4.5 * words[k] for k in range(40)), [near[k] / words[k] for k in range(40)]
+
+
+def test_probabilities_with_pairs_by_id_add_up_to_one():
+    model, rng = _small_model(3)
+    by_class = rng.integers(0, 9, (25, 6)).astype(float)
+    codes, times, left = [], [], by_class[:, 5].copy()
+    last = np.flatnonzero(model.number >= model.rest)
+    for a in range(25):
+        codes.append(a << 32 | int(last[a % len(last)]))
+        times.append(int(left[a]))
+    held = attention.Pairs.of(
+        rng.integers(0, 9, 24).astype(float), rng.integers(0, 9, 24).astype(float), np.append(rng.integers(0, 3, 24), 0).astype(float),
+        by_class, model.number, model.rest, np.array(codes), np.array(times), True,
+    )
+    model.pairs = held
+    for n in (0, 1, 5, 40):
+        before = rng.integers(0, 24, n)
+        base = model.score_by_id(before, np.array([n]))[0][0] if n else 0.0
+        total = sum(10 ** (model.score_by_id(np.append(before, x), np.array([n + 1]))[0][0] - base) for x in range(24))
+        assert abs(total - 1) < 1e-4
