@@ -1,7 +1,9 @@
 r"""Secret scans by patterns and a battery of randomness tests, in built-in functions only.
 
 Patterns find assignments, access keys and hexadecimal strings (``PATTERNS``). Beyond them,
-every run of 20 or more key characters with a letter and a digit is a candidate. Its
+every run of 20 or more key characters with a capital, or with a small letter and a digit, is
+a candidate (of random base36 strings 0.2 % have small letters alone, as words do), also
+behind an equals sign; of a run that overlaps a pattern's span, each part of that length outside it is. Its
 encoding is inferred from its characters (hex, base32, base36, base62, base64), which gives
 each character a value below the alphabet's size k. Against the hypothesis that the values
 are independent and uniform, three tests are made:
@@ -14,7 +16,7 @@ are independent and uniform, three tests are made:
 Fisher's method combines the p-values. Over all candidates of the corpus in a class of
 lengths, Benjamini-Hochberg decides which are structured text and not random; the classes
 have levels of their own, larger for short strings, where tests have little power. What is
-not rejected is reported as ``random`` unless it overlaps a pattern's span. The procedure
+not rejected is reported as ``random``. The procedure
 needs the order of p-values only, so it counts them in bins of 0.01 in -log10(p): a fixed
 number of rows whatever the data, with thresholds on the cautious side of a bin.
 
@@ -38,7 +40,8 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "random")
 LEAST_ASSIGNED = 12
-KEY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}"
+LEAST_KEY = 20
+KEY = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
 # Pattern, alphabet, size; the first that matches is the encoding.
 ENCODINGS = (
     ("^[0-9a-f]+$", "0123456789abcdef"),
@@ -199,6 +202,30 @@ def _length_class(n: Column) -> Column:
     return sum((n >= least).cast("int") for least, _ in LEVELS) - 1
 
 
+def _outside(m: Column, base: Column) -> Column:
+    """start, end and text of the parts of a match that no span of ``base`` covers."""
+    hits = F.filter(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
+    part = lambda start, end: F.array(F.struct(start.alias("start"), end.alias("end")))
+    start = F.struct(m["start"].alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+    parts = F.aggregate(
+        hits,
+        start,
+        lambda acc, b: F.struct(
+            F.greatest(acc["at"], b["end"]).alias("at"),
+            F.when(b["start"] > acc["at"], F.concat(acc["out"], part(acc["at"], b["start"]))).otherwise(acc["out"]).alias("out"),
+        ),
+        lambda acc: F.when(m["end"] > acc["at"], F.concat(acc["out"], part(acc["at"], m["end"]))).otherwise(acc["out"]),
+    )
+    return F.transform(
+        parts,
+        lambda p: F.struct(
+            p["start"].alias("start"),
+            p["end"].alias("end"),
+            F.substring(m["hit"], p["start"] - m["start"] + 1, p["end"] - p["start"]).alias("hit"),
+        ),
+    )
+
+
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, base (spans of patterns) and candidates (start, end, length class, bin)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -207,9 +234,7 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         _matches(F.col("text"), ASSIGN),
         lambda m: F.length(F.regexp_extract(m["hit"], ASSIGN, 2)) >= LEAST_ASSIGNED,
     )
-    keys = F.filter(
-        _matches(F.col("text"), KEY), lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]")
-    )
+    keys = _matches(F.col("text"), KEY)
     rows = rows.select(
         "doc_id",
         F.array_sort(F.concat(
@@ -217,9 +242,8 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         )).alias("base"),
         keys.alias("keys"),
     )
-    free = F.filter(
-        "keys", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    )
+    parts = F.flatten(F.transform("keys", lambda m: _outside(m, F.col("base"))))
+    free = F.filter(parts, lambda m: (m["end"] - m["start"] >= LEAST_KEY) & m["hit"].rlike("[A-Za-z]") & m["hit"].rlike("[0-9A-Z]"))
     scored = F.transform(
         free,
         lambda m: F.struct(

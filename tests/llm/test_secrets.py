@@ -84,5 +84,19 @@ def test_random_keys_are_added_and_identifiers_are_not(spark):
     assert not any("random" in rows[i] for i in range(20, len(rows)))
 
 
+def test_keys_behind_equals_signs_without_digits_and_beside_patterns(spark):
+    r = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(r.choices(letters + "0123456789", k=46)) for _ in range(20)]
+    plain = ["".join(r.choices(letters, k=46)) for _ in range(20)]
+    rows = [f"client_key={k}" for k in keys] + [f"see {k} there" for k in plain] + [f"{k}/AKIA{'Q' * 16}-" for k in plain]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {x["doc_id"]: x["w"] for x in secrets.scanned(docs).select("doc_id", secrets.written(F.col("spans")).alias("w")).collect()}
+    assert sum(got[i] == "random:11:57" for i in range(20)) >= 17
+    # Strings without a digit use 52 of 62 characters, so more of them look structured.
+    assert sum(got[i] == "random:4:50" for i in range(20, 40)) >= 12
+    assert sum(got[i] == "random:0:47,access:47:67" for i in range(40, 60)) >= 12
+
+
 def test_empty_table(spark):
     assert secrets.scanned(spark.createDataFrame([], "doc_id long, text string")).count() == 0
