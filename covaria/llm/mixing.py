@@ -9,9 +9,11 @@ The rest of its target, less than s words, is a fraction of one more repetition:
 in the order of a seeded hash, until the rest is reached. The order is cut by a histogram of
 the hash with about sqrt(n) / 8 classes for n documents: classes below the cut are taken
 entirely, above it not at all. Only the documents of the class at the cut, some 8 sqrt(n),
-are put in order in one task. They are taken in order while the rest exceeds the next
-``FITTED`` documents together; of those a set is chosen whose sum comes nearest to what is
-left. So a source misses its target by a few words, and no task holds a source.
+are put in order in one task. They are taken in order, those longer than what is left passed
+over, while the rest exceeds the next ``FITTED`` documents together; of those a set is chosen
+whose sum comes nearest to what is left, and so on with all that are not taken. So a source
+misses its target by less than its shortest document at the cut that is not taken, and no
+task holds a source.
 
 Defined results: a null text has size 0; documents of size 0 take nothing. A null source is a
 source, last in order. Identical rows (id, source, text) share one decision. Sources with no
@@ -115,19 +117,36 @@ def nearest_sum(sizes: list[int], rest: int) -> list[bool]:
     return taken
 
 
+def filled(sizes, rest: int):
+    """Which of the sizes, in order, to take until their sum is ``rest`` or no other fits.
+
+    Sizes above what is left are passed over. The others are taken in order while the rest
+    exceeds the next ``FITTED`` of them together; else of these the set with the nearest sum
+    is, and the walk goes on with all that are not taken.
+    """
+    import numpy as np
+
+    taken = np.zeros(len(sizes), bool)
+    while len(fit := np.flatnonzero(~taken & (sizes > 0) & (sizes <= rest))):
+        upto = np.cumsum(sizes[fit])
+        ahead = upto[np.minimum(np.arange(len(fit)) + FITTED, len(fit)) - 1]
+        some = fit[: np.searchsorted(ahead, rest)]  # then these fit
+        if not len(some):
+            window = fit[:FITTED]
+            some = window[nearest_sum(sizes[window].tolist(), rest)]
+            if not len(some):  # sums are rounded
+                some = window[:1]
+        taken[some] = True
+        rest -= int(sizes[some].sum())
+    return taken
+
+
 def _chosen_at_the_cut(group):
     """Documents of one source's class at the cut that are taken once more."""
     import pandas as pd
 
     group = group.sort_values("place", kind="stable")
-    rest, sizes = int(group["rest"].iloc[0]), group["size"].tolist()
-    taken, at, ahead = [False] * len(sizes), 0, sum(sizes[:FITTED])
-    while rest > ahead and at < len(sizes):  # then this one fits
-        taken[at] = True
-        rest -= sizes[at]
-        ahead += (sizes[at + FITTED] if at + FITTED < len(sizes) else 0) - sizes[at]
-        at += 1
-    taken[at : at + FITTED] = nearest_sum(sizes[at : at + FITTED], rest)
+    taken = filled(group["size"].to_numpy(), int(group["rest"].iloc[0]))
     return pd.DataFrame({"source": group["source"], "place": group["place"]})[taken]
 
 

@@ -90,3 +90,20 @@ def test_nearest_sum_against_all_subsets(monkeypatch):
     sizes = [r.randrange(1, 4000) for _ in range(30)]
     total = sum(x for x, t in zip(sizes, mixing.nearest_sum(sizes, 30_000)) if t)
     assert 29_500 <= total <= 30_000
+
+
+def test_a_very_long_document_at_the_cut_does_not_end_the_walk():
+    import numpy as np
+
+    sizes = np.array([300] * 400 + [200_000] + [300] * 400)
+    for rest in (200_000, 199_999, 150_000, 0):
+        taken = mixing.filled(sizes, rest)
+        assert 0 <= rest - sizes[taken].sum() < 300
+    rng = np.random.default_rng(2)
+    for _ in range(100):
+        sizes = rng.integers(5, 600, 333)
+        sizes[rng.choice(333, 2, False)] = 20_000
+        rest = int(rng.integers(1, sizes.sum()))
+        taken = mixing.filled(sizes, rest)
+        left = rest - sizes[taken].sum()
+        assert left >= 0 and (taken.all() or left < sizes[~taken].min())
