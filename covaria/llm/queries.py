@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covaria.llm import exact, language, licenses, lm, mixing, packing, paragraphs, quality, secrets, simhash
+from covaria.llm import (
+    exact, language, licenses, lm, mixing, negatives, packing, paragraphs, quality, secrets, simhash, spelling, topk, vectors,
+)
 from covaria.llm.text import documents, id_remainder
 
 
@@ -86,7 +88,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(documents(spark, sf_dir), shortest=5, least=3, ratio=2)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined(vectors.embeddings(spark, sf_dir), every=100, shift_every=7, positives=5, negatives=10)
+
+
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.searched(vectors.embeddings(spark, sf_dir), every=50, k=5)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scans, op2_simhash_near_dedup, op3_best_fit_packing, op4_exact_dedup, op5_source_mixing, op6_language_id,
-    op7_substring_dedup, op8_license_scans, op9_lm_scoring, op10_quality_rules,
+    op7_substring_dedup, op8_license_scans, op9_lm_scoring, op10_quality_rules, op11_spelling_variants,
+    op12_hard_negatives, op13_exact_topk,
 )}

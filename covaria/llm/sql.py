@@ -83,4 +83,50 @@ FROM documents LEFT JOIN scored USING (doc_id)
 GROUP BY doc_id
 """
 
-ORACLES = {"op4_exact_dedup": OP4, "op8_license_scans": OP8, "op10_quality_rules": OP10}
+_VECTORS = """
+  SELECT CAST(vec_id AS BIGINT) AS vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+_DOT = "list_sum(list_transform(range(1, least(len({a}), len({b})) + 1), lambda i: {a}[i] * {b}[i]))"
+
+OP12 = f"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, v
+  FROM ({_VECTORS}) WHERE label IS NOT NULL),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label,
+         CAST(coalesce({_DOT.format(a="a.v", b="r.v")}, 0) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+   AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank,
+       negative_id, positive_score, negative_score
+FROM negatives
+QUALIFY rank <= 10
+"""
+
+OP13 = f"""
+WITH rows AS ({_VECTORS}),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(coalesce({_DOT.format(a="q.v", b="c.v")}, 0) AS BIGINT) AS score
+  FROM rows q JOIN rows c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored
+QUALIFY rank <= 5
+"""
+
+ORACLES = {
+    "op4_exact_dedup": OP4, "op8_license_scans": OP8, "op10_quality_rules": OP10,
+    "op12_hard_negatives": OP12, "op13_exact_topk": OP13,
+}

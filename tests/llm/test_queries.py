@@ -14,7 +14,8 @@ TYPES = {"string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "B
 def test_query(spark, sf_dir, name):
     df = llm.queries()[name](spark, sf_dir)
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for name_ in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {name_} AS SELECT * FROM '{sf_dir}/{name_}.parquet'")
     result = connection.execute(ORACLES[name])
     theirs = _comparable([d[0] for d in result.description], result.fetchall())
     types = {d[0]: str(d[1]) for d in result.description}
