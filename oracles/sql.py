@@ -598,6 +598,9 @@ UNION ALL SELECT 2, {r("1 - abs(c)")}, {r("(1 - abs(c)) / 2 * 100")}, printf('%.
 SELECT n_rows, n_classes::INTEGER AS n_classes, {r("silhouette")} AS silhouette FROM sil""",
         "silhouette_orders": f"""WITH pts AS (SELECT o_orderkey, o_orderstatus, o_totalprice / 1000 AS x, o_custkey::DOUBLE AS y FROM orders),
 {silhouette_of("pts", "o_orderkey", "x", "y", "o_orderstatus")}
+SELECT n_rows, n_classes::INTEGER AS n_classes, {r("silhouette")} AS silhouette FROM sil""",
+        "silhouette_adaptive_orders": f"""WITH pts AS (SELECT o_orderkey, o_orderstatus, o_totalprice / 1000 AS x, o_custkey::DOUBLE AS y FROM orders),
+{silhouette_of("pts", "o_orderkey", "x", "y", "o_orderstatus")}
 SELECT n_rows, n_classes::INTEGER AS n_classes, {r("silhouette")} AS silhouette FROM sil""",
         "fisher_ratio": f"""WITH {banded()}, {fisher_of("scored", "t1", "t2", "band")}
 SELECT {r("between_", 5)} AS "between", {r("within", 5)} AS within, {r("CASE WHEN within > 1e-6 THEN between_ / within END", 5)} AS fisher_ratio FROM fisher""",
