@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from covaria.functions import join_names, split_names
@@ -38,6 +38,26 @@ def replay_forward(history: DataFrame, total_features: int) -> DataFrame:
     return upto.select("step", F.posexplode("feature_added").alias("pos", "feature"))
 
 
+def replay_forward_every(history: DataFrame, run: str | None = None) -> DataFrame:
+    """``[run,] step, total_features, features``: the set at every size it reached, in order of arrival.
+
+    One row per run and size, from the first step that reached it. The set is a running frame
+    over the steps' arrays, flattened; a history holds a step per feature at most, so a frame
+    is bounded by the number of features. Without ``run`` the history is one run.
+    """
+    keys = [] if run is None else [F.col(run)]
+    running = Window.partitionBy(*keys).orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sets = history.select(
+        *keys, "step", "total_features", F.flatten(F.collect_list("feature_added").over(running)).alias("features")
+    )
+    first = Window.partitionBy(*keys, "total_features").orderBy("step")
+    return (
+        sets.withColumn("r", F.row_number().over(first))
+        .where(F.col("r") == 1)
+        .select(*keys, "step", "total_features", join_names(F.col("features")).alias("features"))
+    )
+
+
 def replay_backward(history: DataFrame, features: DataFrame, total_features: int) -> DataFrame:
     """``ord, feature``: what is left of ``features`` once the set is this small.
 

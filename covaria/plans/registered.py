@@ -445,6 +445,11 @@ def replay_forward(spark, sf_dir):
     return H.replay_forward(_forward(spark, sf_dir)[2], REPLAY_SIZE)
 
 
+def replay_forward_every(spark, sf_dir):
+    """The forward set at every size it reached, for a size slider."""
+    return H.replay_forward_every(_forward(spark, sf_dir)[2])
+
+
 def replay_backward(spark, sf_dir):
     table, _, history = _backward(spark, sf_dir)
     return H.replay_backward(history, H.feature_list(spark, table.features), REPLAY_SIZE)
@@ -550,6 +555,7 @@ def registered() -> dict[str, Query]:
         "forward_selection": forward_selection_query,
         "backward_elimination": backward_elimination_query,
         "replay_forward": replay_forward,
+        "replay_forward_every": replay_forward_every,
         "replay_backward": replay_backward,
         "final_features": final_features,
         "scores_at_step": scores_at_step,

@@ -617,6 +617,10 @@ SELECT step, {ACCURACY} AS accuracy, removed AS feature_removed, bit_count(mask)
         "replay_forward": f"""{SELECTION}, upto AS (SELECT step, string_split(added, ',') AS f FROM fwd
   WHERE step <= (SELECT min(step) FROM fwd WHERE bit_count(mask) = 3))
 SELECT step, unnest(range(len(f)))::INTEGER AS pos, unnest(f) AS feature FROM upto""",
+        "replay_forward_every": f"""{SELECTION}, every_size AS (SELECT step, bit_count(mask)::INTEGER AS total_features,
+  array_to_string(flatten(list(string_split(added, ',')) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), ',') AS features
+  FROM fwd)
+SELECT step, total_features, features FROM every_size QUALIFY row_number() OVER (PARTITION BY total_features ORDER BY step) = 1""",
         "replay_backward": f"{SELECTION} SELECT i::INTEGER AS ord, name AS feature FROM names WHERE ({BACKWARD_MASK} >> i) & 1 = 1",
         "final_features": f"""{SELECTION}, kept AS (SELECT i, name FROM names
   WHERE ((SELECT arg_max(mask, step) FROM bwd) >> i) & 1 = 1)
