@@ -17,6 +17,7 @@ from covaria.operators.features import FeatureTable, kept
 from covaria.operators.labels import class_dictionary, one_hot
 from covaria.operators.links import link_counts, pair_links, rejected_pairs, split_pairs
 from covaria.operators.lookups import invert_categories, with_category
+from covaria.operators.merged import merged_moments
 from covaria.operators.moments import fit_moments
 from covaria.operators.pca import fit_pca, pca_by_group
 from covaria.operators.plsda import PLSModel, fit_plsda
@@ -206,6 +207,15 @@ def correlation_matrix(spark, sf_dir):
     return _round(fit_moments(B.lines(spark, sf_dir)).correlation_df(spark))
 
 
+def correlation_merged(spark, sf_dir):
+    """The correlation matrix in one pass from partial states merged pairwise, no rough mean first."""
+    return _round(merged_moments(B.lines(spark, sf_dir)).correlation_df(spark))
+
+
+def class_feature_sums_merged(spark, sf_dir):
+    return _round(merged_moments(B.lines(spark, sf_dir, "l_linestatus")).class_sums_df(spark))
+
+
 def correlation_matrix_wide(spark, sf_dir):
     return _round(fit_moments(B.vectors(spark, sf_dir)).correlation_df(spark))
 
@@ -519,6 +529,8 @@ def registered() -> dict[str, Query]:
         "one_hot": one_hot_query,
         "correlation_matrix": correlation_matrix,
         "correlation_matrix_wide": correlation_matrix_wide,
+        "correlation_merged": correlation_merged,
+        "class_feature_sums_merged": class_feature_sums_merged,
         "class_feature_sums": class_feature_sums,
         "class_feature_sums_wide": class_feature_sums_wide,
         "pca_fit": pca_fit,

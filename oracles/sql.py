@@ -558,10 +558,12 @@ FROM (SELECT DISTINCT event_type AS label FROM events WHERE event_type IS NOT NU
         + ", ".join(f"(o_orderstatus = '{s}')::DOUBLE AS \"is_{s}\"" for s in ("F", "O", "P"))
         + " FROM orders",
         "correlation_matrix": correlation_matrix(),
+        "correlation_merged": correlation_matrix(),
         "correlation_matrix_wide": f"""WITH {VECTOR_Z}
 SELECT 'e' || a.i AS feature_i, 'e' || b.i AS feature_j, {r("avg(a.z * b.z)")} AS correlation
 FROM z a JOIN z b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i""",
         "class_feature_sums": class_feature_sums(),
+        "class_feature_sums_merged": class_feature_sums(),
         "class_feature_sums_wide": f"""WITH {VECTOR_Z}
 SELECT label, count(*) AS n_rows, 'e' || i AS feature, {r("sum(z)")} AS z_sum FROM z GROUP BY label, i""",
         "pca_fit": pca_fit(),
