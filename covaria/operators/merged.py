@@ -127,7 +127,7 @@ def merged_moments(table: FeatureTable) -> Moments:
             one = of_batch(x, batch.column(0).to_pylist())
             state = one if state is None else merged(state, one)
             if len(state.classes) > MAX_CLASSES:
-                raise ValueError(f"label {name!r} has more than {MAX_CLASSES} distinct values")
+                raise ValueError(f"label {name!r} has more than {MAX_CLASSES} distinct values in one task")
         if state is not None:
             yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([_dump(state)], pa.binary())],
                                              names=["g", "state"])

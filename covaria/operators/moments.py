@@ -302,6 +302,8 @@ def _add_up_batches(table: FeatureTable, mean: np.ndarray, scale: np.ndarray, me
                 z[~usable] = 0.0
             gram += z.T @ z
             _add_class_sums(classes, batch.column(0), z)
+            if len(classes) > MAX_CLASSES:  # a key passed as label: stop before vectors pile up
+                raise ValueError(f"label has more than {MAX_CLASSES} distinct values in one task")
         if arrow_label is not None:
             extra = [(_MISSING, missing), (_INFINITE, infinite), (_LOW, -low), (_HIGH, high)] if measure else []
             yield _partial_rows(gram, classes, extra, arrow_label)
