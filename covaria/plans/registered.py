@@ -207,6 +207,19 @@ def correlation_matrix(spark, sf_dir):
     return _round(fit_moments(B.lines(spark, sf_dir)).correlation_df(spark))
 
 
+def feature_guard(spark, sf_dir):
+    """The too-few-features guard on 0, 1 and 2 of the text features: PCA refuses below two usable ones."""
+    with kept(B.text_samples(spark, sf_dir)) as table:
+        moments = fit_moments(table)
+        rows = []
+        for size in (0, 1, 2):
+            names = list(B.TEXT_FEATURES[:size])
+            model = fit_pca(FeatureTable.of(table.df, names, table.label), moments=moments)
+            components = int(model.loadings.shape[1])
+            rows.append((size, size - len(model.dropped), components, components == 0))
+    return spark.createDataFrame(rows, "n_features int, n_usable int, n_components int, refused boolean")
+
+
 def correlation_merged(spark, sf_dir):
     """The correlation matrix in one pass from partial states merged pairwise, no rough mean first."""
     return _round(merged_moments(B.lines(spark, sf_dir)).correlation_df(spark))
@@ -530,6 +543,7 @@ def registered() -> dict[str, Query]:
         "correlation_matrix": correlation_matrix,
         "correlation_matrix_wide": correlation_matrix_wide,
         "correlation_merged": correlation_merged,
+        "feature_guard": feature_guard,
         "class_feature_sums_merged": class_feature_sums_merged,
         "class_feature_sums": class_feature_sums,
         "class_feature_sums_wide": class_feature_sums_wide,

@@ -559,6 +559,10 @@ FROM (SELECT DISTINCT event_type AS label FROM events WHERE event_type IS NOT NU
         + " FROM orders",
         "correlation_matrix": correlation_matrix(),
         "correlation_merged": correlation_matrix(),
+        "feature_guard": f"""WITH {TEXTS}, sizes AS (SELECT unnest([0, 1, 2]) AS size),
+usable AS (SELECT size, (SELECT count(*) FROM st WHERE st.i < size AND st.s > 0) AS n FROM sizes)
+SELECT size::INTEGER AS n_features, n::INTEGER AS n_usable, (CASE WHEN n >= 2 THEN 2 ELSE 0 END)::INTEGER AS n_components,
+  n < 2 AS refused FROM usable""",
         "correlation_matrix_wide": f"""WITH {VECTOR_Z}
 SELECT 'e' || a.i AS feature_i, 'e' || b.i AS feature_j, {r("avg(a.z * b.z)")} AS correlation
 FROM z a JOIN z b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i""",
