@@ -31,6 +31,7 @@ from covaria.operators.selection import (
 )
 from covaria.operators.adaptive import silhouette_adaptive
 from covaria.operators.sampled import silhouette_sampled
+from covaria.operators.subsets import pca_of_subsets
 from covaria.operators.silhouette import silhouette
 from covaria.plans import bindings as B
 from covaria.plans.analyses import quality
@@ -220,6 +221,21 @@ def feature_guard(spark, sf_dir):
     return spark.createDataFrame(rows, "n_features int, n_usable int, n_components int, refused boolean")
 
 
+def pca_of_feature_pairs(spark, sf_dir):
+    """PCA of every pair of the 64 embedding features, all pairs solved on executors as one job."""
+    table = B.vectors(spark, sf_dir)
+    moments = fit_moments(table)
+    p = len(moments.features)
+    names = F.array(*[F.lit(f) for f in moments.features])
+    pairs = (
+        spark.range(p * p)
+        .select(F.col("id").alias("subset_id"), (F.col("id") / p).cast("int").alias("i"), (F.col("id") % p).cast("int").alias("j"))
+        .where(F.col("i") < F.col("j"))
+        .select("subset_id", F.array(F.get(names, F.col("i")), F.get(names, F.col("j"))).alias("features"))
+    )
+    return _round(pca_of_subsets(spark, moments, pairs))
+
+
 def correlation_merged(spark, sf_dir):
     """The correlation matrix in one pass from partial states merged pairwise, no rough mean first."""
     return _round(merged_moments(B.lines(spark, sf_dir)).correlation_df(spark))
@@ -544,6 +560,7 @@ def registered() -> dict[str, Query]:
         "correlation_matrix_wide": correlation_matrix_wide,
         "correlation_merged": correlation_merged,
         "feature_guard": feature_guard,
+        "pca_of_feature_pairs": pca_of_feature_pairs,
         "class_feature_sums_merged": class_feature_sums_merged,
         "class_feature_sums": class_feature_sums,
         "class_feature_sums_wide": class_feature_sums_wide,

@@ -563,6 +563,10 @@ FROM (SELECT DISTINCT event_type AS label FROM events WHERE event_type IS NOT NU
 usable AS (SELECT size, (SELECT count(*) FROM st WHERE st.i < size AND st.s > 0) AS n FROM sizes)
 SELECT size::INTEGER AS n_features, n::INTEGER AS n_usable, (CASE WHEN n >= 2 THEN 2 ELSE 0 END)::INTEGER AS n_components,
   n < 2 AS refused FROM usable""",
+        "pca_of_feature_pairs": f"""WITH {VECTOR_Z}, n AS (SELECT count(DISTINCT vec_id) AS n FROM z),
+corr AS (SELECT a.i, b.i AS j, abs(sum(a.z * b.z) / (SELECT n FROM n)) AS c FROM z a JOIN z b ON a.vec_id = b.vec_id AND a.i < b.i
+  GROUP BY a.i, b.i)
+SELECT (i * 64 + j)::BIGINT AS subset_id, 2 AS n_features, {r("50 * (1 + c)")} AS pc1_percent, {r("50 * (1 - c)")} AS pc2_percent FROM corr""",
         "correlation_matrix_wide": f"""WITH {VECTOR_Z}
 SELECT 'e' || a.i AS feature_i, 'e' || b.i AS feature_j, {r("avg(a.z * b.z)")} AS correlation
 FROM z a JOIN z b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i""",
