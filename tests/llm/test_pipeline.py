@@ -84,7 +84,7 @@ def test_pack_stage(results):
 
 def test_run_and_registration(spark, sf_dir, results):
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in __spark_entry__.queries() if re.match(r"op\d+_", q)}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in __spark_entry__.queries() if re.match(r"op\d+_", q)}
     assert corpus_pipeline.run(spark, sf_dir).count() == results[-1][2].count()
 
 
