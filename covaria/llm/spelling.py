@@ -124,12 +124,16 @@ class Index:
 
 
 def _near(index: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of one block. A pair whose words share their first two code points is left to the
+    block of that prefix, so that every pair comes out once and needs no distinct."""
     if index.empty or asking.empty:
         return pd.DataFrame({"word": [], "near": []})
     built = Index(index["indexed"].tolist())
     pairs = []
     for _, same in asking.groupby(asking["word"].str.len()):
         pairs += built.near(same["word"].tolist())
+    if index["family"].iloc[0] == "s":
+        pairs = [(q, w) for q, w in pairs if q[:2] != w[:2]]
     return pd.DataFrame(pairs, columns=["word", "near"])
 
 
@@ -169,7 +173,7 @@ def pairs(vocab: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     )
     group = [*key, "part_i", "part_a"]
     found = index.groupBy(*group).cogroup(asking.groupBy(*group)).applyInPandas(_near, _PAIRS)
-    return found.where(F.col("word") != F.col("near")).distinct()
+    return found
 
 
 def _rooted(forms: DataFrame) -> DataFrame:
