@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from covaria.functions import column
 from covaria.llm.text import small_enough
 from covaria.operators.durable import stored
 
@@ -36,26 +37,31 @@ def one_of_each(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) -
 
     ``marks`` has doc_id, h (``text_hash``), kept and n_twins. Its rows that change anything
     are joined by (id, hash); texts are shuffled only if those exceed the broadcast size.
+    A document travels packed as one struct beside its keys, so that columns of any name,
+    ``__id``, ``__h`` or names with dots among them, come back as they were.
     """
     key = ["__id", "__h"]
     named = marks.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "kept", "n_twins")
     changes = stored(named.where(~F.col("kept") | (F.col("n_twins") > 1)).distinct())
     twins = changes.where("kept")
-    keyed = docs.withColumns({"__id": F.col(id_col), "__h": text_hash(F.col(text_col))})
+    keyed = docs.select(
+        F.struct(*[column(c) for c in docs.columns]).alias("__row"),
+        column(id_col).alias("__id"),
+        text_hash(column(text_col)).alias("__h"),
+    )
 
     def joined(other: DataFrame, how: str) -> DataFrame:
         other = small_enough(other.select(*key), 96)
         same = reduce(lambda a, b: a & b, [keyed[k].eqNullSafe(other[k]) for k in key])
         return keyed.join(other, same, how)
 
-    kept = joined(changes, "left_anti").select(*docs.columns)
+    kept = joined(changes, "left_anti").select("__row")
     if not twins.isEmpty():
-        row = F.struct(*[F.col(c) for c in docs.columns])
         one = (
             joined(twins, "left_semi")
             .groupBy(*key)
-            .agg(F.max_by(row, F.xxhash64(F.to_json(row))).alias("row"))
-            .select("row.*")
+            .agg(F.max_by(F.col("__row"), F.xxhash64(F.to_json(F.col("__row")))).alias("__row"))
+            .select("__row")
         )
         kept = kept.union(one)
-    return kept
+    return kept.select([F.col("__row").getField(c).alias(c) for c in docs.columns])

@@ -63,3 +63,15 @@ def test_fingerprints_compose():
                 value[k] = (value[k] * point + b) % p
         if n <= 2000:
             assert tuple(value) == whole
+
+
+def test_deduplicated_keeps_columns_of_any_name(spark):
+    from covaria.llm import exact, simhash
+
+    rows = [(1, "same text", "u1", "h1", "r1", "d1"), (2, "same text", "u2", "h2", "r2", "d2"),
+            (3, "other", "u3", "h3", "r3", "d3"), (3, "other", "u3", "h3", "r3", "d3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id string, __h string, __row string, `a.b` string")
+    for kept in (exact.deduplicated(docs), simhash.deduplicated(docs)):
+        assert kept.columns == docs.columns
+        got = sorted(tuple(r) for r in kept.collect())
+        assert got == [(1, "same text", "u1", "h1", "r1", "d1"), (3, "other", "u3", "h3", "r3", "d3")]
