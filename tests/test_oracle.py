@@ -10,7 +10,7 @@ from covaria.plans.registered import registered
 from oracles import oracle_sql
 
 TYPES = {
-    "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT",
+    "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT", "boolean": "BOOLEAN",
 }
 
 QUERIES = dict(registered())
