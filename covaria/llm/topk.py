@@ -35,14 +35,25 @@ _PARTIAL = "query_id long, vec_id long, score long"
 
 
 def _accumulated(queries: np.ndarray, postings: np.ndarray) -> np.ndarray:
-    """Scores of all queries against all candidates, one term (dimension) at a time."""
-    scores = np.zeros((queries.shape[0], postings.shape[0]), dtype=np.int64)
+    """Scores of all queries against all candidates, one term (dimension) at a time.
+
+    A term's posting list is the candidates' values there, held contiguous; queries whose
+    weight there is zero skip it. Where the largest weights and postings bound every score
+    below 2^31, scores are kept in 32 bits, else in 64.
+    """
+    lists = np.ascontiguousarray(postings.T)
+    bound = int(np.abs(queries).max(initial=0)) * int(np.abs(lists).max(initial=0)) * queries.shape[1]
+    kind = np.int32 if bound < 2**31 else np.int64
+    lists, weights_all = lists.astype(kind), queries.astype(kind)
+    scores = np.zeros((queries.shape[0], postings.shape[0]), dtype=kind)
     for term in range(queries.shape[1]):
-        weights = queries[:, term]
+        weights = weights_all[:, term]
         rows = np.flatnonzero(weights)
-        if rows.size:
-            scores[rows] += weights[rows, None] * postings[None, :, term]
-    return scores
+        if rows.size == len(weights):
+            scores += weights[:, None] * lists[term][None, :]
+        elif rows.size:
+            scores[rows] += weights[rows, None] * lists[term][None, :]
+    return scores.astype(np.int64)
 
 
 def _block_top(k: int):
