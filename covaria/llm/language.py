@@ -23,7 +23,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from covaria.functions import column
 from covaria.llm.text import lower_ascii, raw_texts, slices
 
 SIZES = (2, 3, 4)
@@ -212,7 +214,9 @@ def predicted(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text
 
     rows = docs.select(F.col(id_col).alias("doc_id"), *also, F.col(text_col).alias("__text"))
     kept = rows.columns[:-1]
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes[:-1]) + ", lang_pred string, score double, rejected boolean"
+    # As types, not as text: field names of a packed row may hold dots or other signs.
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -226,6 +230,6 @@ def recognised(docs: DataFrame, model: Model | None, text_col: str = "text") ->
     """The documents whose language the model recognises, with all their columns."""
     if len(docs.columns) == 0:
         return docs
-    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).alias("__t"))
+    whole = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), column(text_col).alias("__t"))
     found = predicted(whole, model, "row", "__t")
     return found.where("NOT rejected").select("doc_id.*")

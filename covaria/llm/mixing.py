@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from covaria.functions import column
 from covaria.llm.text import small_enough, word_count
 from covaria.operators.durable import stored
 
@@ -242,7 +243,7 @@ def repeated(
     """The mix itself: every document as often as it is taken, with all its columns."""
     rows = stored(sized(docs, id_col, text_col, source_col, seed))
     cuts, chosen = plan(rows, weight, max_epochs)
-    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    named = docs.select(whole, F.col(source_col).cast("string").alias("source"), _place(id_col, text_col, seed).alias("place"))
+    whole = F.struct(*[column(c) for c in docs.columns]).alias("row")
+    named = docs.select(whole, column(source_col).cast("string").alias("source"), _place(id_col, text_col, seed).alias("place"))
     taken = repeats(named, cuts, chosen).where("repeats > 0")
     return taken.select("row", F.explode(F.array_repeat(F.lit(1), F.col("repeats").cast("int")))).select("row.*")

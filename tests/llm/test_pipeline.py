@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -98,6 +99,14 @@ def test_stages_on_edge_cases(spark, stage):
     assert stage(spark, docs.limit(0), "").count() == 0
 
 
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:-1]])
+def test_stages_keep_dotted_and_clashing_columns(spark, stage):
+    docs = edge.table(spark).withColumns({"a.b": F.lit("dot"), "__id": F.lit("mine"), "__h": F.lit("mine too")})
+    out = stage(spark, docs, "")
+    assert out.columns == docs.columns
+    assert all(r["a.b"] == "dot" and r["__id"] == "mine" and r["__h"] == "mine too" for r in out.collect())
+
+
 def test_near_copies_of_the_whole_table_are_one_group(spark):
     docs = spark.createDataFrame([(i, "w " * 500 + "x") for i in range(50)], "doc_id long, text string")
     assert [r["doc_id"] for r in simhash.deduplicated(docs).collect()] == [0]
