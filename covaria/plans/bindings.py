@@ -66,26 +66,38 @@ def banded_lines(spark: SparkSession, sf_dir: str) -> FeatureTable:
     return FeatureTable.of(df, BAND_FEATURES, "band")
 
 
+# Bytes of text looked at together: what counting holds beyond a batch is a small multiple.
+COUNTED_BYTES = 1 << 18
+
+
 def _character_counts(batches):
-    """Counts over the UTF-8 bytes of each text; ASCII bytes stand for themselves there."""
-    kind = np.full(256, 0)
+    """Counts over the UTF-8 bytes of each text; ASCII bytes stand for themselves there.
+
+    Bytes are taken piece by piece, across texts and inside long ones alike.
+    """
+    # Continuation bytes are kind 5; every other byte starts a character.
+    kind = np.zeros(256, np.uint8)
     for k, characters in enumerate((" ", DIGITS, CAPITALS, MARKS), start=1):
         kind[list(characters.encode())] = k
-    continuation = (np.arange(256) & 0xC0) == 0x80
+    kind[0x80:0xC0] = 5
     for batch in batches:
         text = batch.column(1).cast(pa.large_string())
         offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
-        data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-        bounds = offsets - offsets[0]
-
-        def per_text(flags):
-            """Flagged bytes in each text, from running totals."""
-            running = np.concatenate([[0], np.cumsum(flags)])
-            return pa.array((running[bounds[1:]] - running[bounds[:-1]]).astype(np.float64))
-
-        kinds = kind[data]
-        counts = [per_text(~continuation[data])] + [per_text(kinds == k) for k in range(1, 5)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *counts], names=["doc_id", *TEXT_FEATURES])
+        data = np.frombuffer(text.buffers()[2] or b"", np.uint8)
+        counts = np.zeros((len(TEXT_FEATURES), len(text)))
+        for start in range(int(offsets[0]), int(offsets[-1]), COUNTED_BYTES):
+            stop = min(start + COUNTED_BYTES, int(offsets[-1]))
+            first = np.searchsorted(offsets, start, "right") - 1
+            last = np.searchsorted(offsets, stop, "left")
+            bounds = np.clip(offsets[first : last + 1], start, stop) - start
+            kinds = kind[data[start:stop]]
+            for row, flags in enumerate((kinds != 5, kinds == 1, kinds == 2, kinds == 3, kinds == 4)):
+                # Flagged bytes of each text in the piece, from running totals.
+                running = np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
+                counts[row, first:last] += np.diff(running[bounds])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *[pa.array(c) for c in counts]], names=["doc_id", *TEXT_FEATURES]
+        )
 
 
 def text_samples(spark: SparkSession, sf_dir: str) -> FeatureTable:
