@@ -40,6 +40,15 @@ DIRECT_POINTS = 4096
 # Halving the square more often would go below the resolution of double coordinates.
 MAX_DEPTH = 48
 
+# Leaves of an ancestor this many levels up are evaluated together, as one group of rows.
+BLOCK_LEVELS = 3
+
+# Distances held at once, few enough for a core's cache.
+PAIRS = 1 << 15
+
+# Up to this many classes, sums by class are a matrix product.
+FEW_CLASSES = 16
+
 # Bits per axis of the sort key that keeps close cells close.
 ORDER_BITS = 31
 
@@ -261,23 +270,48 @@ def _far_field(placed: DataFrame, frame: _Frame, depth: int) -> DataFrame:
 
 
 def _tree_weights(frame: _Frame, depth: int):
-    """Grid weights of every cell from level 2 to the leaves, straight from the points."""
-    x0, y0, side = frame.x0, frame.y0, frame.side
+    """Grid weights of every cell from level 2 to the leaves, of one depth, as ``_upward`` adds them up."""
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ix, iy, x, y, c, w = _columns(batch, "ix", "iy", "x", "y", "c", "w")
-            for level in range(2, depth + 1):
-                lx, ly = ix >> (depth - level), iy >> (depth - level)
-                scale = 2**level / side
-                grid = _on_grid((x - x0) * scale - lx, (y - y0) * scale - ly)
-                yield _emit(np.full(len(lx), level), lx, ly, c, grid * w[:, None])
+            if batch.num_rows:
+                ix, iy, x, y, c, w = _columns(batch, "ix", "iy", "x", "y", "c", "w")
+                yield from _upward(frame, np.full(len(ix), depth), ix, iy, x, y, c, w)
 
     return run
 
 
+def _upward(frame: _Frame, leaf, ix, iy, x, y, c, w):
+    """Grid weights of all cells of level 2 and deeper that hold the points given with their leaves.
+
+    Only leaves are computed from points; a cell's weights are its children's, taken to its
+    grid, which is exact: the polynomials of a cell are polynomials on its children too.
+    """
+    up = np.swapaxes(_child_to_parent(), 1, 2)
+    below = None  # cells of the level below: ix, iy, c, weights
+    for level in range(int(leaf.max()), 1, -1):
+        at = leaf == level
+        scale = 2.0**level / frame.side
+        parts = []
+        if at.any():
+            grid = _on_grid((x[at] - frame.x0) * scale - ix[at], (y[at] - frame.y0) * scale - iy[at])
+            grid *= w[at, None]
+            parts.append((ix[at], iy[at], c[at], grid))
+        if below is not None:
+            bx, by, bc, vec = below
+            quadrant = 2 * (bx & 1) + (by & 1)
+            moved = np.empty_like(vec)
+            for q in range(4):
+                moved[quadrant == q] = vec[quadrant == q] @ up[q]
+            parts.append((bx >> 1, by >> 1, bc, moved))
+        if not parts:
+            continue
+        lx, ly, lc, vectors = parts[0] if len(parts) == 1 else [np.concatenate(p) for p in zip(*parts)]
+        emitted = _emit(np.full(len(lx), level), lx, ly, lc, vectors)
+        yield emitted
+        below = (*_columns(emitted, "ix", "iy", "c"), matrix(emitted.column(4), GRID * GRID))
+
+
 def _from_parent(batches):
     """A parent's values interpolated to the grid of each child."""
     down = _child_to_parent()
@@ -356,69 +390,179 @@ def _small_batches(run, rows: int = 1024):
     return sliced
 
 
+def _block_levels(classes: int) -> int:
+    """Levels between leaves and the block evaluated as one group.
+
+    Fewer with many classes, so that the grid vectors of a block's leaves stay within 32 MB.
+    """
+    return max(0, min(BLOCK_LEVELS, int(log(32 * 2**20 / (8 * GRID * GRID * classes), 4))))
+
+
+def _block(level: str, ix: str, iy: str, levels: int) -> list[Column]:
+    """``bl, bx, by``: the ancestor of a cell so many levels above, or the root."""
+    rise = f"least({level}, {levels})"
+    return [
+        F.expr(f"cast({level} - {rise} as int)").alias("bl"),
+        F.expr(f"shiftright({ix}, {rise})").alias("bx"),
+        F.expr(f"shiftright({iy}, {rise})").alias("by"),
+    ]
+
+
 def _leaf_sums(placed: DataFrame, far: DataFrame | None, frame: _Frame, depth: int) -> DataFrame:
-    """``total, rows``: summed silhouettes and row counts, one row per leaf cell.
+    """``total, rows``: summed silhouettes and row counts, one row per block of leaves.
 
-    Each leaf meets the points of the up to nine cells around it and the grid vectors that
-    stand for everything further away. The points of a cell, few as they are, travel as
-    one row.
+    A leaf, whose few points travel as one row, goes to its own block and to those it touches.
     """
-    last = 2**depth - 1
-    packed = placed.groupBy("ix", "iy").agg(F.collect_list(F.struct("x", "y", "c", "w")).alias("points"))
-    steps = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    around = (
-        packed.select("ix", "iy", F.col("points").alias("near"), F.explode(steps).alias("to"))
-        .select((F.col("ix") + F.col("to.dx")).alias("ix"), (F.col("iy") + F.col("to.dy")).alias("iy"), "near")
-        .where(F.col("ix").between(0, last) & F.col("iy").between(0, last))
-        .select("ix", "iy", "near", F.lit(None).cast("int").alias("fc"), F.lit(None).cast("array<double>").alias("vec"))
+    levels = min(_block_levels(len(frame.class_rows)), depth)
+    last = (2**depth - 1) >> levels
+    packed = placed.groupBy(F.col("ix").alias("sx"), F.col("iy").alias("sy")).agg(
+        F.collect_list(F.struct("x", "y", "c", "w")).alias("points")
+    )
+
+    def reached(place: str) -> Column:
+        low, high = (F.shiftright(F.col(place) + F.lit(side), levels) for side in (-1, 1))
+        return F.explode(F.sequence(F.greatest(F.lit(0).cast("long"), low), F.least(F.lit(last).cast("long"), high)))
+
+    near = (
+        packed.withColumn("bx", reached("sx"))
+        .withColumn("by", reached("sy"))
+        .select(
+            F.lit(depth - levels).alias("bl"), "bx", "by", F.lit(depth).alias("sl"), "sx", "sy", "points",
+            ((F.shiftright("sx", levels) == F.col("bx")) & (F.shiftright("sy", levels) == F.col("by"))).alias("own"),
+        )
     )
     if far is not None:
-        nothing = F.lit(None).cast(around.schema["near"].dataType)
-        around = around.unionByName(far.select("ix", "iy", nothing.alias("near"), F.col("c").alias("fc"), "vec"))
-    x0, y0, scale = frame.x0, frame.y0, 2**depth / frame.side
-    class_rows = frame.class_rows
-    k = len(class_rows)
+        far = _grids(far.select(
+            F.lit(depth).alias("tl"), F.col("ix").alias("tx"), F.col("iy").alias("ty"), F.col("c").alias("fc"), "vec"
+        ), levels)
+    return _block_sums(near, far, frame)
 
-    def unpacked(column: pa.ChunkedArray):
-        points = column.combine_chunks().drop_null().flatten()
-        return [points.field(n).to_numpy(zero_copy_only=False) for n in ("x", "y", "c", "w")]
 
-    def leaf(targets: pa.Table, sources: pa.Table) -> pa.Table:
-        if not targets.num_rows:
-            return pa.table({"total": pa.array([], pa.float64()), "rows": pa.array([], pa.int64())})
-        x, y, c, w = unpacked(targets.column("points"))
-        sx, sy, sc, sw = unpacked(sources.column("near"))
-        grids = sources.filter(pc.is_valid(sources.column("vec")))
-        order = np.argsort(sc, kind="stable")
-        sx, sy, sc, sw = sx[order], sy[order], sc[order], sw[order].astype(np.float64)
-        present, starts = np.unique(sc, return_index=True)
-        sums = np.zeros((len(x), k))
-        block = max(1, 4_000_000 // max(len(sx), 1))
-        for start in range(0, len(x), block):
-            part = slice(start, start + block)
+def _grids(vectors: DataFrame, levels: int) -> DataFrame:
+    """Grid vectors for the blocks of the targets ``tl, tx, ty``.
+
+    They hold values on the target's own grid, unless ``fl, fx, fy`` name the cell whose points
+    they stand for.
+    """
+    types = {"fl": "int", "fx": "long", "fy": "long"}
+    cell = [F.col(n) if n in vectors.columns else F.lit(None).cast(t).alias(n) for n, t in types.items()]
+    return vectors.select(*_block("tl", "tx", "ty", levels), "tl", "tx", "ty", *cell, "fc", "vec")
+
+
+def _touching(tl, tx, ty, level, ix, iy) -> np.ndarray:
+    """Which cells touch the target, at the finer of the two levels; a coarser one its ancestor."""
+    up, down = np.maximum(tl - level, 0), np.maximum(level - tl, 0)
+    ax, ay = tx >> up, ty >> up
+    return (
+        (ix >= (ax << down) - 1) & (ix <= (ax + 1) << down) & (iy >= (ay << down) - 1) & (iy <= (ay + 1) << down)
+    )
+
+
+def _block_sums(near: DataFrame, grids: DataFrame | None, frame: _Frame) -> DataFrame:
+    """``total, rows`` per block: silhouettes of its leaves' points summed, and their row count.
+
+    ``near`` has the points of the block's own leaves and of all leaves that touch one. Each
+    leaf is compared with those that touch it; grid vectors stand for everything further away.
+    """
+    # Lengths in units of a power of two near the side, so that no square overflows.
+    unit = -int(np.frexp(frame.side)[1])
+    x0, y0, side = (float(np.ldexp(v, unit)) for v in (frame.x0, frame.y0, frame.side))
+    class_rows = frame.class_rows
+    k = len(class_rows)
+    position = (_nodes() + 1) / 2
+    gx, gy = np.repeat(position, GRID), np.tile(position, GRID)
+
+    def exact(x, y, sx, sy, sw, codes, classes):
+        """Distances to the sources, summed by class (``codes`` from 0)."""
+        sums = np.empty((len(x), classes))
+        if classes <= FEW_CLASSES:
+            by_class = np.zeros((len(sx), classes))
+            by_class[np.arange(len(sx)), codes] = sw
+        else:
+            order = np.argsort(codes, kind="stable")
+            sx, sy, sw = sx[order], sy[order], sw[order]
+            starts = np.searchsorted(codes[order], np.arange(classes))
+        rows = max(1, PAIRS // len(sx))
+        for start in range(0, len(x), rows):
+            part = slice(start, start + rows)
             away, across = x[part, None] - sx, y[part, None] - sy
             away *= away
             across *= across
             away += across
             np.sqrt(away, out=away)
-            away *= sw
-            sums[part, present] = np.add.reduceat(away, starts, axis=1)
-        if len(grids):
-            ix, iy = targets.column("ix")[0].as_py(), targets.column("iy")[0].as_py()
-            grid = _on_grid((x - x0) * scale - ix, (y - y0) * scale - iy)
-            vec = matrix(grids.column("vec"), GRID * GRID)
-            sums[:, grids.column("fc").to_numpy()] += grid @ vec.T
-        own = np.arange(len(x)), c
-        inside = sums[own] / np.maximum(class_rows[c] - 1, 1)
-        means = sums / class_rows
-        means[own] = np.inf
-        outside = means.min(axis=1)
-        larger = np.maximum(inside, outside)
-        value = np.where((class_rows[c] > 1) & (larger > 0), (outside - inside) / np.where(larger > 0, larger, 1.0), 0.0)
-        return pa.table({"total": [float(value @ w)], "rows": [int(w.sum())]})
-
-    return (
-        packed.groupBy("ix", "iy")
-        .cogroup(around.groupBy("ix", "iy"))
-        .applyInArrow(leaf, "total double, rows long")
-    )
+            if classes <= FEW_CLASSES:
+                sums[part] = away @ by_class
+            else:
+                away *= sw
+                sums[part] = np.add.reduceat(away, starts, axis=1)
+        return sums
+
+    def apart(x, y, fl, fx, fy, fc, vec, sums):
+        """Add distances to the points of other cells, through their grids."""
+        order = np.lexsort((fy, fx, fl))
+        fl, fx, fy, fc, vec = fl[order], fx[order], fy[order], fc[order], vec[order]
+        new = (np.diff(fl) != 0) | (np.diff(fx) != 0) | (np.diff(fy) != 0)
+        starts = np.concatenate([[0], np.flatnonzero(new) + 1, [len(fl)]])
+        size = side / 2.0 ** fl[starts[:-1]].astype(np.float64)
+        for i, (begin, end) in enumerate(zip(starts[:-1], starts[1:])):
+            nx, ny = x0 + (fx[begin] + gx) * size[i], y0 + (fy[begin] + gy) * size[i]
+            away = np.sqrt((x[:, None] - nx) ** 2 + (y[:, None] - ny) ** 2)
+            sums[:, fc[begin:end]] += away @ vec[begin:end].T
+
+    def block(near: pa.Table, grids: pa.Table | None) -> pa.Table:
+        own = np.flatnonzero(near.column("own").to_numpy()) if near.num_rows else []
+        if not len(own):
+            return pa.table({"total": pa.array([], pa.float64()), "rows": pa.array([], pa.int64())})
+        level, ix, iy = (near.column(n).to_numpy().astype(np.int64) for n in ("sl", "sx", "sy"))
+        points = near.column("points").combine_chunks()
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(points).to_numpy())])
+        x, y, c, w = (points.flatten().field(n).to_numpy(zero_copy_only=False) for n in ("x", "y", "c", "w"))
+        x, y, weight = np.ldexp(x, unit), np.ldexp(y, unit), w.astype(np.float64)
+        owner = np.zeros(0, np.int64)
+        if grids is not None and grids.num_rows:
+            place = {(level[t], ix[t], iy[t]): n for n, t in enumerate(own)}
+            names = zip(*[grids.column(n).to_numpy() for n in ("tl", "tx", "ty")])
+            owner = np.array([place[name] for name in names])
+            order = np.argsort(owner, kind="stable")
+            owner = owner[order]
+            # Values on the target's grid are distances, the others weights.
+            here = pc.is_null(grids.column("fl")).to_numpy()
+            vec = np.ldexp(matrix(grids.column("vec"), GRID * GRID), np.where(here, unit, 0)[:, None])
+            fl, fx, fy, fc = (grids.column(n).fill_null(0).to_numpy() for n in ("fl", "fx", "fy", "fc"))
+        total, rows = 0.0, 0
+        for n, t in enumerate(own):
+            mine = slice(bounds[t], bounds[t + 1])
+            tx, ty, tc, tw = x[mine], y[mine], c[mine], w[mine]
+            beside = np.flatnonzero(_touching(level[t], ix[t], iy[t], level, ix, iy))
+            at = np.concatenate([np.arange(bounds[s], bounds[s + 1]) for s in beside])
+            present, codes = np.unique(c[at], return_inverse=True)
+            sums = np.zeros((len(tx), k))
+            sums[:, present] = exact(tx, ty, x[at], y[at], weight[at], codes, len(present))
+            mail = order[slice(*np.searchsorted(owner, [n, n + 1]))] if len(owner) else owner
+            if len(mail):
+                values, cells = mail[here[mail]], mail[~here[mail]]
+                if len(values):
+                    scale = 2.0 ** level[t] / side
+                    grid = _on_grid((tx - x0) * scale - ix[t], (ty - y0) * scale - iy[t])
+                    sums[:, fc[values]] += grid @ vec[values].T
+                if len(cells):
+                    apart(tx, ty, fl[cells], fx[cells], fy[cells], fc[cells], vec[cells], sums)
+            total += _silhouettes(sums, tc, class_rows) @ tw
+            rows += int(tw.sum())
+        return pa.table({"total": [float(total)], "rows": [rows]})
+
+    key, schema = ["bl", "bx", "by"], "total double, rows long"
+    if grids is None:
+        return near.groupBy(*key).applyInArrow(lambda table: block(table, None), schema)
+    return near.groupBy(*key).cogroup(grids.groupBy(*key)).applyInArrow(lambda a, b: block(a, b), schema)
+
+
+def _silhouettes(sums: np.ndarray, c: np.ndarray, class_rows: np.ndarray) -> np.ndarray:
+    """Silhouettes of points of classes ``c`` from their summed distances to every class."""
+    own = np.arange(len(c)), c
+    inside = sums[own] / np.maximum(class_rows[c] - 1, 1)
+    means = sums / class_rows
+    means[own] = np.inf
+    outside = means.min(axis=1)
+    larger = np.maximum(inside, outside)
+    return np.where((class_rows[c] > 1) & (larger > 0), (outside - inside) / np.where(larger > 0, larger, 1.0), 0.0)
