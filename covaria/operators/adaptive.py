@@ -8,16 +8,16 @@ dense spot goes deep on its own.
 Distances are summed per point and class by a tree code over that tree:
 
 * each cell of level 2 or deeper carries interpolation weights of its points per class on a
-  Chebyshev grid (as in ``silhouette``), straight from the points;
-* for each leaf (target) the tree is walked from the root, a level a round, as a join of the
-  open (target, cell) pairs with the cells of the next level. A cell that is not adjacent to
-  the target at its own level (the target, or the target's ancestor, or the block of cells the
-  target covers when the cell is deeper) goes to the target's far list; an adjacent leaf goes
-  to its near list; an adjacent cell with children stays open. Near and far lists thus link
-  leaves and cells of different levels;
-* a target's points meet the points of its near list exactly and the grid weights of its far
-  list by their distances to the grid points. A far cell lies at least its own side away, which
-  is what its interpolation needs, whatever the target's size.
+  Chebyshev grid (as in ``silhouette``), the leaves' from points, the others' from children;
+* cells of one level that are not adjacent, but whose parents are, exchange weights for values
+  on each other's grids, and values are handed down to the leaves, level by level;
+* from each leaf the cells beside it are walked down, a level a round. Leaves that touch each
+  other (the coarser one the finer one's ancestor) go to near lists; a finer cell that does not
+  touch the leaf, though its parent does, is set apart from it;
+* leaves are evaluated in blocks of those with the same ancestor ``BLOCK_LEVELS`` up, so that
+  neighbours share the points around them. A leaf's points meet the points of its near list
+  exactly, the values on its own grid, and the cells set apart by their distances to grid points.
+  Such a cell lies at least its own side away, which is what its interpolation needs.
 
 Equal points are merged up front. Work grows with the number of points times the depth, and a
 target's lists hold a bounded number of cells per level where the points do not crowd along a
@@ -26,19 +26,32 @@ leaf's border.
 
 from __future__ import annotations
 
+from math import ceil, log
+
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covaria.functions import column
 from covaria.operators.durable import stored
-from covaria.operators.features import matrix
 from covaria.operators.moments import MAX_CLASSES
-from covaria.operators.silhouette import GRID, _added, _columns, _emit, _frame, _nodes, _on_grid
+from covaria.operators.silhouette import (
+    _added,
+    _block,
+    _block_levels,
+    _block_sums,
+    _columns,
+    _exchange,
+    _frame,
+    _from_parent,
+    _grids,
+    _in_z_order,
+    _upward,
+)
 
 LEAF_POINTS = 256
+# Levels between leaves and the block evaluated as one group; finer leaves crowd around it.
+BLOCK_LEVELS = 2
 # Halving the square more often would go below the resolution of double coordinates.
 MAX_DEPTH = 48
 _VECTOR = "level int, ix long, iy long, c int, vec array<double>"
@@ -51,52 +64,56 @@ def _cell(frame, value: str, origin: float, level: int) -> F.Column:
 
 
 def _leaves(points: DataFrame, frame, leaf_points: int) -> tuple[DataFrame, DataFrame]:
-    """Points with their leaf (level, ix, iy); cells of all levels with a flag ``leaf``."""
-    remaining, placed, cells = points, [], []
-    for level in range(MAX_DEPTH + 1):
+    """Points with their leaf (level, ix, iy); cells of all levels with a flag ``leaf``.
+
+    A round settles as many levels as evenly spread points would need: points are counted in
+    the cells of the lowest, and the counts of the others are added up from those.
+    """
+    remaining, placed, cells, top, crowd = points, [], [], 0, frame.n_points
+    while True:
+        bottom = min(MAX_DEPTH, top + max(0, ceil(log(crowd / leaf_points, 4))))
         here = remaining.select(
-            "x", "y", "c", "w", F.lit(level).alias("level"),
-            _cell(frame, "x", frame.x0, level).alias("ix"), _cell(frame, "y", frame.y0, level).alias("iy"),
+            "x", "y", "c", "w",
+            _cell(frame, "x", frame.x0, bottom).alias("bx"), _cell(frame, "y", frame.y0, bottom).alias("by"),
+        )
+        lowest = stored(here.groupBy("bx", "by").agg(F.count(F.lit(1)).alias("n")))
+        above = lowest.select("bx", "by", "n", F.explode(F.sequence(F.lit(top), F.lit(bottom))).alias("level")).select(
+            "bx", "by", "n", "level",
+            F.expr(f"shiftright(bx, {bottom} - level)").alias("ix"), F.expr(f"shiftright(by, {bottom} - level)").alias("iy"),
+        )
+        sized = stored(above.groupBy("level", "ix", "iy").agg(F.sum("n").alias("n")))
+        split = sized.where(F.col("n") > leaf_points).select(
+            (F.col("level") + 1).alias("level"), F.col("ix").alias("px"), F.col("iy").alias("py")
+        )
+        under = sized.select("*", F.shiftright("ix", 1).alias("px"), F.shiftright("iy", 1).alias("py")).join(
+            split, ["level", "px", "py"], "left_semi"
         )
-        counts = here.groupBy("ix", "iy").agg(F.count(F.lit(1)).alias("n"))
-        final = level == MAX_DEPTH
-        counts = stored(counts.withColumn("leaf", F.lit(True) if final else F.col("n") <= leaf_points))
-        cells.append(counts.select(F.lit(level).alias("level"), "ix", "iy", "leaf"))
-        marked = here.join(counts.select("ix", "iy", "leaf"), ["ix", "iy"])
-        placed.append(marked.where("leaf").drop("leaf"))
-        if final or counts.where(~F.col("leaf")).limit(1).count() == 0:
+        found = sized.where(F.col("level") == top).unionByName(under.where(F.col("level") > top).select(sized.columns))
+        leaf = (F.col("n") <= leaf_points) | (F.col("level") == MAX_DEPTH)
+        found = stored(found.select("level", "ix", "iy", "n", leaf.alias("leaf")))
+        cells.append(found.select("level", "ix", "iy", "leaf"))
+        home = above.select("bx", "by", "level", "ix", "iy").join(
+            found.where("leaf").select("level", "ix", "iy"), ["level", "ix", "iy"]
+        )
+        crowd = found.where(~F.col("leaf") & (F.col("level") == bottom)).agg(F.max("n")).first()[0]
+        placed.append(here.join(home, ["bx", "by"]).select("x", "y", "c", "w", "level", "ix", "iy"))
+        if crowd is None:
             break
-        remaining = stored(marked.where(~F.col("leaf")).select("x", "y", "c", "w"))
-    union = placed[0]
-    for more in placed[1:]:
-        union = union.unionByName(more)
-    every = cells[0]
-    for more in cells[1:]:
-        every = every.unionByName(more)
-    return stored(union), stored(every)
+        left = found.where(~F.col("leaf") & (F.col("level") == bottom)).select(F.col("ix").alias("bx"), F.col("iy").alias("by"))
+        remaining = stored(here.join(left, ["bx", "by"], "left_semi").select("x", "y", "c", "w"))
+        top = bottom + 1
+    return stored(_union(placed)), stored(_union(cells))
 
 
 def _weights(placed: DataFrame, frame) -> DataFrame:
     """Grid weights per cell of level 2 and deeper and class, from the points below it."""
-    x0, y0, side = frame.x0, frame.y0, frame.side
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            leaf, ix, iy, x, y, c, w = _columns(batch, "level", "ix", "iy", "x", "y", "c", "w")
-            for level in range(2, int(leaf.max()) + 1):
-                at = leaf >= level
-                if not at.any():
-                    continue
-                shift = leaf[at] - level
-                lx, ly = ix[at] >> shift, iy[at] >> shift
-                scale = 2.0**level / side
-                grid = _on_grid((x[at] - x0) * scale - lx, (y[at] - y0) * scale - ly)
-                yield _emit(np.full(len(lx), level), lx, ly, c[at], grid * w[at, None])
-
-    ordered = placed.repartitionByRange("level", "ix", "iy").sortWithinPartitions("level", "ix", "iy")
-    return stored(_added(ordered.mapInArrow(run, _VECTOR)))
+            if batch.num_rows:
+                yield from _upward(frame, *_columns(batch, "level", "ix", "iy", "x", "y", "c", "w"))
+
+    return stored(_added(_in_z_order(placed).mapInArrow(run, _VECTOR)))
 
 
 def _adjacent() -> F.Column:
@@ -115,33 +132,73 @@ def _adjacent() -> F.Column:
     )
 
 
-def _lists(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(target, cell) pairs of the near lists (leaves) and of the far lists."""
-    targets = cells.where("leaf").select(F.col("level").alias("tl"), F.col("ix").alias("tx"), F.col("iy").alias("ty"))
-    root_is_leaf = bool(cells.where(F.col("level") == 0).first()["leaf"])
-    opened = targets.select(
-        "tl", "tx", "ty", F.lit(0).alias("sl"), F.lit(0).cast("long").alias("sx"), F.lit(0).cast("long").alias("sy"),
-        F.lit(root_is_leaf).alias("leaf"),
+def _lists(cells: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(target, leaf) pairs of the near lists; (target, cell) pairs of finer cells set apart.
+
+    From each leaf the cells beside it, of its own level, are walked down. Leaves among them
+    are near. Of finer cells, those that touch the leaf are walked on or near; those that do
+    not, below one that does, are set apart from it. To a finer leaf, the leaf that the walk
+    started from is near in any case: it touches the finer one's ancestor of its level.
+    """
+    side = F.explode(F.sequence(F.lit(-1), F.lit(1)))
+    beside = (
+        cells.where("leaf")
+        .select(F.col("level").alias("tl"), F.col("ix").alias("tx"), F.col("iy").alias("ty"))
+        .withColumn("dx", side)
+        .withColumn("dy", side)
+        .select("tl", "tx", "ty", (F.col("tx") + F.col("dx")).alias("px"), (F.col("ty") + F.col("dy")).alias("py"))
     )
-    near, far = [], []
-    depth = cells.agg(F.max("level")).first()[0]
-    for _ in range(depth + 1):
-        step = stored(opened.withColumn("touching", _adjacent()))
-        near.append(step.where(F.col("touching") & F.col("leaf")).select("tl", "tx", "ty", "sl", "sx", "sy"))
-        far.append(step.where(~F.col("touching")).select("tl", "tx", "ty", "sl", "sx", "sy"))
-        inner = step.where(F.col("touching") & ~F.col("leaf")).select("tl", "tx", "ty", "sl", "sx", "sy")
-        if inner.limit(1).count() == 0:
-            break
-        children = cells.select(
-            F.col("level").alias("cl"), F.col("ix").alias("cx"), F.col("iy").alias("cy"), F.col("leaf")
+    every = cells.select(F.col("level").alias("sl"), F.col("ix").alias("sx"), F.col("iy").alias("sy"), "leaf")
+    pair = ["tl", "tx", "ty", "sl", "sx", "sy"]
+    opened = beside.join(
+        every, (F.col("sl") == F.col("tl")) & (F.col("sx") == F.col("px")) & (F.col("sy") == F.col("py"))
+    ).select(*pair, "leaf", F.lit(True).alias("above"), F.lit(True).alias("touching"))
+    near, apart = [], []
+    while True:
+        step = stored(opened)
+        near.append(step.where("leaf AND touching").select(*pair))
+        if apart or len(near) > 1:
+            near.append(step.where("leaf").select(*[F.col(a).alias(b) for a, b in zip(pair[3:] + pair[:3], pair)]))
+            apart.append(step.where("above AND NOT touching").select(*pair))
+        inner = step.where(~F.col("leaf")).select(
+            "tl", "tx", "ty", F.col("sl").alias("pl"), F.col("sx").alias("px"), F.col("sy").alias("py"), F.col("touching").alias("above")
         )
+        if not inner.limit(1).count():
+            break
         opened = inner.join(
-            children,
-            (F.col("cl") == F.col("sl") + 1)
-            & (F.shiftright("cx", 1) == F.col("sx"))
-            & (F.shiftright("cy", 1) == F.col("sy")),
-        ).select("tl", "tx", "ty", F.col("cl").alias("sl"), F.col("cx").alias("sx"), F.col("cy").alias("sy"), "leaf")
-    return stored(_union(near)), stored(_union(far))
+            every,
+            (F.col("sl") == F.col("pl") + 1)
+            & (F.shiftright("sx", 1) == F.col("px"))
+            & (F.shiftright("sy", 1) == F.col("py")),
+        ).select(*pair, "leaf", "above", (F.col("above") & _adjacent()).alias("touching"))
+    return stored(_union(near)), stored(_union(apart)) if apart else None
+
+
+def _far_values(weights: DataFrame, cells: DataFrame, frame) -> DataFrame | None:
+    """``tl, tx, ty, fc, vec``: on each leaf's grid, distances to the cells that its ancestors,
+    or itself, find not adjacent at their own level; handed down from level to level."""
+    depth = cells.agg(F.max("level")).first()[0]
+    if depth < 2:
+        return None
+    known = cells.where(F.col("level") >= 2).select("level", "ix", "iy")
+    exchanged = stored(_added(_exchange(weights, known, frame)))
+    local, found = None, []
+    for level in range(2, depth + 1):
+        at_level = exchanged.where(F.col("level") == level)
+        here = cells.where(F.col("level") == level)
+        if local is not None:
+            parent = local.select(F.col("ix").alias("px"), F.col("iy").alias("py"), "c", "vec")
+            inherited = here.join(
+                parent, (F.shiftright("ix", 1) == F.col("px")) & (F.shiftright("iy", 1) == F.col("py"))
+            )
+            inherited = inherited.select("level", "ix", "iy", "c", "vec").mapInArrow(_from_parent, _VECTOR)
+            at_level = _added(at_level.unionByName(inherited))
+        local = stored(at_level)
+        found.append(local)
+    leaves = cells.where("leaf").select("level", "ix", "iy")
+    return _union(found).join(leaves, ["level", "ix", "iy"], "left_semi").select(
+        F.col("level").alias("tl"), F.col("ix").alias("tx"), F.col("iy").alias("ty"), F.col("c").alias("fc"), "vec"
+    )
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -151,76 +208,26 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _sums(placed: DataFrame, near: DataFrame, far: DataFrame, weights: DataFrame, frame, class_rows: np.ndarray) -> DataFrame:
-    """``total, rows`` per target leaf: silhouettes of its points summed, and its row count."""
+def _sums(placed: DataFrame, near: DataFrame, apart: DataFrame | None, far: DataFrame | None, weights: DataFrame, frame) -> DataFrame:
+    """``total, rows`` per block of leaves: silhouettes of its points summed, and its row count."""
+    levels = min(BLOCK_LEVELS, _block_levels(len(frame.class_rows)))
     packed = placed.groupBy(F.col("level").alias("sl"), F.col("ix").alias("sx"), F.col("iy").alias("sy")).agg(
         F.collect_list(F.struct("x", "y", "c", "w")).alias("points")
     )
-    targets = packed.select(F.col("sl").alias("tl"), F.col("sx").alias("tx"), F.col("sy").alias("ty"), "points")
-    near_points = near.join(packed, ["sl", "sx", "sy"]).select(
-        "tl", "tx", "ty", F.col("points").alias("near"), F.lit(None).cast("int").alias("fl"),
-        F.lit(None).cast("long").alias("fx"), F.lit(None).cast("long").alias("fy"), F.lit(None).cast("int").alias("fc"),
-        F.lit(None).cast("array<double>").alias("vec"),
-    )
-    far_vectors = far.join(
-        weights.select(F.col("level").alias("sl"), F.col("ix").alias("sx"), F.col("iy").alias("sy"), "c", "vec"),
-        ["sl", "sx", "sy"],
-    ).select(
-        "tl", "tx", "ty", F.lit(None).cast(near_points.schema["near"].dataType).alias("near"),
-        F.col("sl").cast("int").alias("fl"), F.col("sx").alias("fx"), F.col("sy").alias("fy"), F.col("c").alias("fc"), "vec",
-    )
-    sources = near_points.unionByName(far_vectors)
-    x0, y0, side = frame.x0, frame.y0, frame.side
-    k = len(class_rows)
-    position = (_nodes() + 1) / 2
-    gx, gy = np.repeat(position, GRID), np.tile(position, GRID)
-
-    def unpacked(col):
-        points = col.combine_chunks().drop_null().flatten()
-        return [points.field(n).to_numpy(zero_copy_only=False) for n in ("x", "y", "c", "w")]
-
-    def leaf(t: pa.Table, s: pa.Table) -> pa.Table:
-        if not t.num_rows:
-            return pa.table({"total": pa.array([], pa.float64()), "rows": pa.array([], pa.int64())})
-        x, y, c, w = unpacked(t.column("points"))
-        sx, sy, sc, sw = unpacked(s.column("near"))
-        sums = np.zeros((len(x), k))
-        order = np.argsort(sc, kind="stable")
-        sx, sy, sc, sw = sx[order], sy[order], sc[order], sw[order].astype(np.float64)
-        present, starts = np.unique(sc, return_index=True)
-        block = max(1, 4_000_000 // max(len(sx), 1))
-        for start in range(0, len(x), block):
-            part = slice(start, start + block)
-            d = np.hypot(x[part, None] - sx, y[part, None] - sy) * sw
-            if len(sx):
-                sums[part, present] = np.add.reduceat(d, starts, axis=1)
-        grids = s.filter(pc.is_valid(s.column("vec")))
-        if grids.num_rows:
-            fl, fx, fy, fc = _columns(grids, "fl", "fx", "fy", "fc")
-            vec = matrix(grids.column("vec"), GRID * GRID)
-            size = side / 2.0 ** fl.astype(np.float64)
-            nx = x0 + (fx[:, None] + gx[None, :]) * size[:, None]  # cells x grid points
-            ny = y0 + (fy[:, None] + gy[None, :]) * size[:, None]
-            chunk = max(1, 2_000_000 // (len(x) * GRID * GRID))
-            for start in range(0, len(fl), chunk):
-                part = slice(start, start + chunk)
-                d = np.hypot(x[:, None, None] - nx[None, part], y[:, None, None] - ny[None, part])
-                values = np.einsum("pfg,fg->pf", d, vec[part])
-                np.add.at(sums.T, fc[part], values.T)
-        own = np.arange(len(x)), c
-        inside = sums[own] / np.maximum(class_rows[c] - 1, 1)
-        means = sums / class_rows
-        means[own] = np.inf
-        outside = means.min(axis=1)
-        larger = np.maximum(inside, outside)
-        value = np.where((class_rows[c] > 1) & (larger > 0), (outside - inside) / np.where(larger > 0, larger, 1.0), 0.0)
-        return pa.table({"total": [float(value @ w)], "rows": [int(w.sum())]})
-
-    return (
-        targets.groupBy("tl", "tx", "ty")
-        .cogroup(sources.groupBy("tl", "tx", "ty"))
-        .applyInArrow(leaf, "total double, rows long")
-    )
+    wanted = near.select(*_block("tl", "tx", "ty", levels), "sl", "sx", "sy").distinct()
+    own = F.lit(True)
+    for name, place in zip(("bl", "bx", "by"), _block("sl", "sx", "sy", levels)):
+        own = own & (F.col(name) == place)
+    sources = wanted.join(packed, ["sl", "sx", "sy"]).select("bl", "bx", "by", "sl", "sx", "sy", "points", own.alias("own"))
+    grids = None if far is None else _grids(far, levels)
+    if apart is not None:
+        cell = [F.col("level").alias("sl"), F.col("ix").alias("sx"), F.col("iy").alias("sy")]
+        vectors = apart.join(weights.select(*cell, F.col("c").alias("fc"), "vec"), ["sl", "sx", "sy"]).select(
+            "tl", "tx", "ty", F.col("sl").cast("int").alias("fl"), F.col("sx").alias("fx"), F.col("sy").alias("fy"), "fc", "vec"
+        )
+        vectors = _grids(vectors, levels)
+        grids = vectors if grids is None else grids.unionByName(vectors)
+    return _block_sums(sources, grids, frame)
 
 
 def silhouette_adaptive(points: DataFrame, x: str, y: str, label: str, leaf_points: int = LEAF_POINTS) -> DataFrame:
@@ -255,8 +262,8 @@ def silhouette_adaptive(points: DataFrame, x: str, y: str, label: str, leaf_poin
     indexed = merged.join(F.broadcast(index), "label").select("x", "y", "c", "w")
     placed, cells = _leaves(indexed, frame, leaf_points)
     weights = _weights(placed, frame)
-    near, far = _lists(cells)
-    sums = _sums(placed, near, far, weights, frame, rows)
+    near, apart = _lists(cells)
+    sums = _sums(placed, near, apart, _far_values(weights, cells, frame), weights, frame)
     return sums.agg(
         F.lit(int(rows.sum())).cast("long").alias("n_rows"),
         F.lit(len(classes)).alias("n_classes"),
