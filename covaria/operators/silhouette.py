@@ -18,8 +18,6 @@ from math import ceil, log
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -222,9 +220,24 @@ def _in_z_order(df: DataFrame) -> DataFrame:
 
 
 def _added(vectors: DataFrame) -> DataFrame:
-    """Grid vectors summed per cell and class."""
-    total = vector_to_array(Summarizer.sum(array_to_vector(F.col("vec"))))
-    return vectors.groupBy("level", "ix", "iy", "c").agg(total.alias("vec"))
+    """Grid vectors summed per cell and class: rows of a cell meet in a task, sorted, and are added batch by batch."""
+    key = ["level", "ix", "iy", "c"]
+
+    def run(batches):
+        held = None  # the last cell, which the next batch may continue
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            parts = [batch] if held is None else [held, batch]
+            keys = [np.concatenate(columns) for columns in zip(*[_columns(part, *key) for part in parts])]
+            emitted = _emit(*keys, np.concatenate([matrix(part.column(4), GRID * GRID) for part in parts]))
+            held = emitted.slice(emitted.num_rows - 1)
+            if emitted.num_rows > 1:
+                yield emitted.slice(0, emitted.num_rows - 1)
+        if held is not None:
+            yield held
+
+    return vectors.select(*key, "vec").repartition(*key[:3]).sortWithinPartitions(*key).mapInArrow(run, _VECTOR)
 
 
 def _emit(level, ix, iy, c, vectors: np.ndarray) -> pa.RecordBatch:
