@@ -56,6 +56,7 @@ def test_large_coordinates_do_not_overflow(spark):
 
 def test_grid_vectors_add_up_across_batches(spark):
     """25,000 rows of one cell span several batches; the others are told apart by class."""
-    cell = "cast(2 as int) level, 1L ix, 3L iy, cast(if(id < 25000, 0, id % 2 + 1) as int) c, array_repeat(double(1), 100) vec"
-    added = S._added(spark.range(25_007).repartition(5).selectExpr(*cell.split(", ", 4))).collect()
+    key = ["cast(2 as int) level", "1L ix", "3L iy", "cast(if(id < 25000, 0, id % 2 + 1) as int) c"]
+    rows = spark.range(25_007).repartition(5).selectExpr(*key, "array_repeat(double(1), 100) vec")
+    added = S._added(rows).collect()
     assert sorted((r["c"], r["vec"][0], r["vec"][99]) for r in added) == [(0, 25_000, 25_000), (1, 4, 4), (2, 3, 3)]
