@@ -88,14 +88,14 @@ def numbered(id_counts, vocabulary: int = VOCABULARY):
 class Pairs:
     """Pair counts by id; the number of ids stands for the start of a word.
 
-    ``logs`` (rows, classes) has log p(class | id), one row for all ids without counts, a row
-    of zeros for padding last; ``row`` says which row an id has. An id b
+    ``shares`` (rows, classes) has p(class | id), one row for all ids without counts, a row
+    of ones for padding last; ``row`` says which row an id has. An id b
     of the last class follows a as often as n(a, b) + ``ended[a] * begins[b]`` +
     ``PRIOR * single[b]`` to ``total[a]``. ``codes`` (sorted, a * 2^32 + b) and ``times`` hold
     n for the frequent pairs; ``complete`` says that these are all there are.
     """
 
-    logs: object
+    shares: object
     row: object
     single: object
     begins: object
@@ -115,12 +115,12 @@ class Pairs:
         group = np.minimum(number, rest)
         share = lambda p: np.bincount(group, p, rest + 1)
         table = by_class + ended[:, None] * share(begins) + PRIOR * share(single)
-        logs = np.log(table) - np.log(table.sum(axis=1, keepdims=True))
         seen = (by_class.sum(axis=1) > 0) | (ended > 0)
         some = np.append(np.flatnonzero(seen), np.flatnonzero(~seen)[:1])
         row = np.where(seen, np.cumsum(seen) - 1, int(seen.sum()))
-        logs = np.concatenate([logs[some], np.zeros((1, rest + 1))]).astype(np.float32)
-        return Pairs(logs, np.append(row, len(logs) - 1).astype(np.int32), single, begins, ended, table[:, rest].copy(), codes, times, complete)
+        shares = table[some] / table[some].sum(axis=1, keepdims=True)
+        shares = np.concatenate([shares, np.ones((1, rest + 1))]).astype(np.float32)
+        return Pairs(shares, np.append(row, len(shares) - 1).astype(np.int32), single, begins, ended, table[:, rest].copy(), codes, times, complete)
 
     def found(self, before, ids):
         """Count of each pair among the frequent ones, -1 if it is not there; what is added to it."""
@@ -167,7 +167,8 @@ class Model:
         self.hidden[self.pad] = -1e9
 
     def forward(self, ids, before=None):
-        """For windows (n, WINDOW): class scores after each id of the second half, and steps.
+        """For windows (n, WINDOW): scores that the weights give to classes after each id of the
+        second half, p(class | id) beside them, and steps.
 
         ``before`` has the ids of the second halves where pair counts are by id.
         """
@@ -175,30 +176,34 @@ class Model:
 
         w, late = self.weights, ids[:, STRIDE:]
         q, k, v = w["query"].take(late, 0), w["key"].take(ids, 0), w["value"].take(ids, 0)
+        q *= np.float32(WIDTH**-0.5)
         s = q @ k.transpose(0, 2, 1)
-        s *= np.float32(WIDTH**-0.5)
         s += w["distance"][self.apart] + self.future
-        s += self.hidden.take(ids)[:, None, :]
+        padded = np.flatnonzero((ids == self.pad).any(axis=1))
+        s[padded] += self.hidden.take(ids[padded])[:, None, :]
         np.exp(s, out=s)  # at most exp(BOUND^2 * WIDTH^0.5 + BOUND), as weights are bounded
-        h = s @ v
-        share = 1 / (s.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32)).reshape(s.shape[0], STRIDE, 1)
-        h *= share
-        h += w["own"].take(late, 0)
+        share = 1 / (s.reshape(-1, WINDOW) @ np.ones(WINDOW, s.dtype)).reshape(s.shape[0], STRIDE, 1)
+        seen = s @ v
+        seen *= share
+        h = w["own"].take(late, 0)
         h += w["previous"].take(ids[:, STRIDE - 1 : -1], 0)
+        h += seen
         np.tanh(h, out=h)
         z = h.reshape(-1, WIDTH) @ w["out"]
-        z += self.prior.take(late.ravel(), 0) if before is None else self.pairs.logs.take(self.pairs.row.take(before.ravel()), 0)
-        return z, (q, k, v, s, share, h)
+        p = np.exp(self.prior.take(late.ravel(), 0)) if before is None else self.pairs.shares.take(self.pairs.row.take(before.ravel()), 0)
+        return z, p, (q, k, v, s, share, seen, h)
 
     def log_probabilities(self, ids, following, before=None):
         """Natural log of the probability of ``following`` (n, STRIDE), by number; with ``before``, of its class."""
         import numpy as np
 
-        z, _ = self.forward(ids, before)
+        z, p, _ = self.forward(ids, before)
         late, target = ids[:, STRIDE:].ravel(), following.ravel()
-        own = z.ravel().take(np.arange(0, z.size, z.shape[1]) + np.minimum(target, self.rest))
-        np.exp(z, out=z)
-        own -= np.log(z @ np.ones(z.shape[1], np.float32))
+        at = np.arange(0, z.size, z.shape[1]) + np.minimum(target, self.rest)
+        own = z.ravel().take(at) + np.log(p.ravel().take(at))
+        np.exp(z, out=z)  # at most exp(WIDTH * BOUND)
+        z *= p
+        own -= np.log(z @ np.ones(z.shape[1], z.dtype))
         return own if before is not None else own + self.inside.ravel().take(
             np.minimum(late, self.start) * self.inside.shape[1] + target
         )
@@ -208,56 +213,75 @@ class Model:
         import numpy as np
 
         w = self.weights
-        z, (q, k, v, s, share, h) = self.forward(ids, before)
-        s *= share
-        use = (ids[:, STRIDE:] != self.pad) & (following >= 0)
+        z, p, (q, k, v, s, share, seen, h) = self.forward(ids, before)
+        use = ((ids[:, STRIDE:] != self.pad) & (following >= 0)).ravel()
         target = np.minimum(np.maximum(following.ravel(), 0), self.rest)
-        z -= z.max(axis=1, keepdims=True)
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        rows = np.arange(len(z))
-        loss = -np.log(z[rows, target])[use.ravel()].mean()
-        z[rows, target] -= 1
-        z *= (use.ravel() / np.float32(use.sum()))[:, None]
-        flat = h.reshape(-1, WIDTH)
-        out = {"out": flat.T @ z}
-        dh = (z @ w["out"].T).reshape(h.shape) * (1 - h * h)
-        da = dh @ v.transpose(0, 2, 1)
-        ds = s * (da - (da * s).sum(axis=2, keepdims=True))
-        out["distance"] = np.bincount(self.apart.ravel(), ds.sum(axis=0).ravel(), WINDOW).astype(np.float32)
-        ds *= np.float32(WIDTH**-0.5)
-        late = ids[:, STRIDE:]
-        for name, at, d in (
-            ("query", late, ds @ k),
-            ("key", ids, ds.transpose(0, 2, 1) @ q),
-            ("value", ids, s.transpose(0, 2, 1) @ dh),
-            ("own", late, dh),
-            ("previous", ids[:, STRIDE - 1 : -1], dh),
+        z *= p
+        total = z @ np.ones(z.shape[1], z.dtype)
+        at = np.arange(0, z.size, z.shape[1]) + target
+        own = z.ravel().take(at)
+        loss = (np.log(total) - np.log(own))[use].mean()
+        z.ravel()[at] = own - total  # divided by ``total``, rows are the gradient of the scores
+        scale = (use / (total * use.sum())).astype(z.dtype)[:, None]
+        out = {"out": (h.reshape(-1, WIDTH) * scale).T @ z}
+        dh = z @ w["out"].T
+        dh *= scale
+        dh = dh.reshape(h.shape)
+        dh *= 1 - h * h
+        s *= share
+        ds = dh @ v.transpose(0, 2, 1)
+        ds -= np.einsum("nij,nij->ni", dh, seen)[:, :, None]
+        ds *= s
+        apart = np.ones(len(ds), ds.dtype) @ ds.reshape(len(ds), -1)
+        out["distance"] = np.bincount(self.apart.ravel(), apart, WINDOW).astype(np.float32)
+        dq = ds @ k
+        dq *= np.float32(WIDTH**-0.5)
+        size = len(w["own"])
+        for names, at, d in (
+            (("query", "own"), ids[:, STRIDE:], (dq, dh)),
+            (("key", "value"), ids, (ds.transpose(0, 2, 1) @ q, s.transpose(0, 2, 1) @ dh)),
+            (("previous",), ids[:, STRIDE - 1 : -1], (dh,)),
         ):
-            at, d = at.ravel(), d.reshape(-1, WIDTH)
-            order = np.argsort(at, kind="stable")
-            at, d = at[order], d[order]
-            begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            g = np.zeros_like(w[name])
-            g[at[begin]] = np.add.reduceat(d, begin)
-            out[name] = g
+            summed = _summed_by(at.ravel(), np.concatenate(d, axis=2).reshape(-1, len(d) * WIDTH), size)
+            for name, g in zip(names, np.split(summed, len(d), axis=1)):
+                out[name] = g
         return loss, out
 
     def learn(self, batches, rate: float) -> int:
-        """Adam over ``batches`` of (windows, following, before); returns the number of windows."""
+        """Adam over ``batches`` of (windows, following, before); returns the number of windows.
+
+        Weights, gradients and moments lie in one row each, so that a step is a few passes.
+        """
         import numpy as np
 
-        first = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        second = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        flat = np.concatenate([w.ravel() for w in self.weights.values()])
+        upto = np.cumsum([w.size for w in self.weights.values()])
+        for (name, w), part in zip(list(self.weights.items()), np.split(flat, upto[:-1])):
+            self.weights[name] = part.reshape(w.shape)  # a view of ``flat``
+        first, second, held = np.zeros_like(flat), np.zeros_like(flat), np.zeros_like(flat)
+        g, grads = np.zeros_like(flat), {}
+        for name, part in zip(self.weights, np.split(g, upto[:-1])):
+            grads[name] = part.reshape(self.weights[name].shape)
         seen = 0
         for step, (windows, following, before) in enumerate(batches, 1):
-            _, grads = self.gradients(windows, following, before)
+            for name, own in self.gradients(windows, following, before)[1].items():
+                grads[name][...] = own
             now = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-            for name, g in grads.items():
-                first[name] += 0.1 * (g - first[name])
-                second[name] += 0.001 * (g * g - second[name])
-                self.weights[name] -= (now * first[name] / (np.sqrt(second[name]) + 1e-8)).astype(np.float32)
-                np.clip(self.weights[name], -BOUND, BOUND, out=self.weights[name])
+            first *= np.float32(0.9)
+            np.multiply(g, np.float32(0.1), out=held)
+            first += held
+            g *= g
+            g *= np.float32(0.001)
+            second *= np.float32(0.999)
+            second += g
+            np.sqrt(second, out=held)
+            held += np.float32(1e-8)
+            np.divide(first, held, out=held)
+            held *= np.float32(now)
+            flat -= held
+            if max(flat.max(), -flat.min()) > BOUND:
+                np.clip(flat, -BOUND, BOUND, out=flat)
             seen += len(windows)
         return seen
 
@@ -282,23 +306,36 @@ class Model:
         return (self._summed(windows, following, sizes) + outside) / np.log(10)
 
     def score_by_id(self, ids, sizes):
-        """Scores with pair counts by id, and the pairs whose counts are not at hand.
+        """Scores with pair counts by id of texts that stand in a row; see ``score_windows``."""
+        import numpy as np
+
+        windows, following = cut_flat(ids, sizes, len(self.number), len(self.number) + 1)
+        blocks = -(-sizes // STRIDE)
+        following[beyond(sizes)] = -1
+        return self.score_windows(windows, following, np.repeat(np.arange(len(sizes)), blocks), len(sizes))
+
+    def score_windows(self, windows, following, owner, texts: int):
+        """Sums by ``owner`` (one of ``texts`` for each window) with pair counts by id, and the
+        pairs whose counts are not at hand; nothing follows where ``following`` is negative.
 
         These are scored as if their count n was 0 and come as text, code, times and what is
         added to n: log10(1 + n / added) is to be added to the score for each time.
         """
         import numpy as np
 
-        n_ids = len(self.number)
-        windows, following = cut_flat(ids, sizes, n_ids, n_ids + 1)
-        own = self._summed(self.named()[windows], self.number[following], sizes, windows[:, STRIDE:])
-        before = np.append(n_ids, ids[:-1])
-        before[np.cumsum(sizes)[:-1]] = n_ids
-        last = np.flatnonzero(self.number[ids] >= self.rest)
-        owner, before = np.repeat(np.arange(len(sizes)), sizes)[last], before[last]
-        code, n, added = self.pairs.found(before, ids[last])
-        inside = np.log((np.maximum(n, 0) + added) / self.pairs.total[before])
-        own += np.bincount(owner, inside, len(sizes))
+        names, before = self.named(), windows[:, STRIDE:]
+        own, last = np.zeros(texts), [np.zeros(0, np.int64)]
+        for k in range(0, len(windows), BATCH):
+            some, after = windows[k : k + BATCH], following[k : k + BATCH]
+            number = self.number[np.maximum(after, 0)]
+            logs = self.log_probabilities(names[some], number, before[k : k + BATCH]).reshape(after.shape)
+            logs[after < 0] = 0
+            own += np.bincount(owner[k : k + BATCH], logs.sum(axis=1, dtype=np.float64), texts)
+            last.append(np.flatnonzero((number >= self.rest) & (after >= 0)) + k * STRIDE)
+        last = np.concatenate(last)
+        owner, before = owner[last // STRIDE], before[last // STRIDE, last % STRIDE]
+        code, n, added = self.pairs.found(before, following.ravel()[last])
+        own += np.bincount(owner, np.log((np.maximum(n, 0) + added) / self.pairs.total[before]), texts)
         absent = np.flatnonzero(n < 0)
         order = absent[np.lexsort((code[absent], owner[absent]))]
         new = np.ones(len(order), bool)
@@ -323,6 +360,30 @@ class Model:
         return np.add.reduceat(own, first)
 
 
+def _summed_by(at, d, size: int):
+    """Sums of the rows of ``d`` by the numbers ``at``, each below ``size``."""
+    import numpy as np
+
+    at = at.astype(np.uint16 if size <= 1 << 16 else np.int64)
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    out = np.zeros((size, d.shape[1]), d.dtype)
+    # Complex numbers are pairs that are added up at once.
+    two = np.result_type(d.dtype, np.complex64)
+    out.view(two)[at[begin]] = np.add.reduceat(d.view(two).take(order, 0), begin)
+    return out
+
+
+def beyond(sizes):
+    """Where nothing follows in the second halves of the windows of texts of these ``sizes``."""
+    import numpy as np
+
+    blocks = -(-sizes // STRIDE) * STRIDE
+    inside = np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    return (inside >= np.repeat(sizes, blocks)).reshape(-1, STRIDE)
+
+
 def cut(texts, start: int, pad: int):
     """Windows of each text's numbers, what follows in each second half, and the texts' sizes.
 

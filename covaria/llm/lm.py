@@ -1,21 +1,26 @@
 """LM scoring: base word counts and a causal self-attention model over subword ids.
 
-Three passes read the texts, ASCII letters lowered.
+Two passes read the texts, ASCII letters lowered; the second alone cuts them into ids.
 
 1. Counting, over all training documents: words and ends of text. Each task counts before the
    shuffle. Every distinct word is then cut into subword ids once, and pairs of neighbouring
    ids are counted as often as their words occur; what follows a word is the start of the
    next or the end. Per id and class the counts go to the driver, a bounded number.
-2. Training, over all training documents, those of any length: their windows are written once
-   and read in ``ROUNDS`` rounds, each window in one of them. In a round every task goes
-   through its own windows from the same weights; sums of weights, a fixed size, are added up
-   by tasks and reach the driver. Small corpora are read up to ``TRAIN_PASSES`` times. The
-   result depends a little on how rows are dealt to tasks.
-3. Scoring, over all documents: windows through the model (see ``attention``), and base
-   scores. The ``HEAD`` most frequent words (or slightly fewer) are sent to the tasks with
-   their counts, a fixed number of short words; a document's other words, each rare by
-   construction, leave the task as (row, word, times) and are joined with the counts by a
-   shuffle. So do pairs of ids, beyond the ``HEAD_PAIRS`` most frequent.
+2. Reading, over all documents, those of any length: their windows are written once, for
+   training and for scoring, and beside them figures of each document's words. The ``HEAD``
+   most frequent words (or slightly fewer) are sent to the tasks with their counts, a fixed
+   number of short words; a document's other words, each rare by construction, leave the task
+   as (row, word, times) and are joined with the counts by a shuffle.
+
+The stored windows are then read without the texts, the tokenizer or the words.
+
+3. Training, over all windows of training documents, in ``ROUNDS`` rounds, each window in one
+   of them. In a round every task goes through its own windows from the same weights; sums of
+   weights, a fixed size, are added up by tasks and reach the driver. Small corpora are read up
+   to ``TRAIN_PASSES`` times. The result depends a little on how rows are dealt to tasks.
+4. Scoring, over all windows (see ``attention``): what a document's windows add to its score is
+   summed by its row number. Pairs of ids beyond the ``HEAD_PAIRS`` most frequent are joined
+   with their counts by a shuffle.
 
 Defined results: a null text counts as empty and has the end alone. Repeated rows get equal
 scores. Without training documents every count is zero. Other columns are not read. An empty
@@ -248,42 +253,132 @@ class _TextIds:
         return np.concatenate(ids).astype(np.int64), self._sizes + 1
 
 
-def windows(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """All windows of all texts: n, and in ``w0``, ``w1``, ... those of each round as bytes.
+def _pieces(ids, sizes, first: int, random):
+    """Windows of texts in a row in pieces, those of each round apart, and the texts' row numbers."""
+    import numpy as np
 
-    A window is its ids and what follows in its second half, 16 bits each.
+    some, following = attention.cut_flat(ids, sizes, IDS, IDS + 1)
+    following[attention.beyond(sizes)] = NOTHING
+    rows = np.concatenate([some, following], axis=1, dtype=np.uint16, casting="unsafe")
+    owner = first + np.repeat(np.arange(len(sizes)), -(-sizes // attention.STRIDE))
+    order = random.permutation(len(rows))
+    for at in range(0, len(rows), PIECE):
+        own = order[at : at + PIECE]
+        # Few windows are dealt to random rounds, so that the first gets no more than others.
+        turn = int(random.integers(ROUNDS))
+        parts = [own[(k + turn) % ROUNDS :: ROUNDS] for k in range(ROUNDS)]
+        yield len(own), [(rows[part].tobytes(), owner[part].tobytes()) for part in parts]
+
+
+def read(docs: DataFrame, tokenizer: str, head: dict[bytes, int], also: list[str]) -> DataFrame:
+    """All texts read once: rows of documents (``trained``, ``also``, row and figures of words) and
+    of windows (``row`` null).
+
+    A document has its number of words, how many of them are frequent, the sum of these ones'
+    logarithms, and its other words. A row of windows has their number n, whether they are learned
+    from, and, as bytes, in ``w0``, ``w1``, ... those of each round and in ``o0``, ``o1``, ... their
+    documents' rows. A window is its ids and what follows in its second half, 16 bits each.
     """
+    import pyarrow as pa
+    from pyspark import SparkContext
+
+    context: SparkContext = docs.sparkSession.sparkContext
+    # As bytes pickled with their code, so that workers need no copy of this package.
+    sent = context.broadcast(pickle.dumps(head))
+    tail = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+    rows = docs.select("trained", *also, "text")
+    kept = rows.columns[1:-1]
+    figures_of = {"row": pa.int64(), "n_words": pa.int64(), "n_head": pa.int64(), "head_log": pa.float64(), "tail": tail}
+    bytes_of = {f"{c}{k}": pa.binary() for k in range(ROUNDS) for c in "wo"}
+    names = ["trained", *kept, *figures_of, "n", *bytes_of]
 
     def run(batches):
         import numpy as np
-        import pyarrow as pa
+        from pyspark import TaskContext
+
+        head = pickle.loads(sent.value)
+        count, used = np.zeros(1 << 14, np.int64), 0
+
+        def learn(words):
+            nonlocal count, used
+            upto = used + len(words)
+            if len(count) < upto:
+                count = np.concatenate([count, np.zeros(max(upto, len(count)), np.int64)])
+            count[used:upto] = [head.get(w, -1) for w in words]
+            used = upto
+
+        def forget():
+            nonlocal used
+            used = 0
+
+        def figures(numbers, counts, into):
+            """Add a part's words to the figures of its texts; ``counts`` words each."""
+            owner = np.repeat(np.arange(len(counts)), counts)
+            times = count[numbers]
+            frequent = times >= 0
+            into[0] += counts
+            into[1] += np.bincount(owner, frequent, len(counts)).astype(np.int64)
+            into[2] += np.bincount(owner, np.where(frequent, np.log10(np.maximum(times, 0) + 0.5), 0), len(counts))
+            pairs, n = np.unique((owner[~frequent] << 32) | numbers[~frequent], return_counts=True)
+            names = encoder.known() if len(pairs) else []
+            into[3] += np.bincount(pairs >> 32, minlength=len(counts))
+            return [names[k] for k in (pairs & (2**32 - 1)).tolist()], n
 
         encoder = worker_words(tokenizer, WORDS)
-        random = np.random.default_rng(SEED)
-        for batch in batches:
-            raws = raw_texts(batch.column("text"))
-            for begin, end, parts in _token_slices(raws, encoder):
-                found = _TextIds(encoder, end - begin)
-                for numbers, counts in parts:
-                    found.add(numbers, counts)
-                ids, sizes = found.whole()
-                some, following = attention.cut_flat(ids, sizes, IDS, IDS + 1)
-                blocks = -(-sizes // attention.STRIDE) * attention.STRIDE
-                inside = np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-                following[(inside >= np.repeat(sizes, blocks)).reshape(following.shape)] = NOTHING
-                rows = np.concatenate([some, following], axis=1).astype(np.uint16)
-                rows = rows[random.permutation(len(rows))]
-                for at in range(0, len(rows), PIECE):
-                    piece = rows[at : at + PIECE]
-                    # Few windows are dealt to random rounds, so that the first gets no more than others.
-                    turn = int(random.integers(ROUNDS))
-                    yield pa.RecordBatch.from_pydict(
-                        {"n": pa.array([len(piece)])}
-                        | {f"w{k}": pa.array([piece[(k + turn) % ROUNDS :: ROUNDS].tobytes()], pa.binary()) for k in range(ROUNDS)}
-                    )
-
-    columns = ", ".join(f"w{k} binary" for k in range(ROUNDS))
-    return docs.select("text").mapInArrow(run, f"n bigint, {columns}")
+        learn(encoder.known())
+        encoder.listen(learn, forget)
+        row = TaskContext.get().partitionId() << 33
+        randoms = {trained: np.random.default_rng(SEED) for trained in (True, False)}
+
+        def found(docs, trained, raws, parts):
+            """Rows of a slice of documents and of their windows."""
+            size = len(raws)
+            into = [np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size), np.zeros(size, np.int64)]
+            held, words, times = _TextIds(encoder, size), [], [np.zeros(0, np.int64)]
+            for numbers, counts in parts:
+                held.add(numbers, counts)
+                some, n = figures(numbers, counts, into)
+                words += some
+                times.append(n)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.append(0, np.cumsum(into[3])).astype(np.int32)),
+                pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(np.concatenate(times))], fields=list(tail.value_type)),
+            )
+            yield pa.RecordBatch.from_arrays(
+                [docs.column("trained"), *[docs.column(c) for c in kept], pa.array(np.arange(row, row + size)),
+                 *[pa.array(v) for v in into[:3]], lists, pa.nulls(size, pa.int64()), *[pa.nulls(size, t) for t in bytes_of.values()]],
+                names=names,
+            )
+            for n, own in _pieces(*held.whole(), row, randoms[trained]):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([trained]), *[pa.nulls(1, docs.column(c).type) for c in kept], *[pa.nulls(1, t) for t in figures_of.values()],
+                     pa.array([n]), *[pa.array([b], pa.binary()) for pair in own for b in pair]],
+                    names=names,
+                )
+
+        try:
+            for batch in batches:
+                flags = np.array(batch.column("trained").fill_null(False))
+                for trained in (True, False):
+                    docs = batch.take(pa.array(np.flatnonzero(flags == trained)))
+                    raws = raw_texts(docs.column("text"))
+                    for begin, end, parts in _token_slices(raws, encoder):
+                        yield from found(docs.slice(begin, end - begin), trained, raws[begin:end], parts)
+                        row += end - begin
+        finally:
+            encoder.listen()  # the worker keeps its words, but not the counts of this task
+
+    own = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes[:-1])
+    more = ", ".join(f"{c} binary" for c in bytes_of)
+    return rows.mapInArrow(
+        run, f"{own}, row bigint, n_words bigint, n_head bigint, head_log double, tail array<struct<word:binary,n:bigint>>, n bigint, {more}"
+    )
+
+
+def windows(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """All windows of all texts, as ``read`` gives them."""
+    rows = read(docs.select(F.lit(True).alias("trained"), "text"), tokenizer, {}, [])
+    return rows.where("row IS NULL").select("n", *[f"w{k}" for k in range(ROUNDS)])
 
 
 def _batches(pieces, model: attention.Model, size: int):
@@ -365,126 +460,47 @@ def train(model: attention.Model, table: DataFrame, steps: int) -> None:
     base.destroy()
 
 
-def fitted(docs: DataFrame, pairs: DataFrame, tokenizer: str, vocabulary: int, steps: int, head_pairs: int) -> attention.Model:
-    """The attention model of ``docs`` (text), trained on all their windows."""
+def fitted(learned: DataFrame, pairs: DataFrame, vocabulary: int, steps: int, head_pairs: int) -> attention.Model:
+    """The attention model trained on all windows of ``learned``."""
     stats = statistics(pairs, vocabulary)
     model = attention.Model(stats)
     model.pairs = by_id(pairs, stats.number, model.rest, head_pairs)
     model.prior = model.inside = None  # counts by number are of no use then
-    train(model, stored(windows(docs, tokenizer)), steps)
+    train(model, learned, steps)
     return model
 
 
-def _scores(docs: DataFrame, tokenizer: str, model: attention.Model, head: dict[bytes, int], also: list[str]) -> DataFrame:
-    """The scoring pass: per document a row number, figures of its frequent words, its other words."""
+def _scores(table: DataFrame, model: attention.Model) -> DataFrame:
+    """row, score, links: what the windows of a row of ``table`` add to the scores of documents."""
     import pyarrow as pa
-
     from pyspark import SparkContext
 
-    context: SparkContext = docs.sparkSession.sparkContext
+    context: SparkContext = table.sparkSession.sparkContext
     # As bytes pickled with their code, so that workers need no copy of this package.
-    sent = context.broadcast(cloudpickle.dumps((model, head)))
-    tail = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+    sent = context.broadcast(cloudpickle.dumps(model))
     linked = pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int64()), ("added", pa.float64())]))
-    kept = docs.select(*also, "text").columns[:-1]
 
     def run(batches):
         import numpy as np
-        from pyspark import TaskContext
-
-        model, head = pickle.loads(sent.value)
-        count, used = np.zeros(1 << 14, np.int64), 0
 
-        def learn(words):
-            nonlocal count, used
-            upto = used + len(words)
-            if len(count) < upto:
-                count = np.concatenate([count, np.zeros(max(upto, len(count)), np.int64)])
-            count[used:upto] = [head.get(w, -1) for w in words]
-            used = upto
-
-        def forget():
-            nonlocal used
-            used = 0
-
-        def figures(numbers, counts, into):
-            """Add a part's words to the figures of its texts; ``counts`` words each."""
-            owner = np.repeat(np.arange(len(counts)), counts)
-            times = count[numbers]
-            frequent = times >= 0
-            into[0] += counts
-            into[1] += np.bincount(owner, frequent, len(counts)).astype(np.int64)
-            into[2] += np.bincount(owner, np.where(frequent, np.log10(np.maximum(times, 0) + 0.5), 0), len(counts))
-            pairs, n = np.unique((owner[~frequent] << 32) | numbers[~frequent], return_counts=True)
-            names = encoder.known() if len(pairs) else []
-            return pairs >> 32, [names[k] for k in (pairs & (2**32 - 1)).tolist()], n
-
-        encoder = worker_words(tokenizer, WORDS)
-        learn(encoder.known())
-        encoder.listen(learn, forget)
-        row = TaskContext.get().partitionId() << 33
+        model = pickle.loads(sent.value)
         for batch in batches:
-            raws = raw_texts(batch.column("text"))
-            done = [[], [], [], []]
-            words, times, sizes = [], [], []
-            absent, links = [], []
-            for begin, end, parts in _token_slices(raws, encoder):
-                into = [np.zeros(end - begin, np.int64), np.zeros(end - begin, np.int64), np.zeros(end - begin)]
-                rest = np.zeros(end - begin, np.int64)
-                found = _TextIds(encoder, end - begin)
-                for numbers, counts in parts:
-                    found.add(numbers, counts)
-                    owner, names, n = figures(numbers, counts, into)
-                    words += names
-                    times.append(n)
-                    rest += np.bincount(owner, minlength=end - begin)
-                sizes.append(rest)
-                scores, (owner, *pairs) = model.score_by_id(*found.whole())
-                absent.append(pairs)
-                links.append(np.bincount(owner, minlength=end - begin))
-                for column, values in zip(done, [*into, scores]):
-                    column.append(values)
-            row += batch.num_rows
-            ends = np.cumsum(np.concatenate([[0], *sizes])).astype(np.int32)
-            lists = pa.ListArray.from_arrays(
-                pa.array(ends),
-                pa.StructArray.from_arrays(
-                    [pa.array(words, pa.binary()), pa.array(np.concatenate([np.zeros(0, np.int64), *times]))],
-                    fields=list(tail.value_type),
-                ),
-            )
-            stops = np.cumsum(np.concatenate([[0], *links])).astype(np.int32)
-            codes, pair_times, added = (
-                np.concatenate([np.zeros(0, kind), *c])
-                for kind, c in zip((np.int64, np.int64, float), zip(*absent) if absent else ((), (), ()))
-            )
-            pair_lists = pa.ListArray.from_arrays(
-                pa.array(stops),
-                pa.StructArray.from_arrays(
-                    [pa.array(codes), pa.array(pair_times), pa.array(added)],
-                    fields=list(linked.value_type),
-                ),
-            )
-            n_words, known, logs, scores = (np.concatenate([np.zeros(0), *c]) for c in done)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept]
-                + [
-                    pa.array(np.arange(row - batch.num_rows, row)),
-                    pa.array(n_words.astype(np.int64)),
-                    pa.array(known.astype(np.int64)),
-                    pa.array(logs),
-                    pa.array(scores),
-                    lists,
-                    pair_lists,
-                ],
-                names=[*kept, "row", "n_words", "n_head", "head_log", "score", "tail", "links"],
-            )
+            for k in range(batch.num_rows):
+                piece = [[batch.column(f"{c}{r}")[k].as_buffer() for r in range(ROUNDS)] for c in "wo"]
+                windows = np.concatenate([np.frombuffer(b, np.uint16) for b in piece[0]])
+                windows = windows.reshape(-1, attention.WINDOW + attention.STRIDE).astype(np.int64)
+                rows, owner = np.unique(np.concatenate([np.frombuffer(b, np.int64) for b in piece[1]]), return_inverse=True)
+                following = windows[:, attention.WINDOW :]
+                following[following == NOTHING] = -1
+                scores, (own, *pairs) = model.score_windows(windows[:, : attention.WINDOW], following, owner, len(rows))
+                links = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(np.bincount(own, minlength=len(rows)))).astype(np.int32)),
+                    pa.StructArray.from_arrays([pa.array(p) for p in pairs], fields=list(linked.value_type)),
+                )
+                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(scores), links], names=["row", "score", "links"])
 
-    rows = docs.select(*also, "text")
-    types = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes[:-1])
-    return rows.mapInArrow(
-        run, f"{types}, row bigint, n_words bigint, n_head bigint, head_log double, score double, tail array<struct<word:binary,n:bigint>>, "
-        "links array<struct<code:bigint,n:bigint,added:double>>",
+    return table.select(*[f"{c}{r}" for r in range(ROUNDS) for c in "wo"]).mapInArrow(
+        run, "row bigint, score double, links array<struct<code:bigint,n:bigint,added:double>>"
     )
 
 
@@ -511,12 +527,14 @@ def scored(
     ends = counts.where(F.col("word") == F.lit(END_WORD)).first()
     end_count = ends["c"] if ends else 0
     pairs = stored(paired(counts, tokenizer).groupBy("a", "b").agg(F.sum("n").alias("n")))
-    model = fitted(learned, pairs, tokenizer, vocabulary, steps, head_pairs)
     short = counts.where(F.octet_length("word") <= LONGEST_HEAD)
     frequent = _first(short, 1.0 / F.col("c"), head_words)
     known = frequent.select("word", "c").toArrow()
     head = dict(zip(known["word"].to_pylist(), known["c"].to_pylist()))
-    found = stored(_scores(named, tokenizer, model, head, ["doc_id", "trained"]))
+    table = stored(read(named, tokenizer, head, ["doc_id"]))
+    found, cuts = table.where("row IS NOT NULL"), table.where("row IS NULL")
+    model = fitted(cuts.where("trained"), pairs, vocabulary, steps, head_pairs)
+    parts = stored(_scores(cuts, model))
     words = found.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n")
     rest = (
         words.join(counts, "word", "left")
@@ -528,13 +546,15 @@ def scored(
     )
     held = pairs.where(f"b <> {WORD_END}").select((F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("code"), F.col("n").alias("held"))
     more = (
-        found.select("row", F.explode("links").alias("t")).select("row", "t.*").join(held, "code")
+        parts.select("row", F.explode("links").alias("t")).select("row", "t.*").join(held, "code")
         .groupBy("row").agg(F.sum(F.col("n") * F.log10(1 + F.col("held") / F.col("added"))).alias("more"))
     )
     size = F.log10(F.lit(float(total)) + 0.5 * (distinct + 1))
     n_tokens = F.col("n_words") + 1
     end_log = F.log10(F.lit(end_count + 0.5))
-    return found.drop("tail", "links").join(rest, "row", "left").join(more, "row", "left").select(
+    scores = parts.groupBy("row").agg(F.sum("score").alias("score"))
+    documents = found.select("doc_id", "trained", "row", "n_words", "n_head", "head_log")
+    return documents.join(scores, "row").join(rest, "row", "left").join(more, "row", "left").select(
         "doc_id",
         "trained",
         n_tokens.alias("n_tokens"),

@@ -188,3 +188,36 @@ def test_probabilities_with_pairs_by_id_add_up_to_one():
         base = model.score_by_id(before, np.array([n]))[0][0] if n else 0.0
         total = sum(10 ** (model.score_by_id(np.append(before, x), np.array([n + 1]))[0][0] - base) for x in range(24))
         assert abs(total - 1) < 1e-4
+
+
+def test_sums_by_number():
+    rng = np.random.default_rng(6)
+    for kind in (np.float32, np.float64):
+        at, d = rng.integers(0, 9, 200), rng.normal(size=(200, 32)).astype(kind)
+        wanted = np.zeros((12, 32))
+        np.add.at(wanted, at, d)
+        found = attention._summed_by(at, d, 12)
+        assert found.dtype == kind and np.allclose(found, wanted, atol=1e-4)
+
+
+def test_texts_are_read_once_and_scored_from_their_stored_windows(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PIECE", 500)  # windows of the long text lie in several rows
+    docs = _rare_pairs(spark).withColumn("trained", F.col("doc_id") % 3 != 0).cache()
+    counts = lm.counted(docs).groupBy("word").agg(F.sum("n").alias("c")).cache()
+    pairs = lm.paired(counts, tokenizer_file()).groupBy("a", "b").agg(F.sum("n").alias("n")).cache()
+    table = lm.stored(lm.read(docs, tokenizer_file(), {}, ["doc_id"]))
+    found, cuts = table.where("row IS NOT NULL"), table.where("row IS NULL")
+    assert sorted(r["doc_id"] for r in found.collect()) == sorted(r["doc_id"] for r in docs.collect())
+    windows = {r["trained"]: r["n"] for r in cuts.groupBy("trained").agg(F.sum("n").alias("n")).collect()}
+    encoder, wanted, ids = WordIds(tokenizer_file()), Counter(), {}
+    for r in docs.collect():
+        ids[r["doc_id"]] = np.append(encoder.text(r["text"].encode()), lm.END).astype(np.int64)
+        wanted[r["trained"]] += -(-len(ids[r["doc_id"]]) // attention.STRIDE)
+    assert windows == wanted and cuts.where("n > 0").count() > len(ids) / 40 + 2
+    model = lm.fitted(cuts.where("trained"), pairs, 8, 1, 1 << 20)
+    scores = lm._scores(cuts, model).groupBy("row").agg(F.sum("score").alias("score"))
+    rows = found.select("doc_id", "row").join(scores, "row").collect()
+    assert len(rows) == len(ids)
+    for r in rows:
+        text = ids[r["doc_id"]]
+        assert r["score"] == pytest.approx(model.score_by_id(text, np.array([len(text)]))[0][0], rel=1e-5)
