@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covaria.llm.text import small_enough
 from covaria.operators.durable import stored
 
 #: A task keeps so many nodes in memory while it thins out links.
 FOREST_NODES = 200_000
+#: A broadcast row of two ids takes at most so much: itself and its places in the hash index.
+ROW_BYTES = 112
 
 
 def thinned(links: DataFrame) -> DataFrame:
@@ -53,8 +56,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps (Kiveris et al. 2014): every node's larger
     neighbours move to its smallest one, then its smaller neighbours do. Minima combine
-    inside each task; the minima are stored before they are joined, so that a node with very
-    many links is split by the skew join.
+    inside each task; the minima are stored before they are joined: counted, few are broadcast,
+    and among more a node with very many links is split by the skew join.
     """
     edges = stored(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -67,10 +70,10 @@ def components(links: DataFrame) -> DataFrame:
         before = after
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
-        large = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.where("b > a").join(small_enough(lowest, ROW_BYTES), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = stored(large.distinct())
         lowest = stored(edges.groupBy("a").agg(F.min("b").alias("m")))
-        small = edges.join(lowest, "a").select("a", "b", "m")
+        small = edges.join(small_enough(lowest, ROW_BYTES), "a").select("a", "b", "m")
         small = small.select(F.explode(F.array(
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
             F.struct("a", F.col("m").alias("b")),

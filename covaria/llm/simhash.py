@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from covaria.llm.components import components, thinned
 from covaria.llm.keep import one_of_each, text_hash, winners
-from covaria.llm.text import lower_ascii, raw_texts
+from covaria.llm.text import lower_ascii, raw_texts, shuffled
 from covaria.operators.durable import stored
 
 SEED = 42
@@ -151,7 +151,8 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     home = copies.where("home").select("anchor", F.col("fp").alias("a"))
     near = copies.select("anchor", F.col("fp").alias("b"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return thinned(home.join(near, (home.anchor == near.anchor) & (F.col("a") != F.col("b")) & close))
+    # Spark would size the copies by the few bytes of a fingerprint, and broadcast them.
+    return thinned(shuffled(home).join(near, (home.anchor == near.anchor) & (F.col("a") != F.col("b")) & close))
 
 
 def grouped(
@@ -166,11 +167,11 @@ def grouped(
     distinct = stored(rows.select("fp").distinct())
     linked = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
     named = stored(
-        distinct.join(linked, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
+        distinct.join(shuffled(linked), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
     )
-    best = winners(rows.join(named, "fp"), ["component"], [])
-    classes = stored(named.join(best, "component").select("fp", "best", "n_twins"))
-    return rows.join(classes, "fp").select(
+    best = winners(rows.join(shuffled(named), "fp"), ["component"], [])
+    classes = stored(named.join(shuffled(best), "component").select("fp", "best", "n_twins"))
+    return rows.join(shuffled(classes), "fp").select(
         "doc_id",
         "h",
         "fp",

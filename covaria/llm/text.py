@@ -47,12 +47,21 @@ def lower_ascii(raw: bytes) -> bytes:
     return raw.translate(_ASCII_LOWER)
 
 
+def shuffled(table: DataFrame) -> DataFrame:
+    """``table`` marked to be joined by a shuffle, however small Spark takes it to be.
+
+    Spark broadcasts what it guesses to be small, and guesses the rows a Python function or an
+    explode puts out from the bytes put in, and a stored table from its packed files.
+    """
+    return table.hint("merge")
+
+
 def small_enough(table: DataFrame, row_bytes: int) -> DataFrame:
-    """``table`` marked for broadcast if counting proves it small, else as it is.
+    """``table`` marked for broadcast if counting proves it small, else for a shuffle.
 
     ``row_bytes`` bounds the size of a row, so it suits tables of fixed-size columns only.
     """
-    return F.broadcast(table) if table.count() * row_bytes <= BROADCAST_BYTES else table
+    return F.broadcast(table) if table.count() * row_bytes <= BROADCAST_BYTES else shuffled(table)
 
 
 def slices(values: list[bytes], most: int = 4 << 20):

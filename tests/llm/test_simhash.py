@@ -1,11 +1,13 @@
 import random
+from importlib import import_module
 
 import numpy as np
 import pytest
 import xxhash
 
-from covaria.llm import simhash
+from covaria.llm import simhash, text
 from covaria.llm.components import components
+from covaria.operators.durable import stored
 from tests.llm import edge
 
 
@@ -94,3 +96,40 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["component"] for r in components(links).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(301)}
     assert components(links.limit(0)).count() == 0
+
+
+@pytest.fixture
+def plans(monkeypatch):
+    """The plan of every table that SimHash and its components store."""
+    seen = []
+
+    def spy(df):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    for name in ("simhash", "components"):
+        monkeypatch.setattr(import_module(f"covaria.llm.{name}"), "stored", spy)
+    return seen
+
+
+def test_copies_of_fingerprints_are_not_broadcast(spark, tmp_path):
+    fps = [(v,) for v in (0, 1, 7 << 40, 0x5555 << 20)]
+    spark.createDataFrame(fps, "fp long").write.parquet(f"{tmp_path}/fps")
+    links = simhash.links(spark.read.parquet(f"{tmp_path}/fps"))
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {r["node"]: r["component"] for r in components(links).collect()} == {0: 0, 1: 0, 7 << 40: 0}
+
+
+def test_only_counted_tables_are_broadcast(spark, monkeypatch, plans):
+    docs = spark.createDataFrame([(i, f"a b {'c' * (i // 3)}") for i in range(30)], "doc_id long, text string")
+    found = []
+    for bound in (text.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(text, "BROADCAST_BYTES", bound)
+        plans.clear()
+        marks = simhash.grouped(docs)
+        plans.append(marks._jdf.queryExecution().executedPlan().toString())
+        found.append(sorted(marks.drop("h").collect()))
+        joins = [p for p in plans if "Join" in p]
+        assert joins and (bound or not any("BroadcastHashJoin" in p for p in joins))
+    assert found[0] == found[1]
