@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covaria.llm.keep import one_of_each, text_hash, winners
-from covaria.llm.text import SPACE_BYTES, raw_texts, slices, small_enough
+from covaria.llm.text import SPACE_BYTES, raw_texts, shuffled, slices, small_enough
 from covaria.operators.durable import stored
 
 CHUNK = 4096
@@ -167,10 +167,10 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pri
     key = F.lit("").alias("split")
     if not differing.isEmpty():
         key = F.when(F.col("unlike").isNotNull(), F.col("text_sha256")).otherwise("").alias("split")
-        rows = rows.join(differing.withColumn("unlike", F.lit(True)), "fp", "left")
+        rows = rows.join(small_enough(differing, 128).withColumn("unlike", F.lit(True)), "fp", "left")
     rows = rows.select("doc_id", "h", "fp", "n_codes", "text_sha256", key)
     groups = stored(winners(rows, ["fp", "split"], [(-F.col("n_codes")).alias("minus_codes")]))
-    return rows.join(groups, ["fp", "split"]).select(
+    return rows.join(shuffled(groups), ["fp", "split"]).select(
         "doc_id",
         "h",
         F.col("best.doc_id").alias("keep_id"),

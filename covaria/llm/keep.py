@@ -51,7 +51,7 @@ def one_of_each(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) -
     )
 
     def joined(other: DataFrame, how: str) -> DataFrame:
-        other = small_enough(other.select(*key), 96)
+        other = small_enough(other.select(*key), 144)
         same = reduce(lambda a, b: a & b, [keyed[k].eqNullSafe(other[k]) for k in key])
         return keyed.join(other, same, how)
 

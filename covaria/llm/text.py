@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covaria.functions import column
+
 SPACES = r"\x20\x09-\x0D"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 #: A broadcast table may hold so many bytes; a larger one is joined by a shuffle.
@@ -57,11 +59,17 @@ def shuffled(table: DataFrame) -> DataFrame:
 
 
 def small_enough(table: DataFrame, row_bytes: int) -> DataFrame:
-    """``table`` marked for broadcast if counting proves it small, else for a shuffle.
+    """``table`` marked for broadcast if a pass over it proves it small, else for a shuffle.
 
-    ``row_bytes`` bounds the size of a row, so it suits tables of fixed-size columns only.
+    ``row_bytes`` bounds the size of a row without its texts. These are measured, and count
+    twice: a broadcast row holds its key apart.
     """
-    return F.broadcast(table) if table.count() * row_bytes <= BROADCAST_BYTES else shuffled(table)
+    size = F.lit(row_bytes).cast("long")
+    for name, kind in table.dtypes:
+        if kind in ("string", "binary"):
+            size = size + 2 * F.coalesce(F.octet_length(column(name)), F.lit(0))
+    held = table.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(table) if held <= BROADCAST_BYTES else shuffled(table)
 
 
 def slices(values: list[bytes], most: int = 4 << 20):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from covaria.llm import language, mixing, simhash
+from covaria.llm import language, mixing, simhash, text
 from covaria.llm.queries import language_model, tokenizer_file
 from tests.llm import edge
 from tests.llm.test_packing import _check
@@ -110,3 +110,13 @@ def test_stages_keep_dotted_and_clashing_columns(spark, stage):
 def test_near_copies_of_the_whole_table_are_one_group(spark):
     docs = spark.createDataFrame([(i, "w " * 500 + "x") for i in range(50)], "doc_id long, text string")
     assert [r["doc_id"] for r in simhash.deduplicated(docs).collect()] == [0]
+
+
+@pytest.mark.parametrize("length, way", [(10, "BroadcastHashJoin"), (2_000, "SortMergeJoin")])
+def test_long_texts_count_before_a_broadcast(spark, monkeypatch, length, way):
+    monkeypatch.setattr(text, "BROADCAST_BYTES", 10_000)
+    rows = [(i, str(i) * length) for i in range(10)]
+    docs = spark.createDataFrame(rows, "k long, t string")
+    keys = spark.createDataFrame(rows, "k long, `a.b` string")
+    joined = docs.join(text.small_enough(keys, 16), "k")
+    assert way in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 10
